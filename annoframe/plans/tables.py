@@ -90,7 +90,7 @@ class Tables:
             "image_id",
             "ann_id",
             "ann_id as pos",
-            "line as instance_id",
+            "case when ann_id % 7 = 0 then null else line % 2 + 1 end as instance_id",
             "name as object",
             "element_at(array('nose', 'eye', 'ear', 'tail'), cast(ann_id % 4 as int) + 1) as joint",
             "x + w / 2 as px",
@@ -120,6 +120,18 @@ class Tables:
             "h",
         )
 
+    @cached_property
+    def templates(self) -> DataFrame:
+        """Pose templates as a user would pass them: class, place in the list, joints, 0-indexed edges."""
+        return self.spark.createDataFrame(
+            [
+                ("bird", 0, ["nose", "eye", "tail"], [(0, 1), (1, 2)]),
+                ("cat", 1, ["nose", "eye", "ear", "tail"], [(0, 1), (0, 2), (2, 3)]),
+                ("post", 2, ["ear"], []),
+            ],
+            "class string, place int, joints array<string>, edges array<struct<i:int,j:int>>",
+        )
+
     @cached_property
     def log(self) -> DataFrame:
         kind = F.create_map(*[F.lit(v) for kv in KINDS.items() for v in kv])
@@ -222,11 +234,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "keypoints": (
         ("gt",),
-        """SELECT image_id, ann_id, ann_id AS pos, line AS instance_id, name AS object,
+        """SELECT image_id, ann_id, ann_id AS pos,
+        CASE WHEN ann_id % 7 = 0 THEN NULL ELSE line % 2 + 1 END AS instance_id, name AS object,
         (['nose', 'eye', 'ear', 'tail'])[(ann_id % 4)::INT + 1] AS joint, x + w / 2 AS px, y + h / 2 AS py,
         CASE WHEN ann_id % 5 = 0 THEN ' Yes ' END AS occluded,
         CASE ann_id % 5 WHEN 0 THEN 'red' WHEN 1 THEN 'blue' END AS color FROM gt""",
     ),
+    "templates": (
+        (),
+        """SELECT 'bird' AS class, 0 AS place, ['nose', 'eye', 'tail'] AS joints, [{'i': 0, 'j': 1}, {'i': 1, 'j': 2}] AS edges
+        UNION ALL SELECT 'cat', 1, ['nose', 'eye', 'ear', 'tail'], [{'i': 0, 'j': 1}, {'i': 0, 'j': 2}, {'i': 2, 'j': 3}]
+        UNION ALL SELECT 'post', 2, ['ear'], []""",
+    ),
     "polygons": (
         ("gt",),
         """SELECT image_id, ann_id, name, x, y, w, h,

@@ -150,3 +150,22 @@ def global_rank(
         .withColumn(name, (F.col("_local") + F.col("_n_before")).cast("long"))
         .drop("_local", "_n_before", "_chunk")
     )
+
+
+def running_sums(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    sums: dict[str, Column],
+    max_rows: int = 1_000_000,
+) -> DataFrame:
+    """Add running totals over each group's order; a huge group is summed chunk by chunk."""
+    spread, many = chunked(df, group, order, df, max_rows)
+    run = Window.partitionBy(*group, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if not many:
+        return spread.withColumns({k: F.sum(v).over(run) for k, v in sums.items()}).drop("_chunk")
+    before = chunk_offsets(spread, group, {k: F.sum(v) for k, v in sums.items()})
+    local = spread.withColumns({k: F.sum(v).over(run) for k, v in sums.items()}).join(before, [*group, "_chunk"])
+    return local.withColumns({k: F.col(k) + F.col(f"{k}_before") for k in sums}).drop(
+        "_chunk", *[f"{k}_before" for k in sums]
+    )
