@@ -17,6 +17,11 @@ BOX = "struct<x:double,y:double,w:double,h:double>"
 RING = "array<struct<x:double,y:double>>"
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -29,9 +34,21 @@ def box(x: Column, y: Column, w: Column, h: Column) -> Column:
 
 def enclosing_box(points: Column) -> Column:
     """The box of a list of points; null when the list is empty or flat."""
-    x0, x1 = F.array_min(points["x"]), F.array_max(points["x"])
-    y0, y1 = F.array_min(points["y"]), F.array_max(points["y"])
-    return F.when((x1 > x0) & (y1 > y0), box(x0, y0, x1 - x0, y1 - y0))
+
+    def sized(e: Column) -> Column:
+        w, h = e["x1"] - e["x0"], e["y1"] - e["y0"]
+        return F.when((w > 0) & (h > 0), box(e["x0"], e["y0"], w, h))
+
+    ends = let(
+        points,
+        lambda p: F.struct(
+            F.array_min(p["x"]).alias("x0"),
+            F.array_max(p["x"]).alias("x1"),
+            F.array_min(p["y"]).alias("y0"),
+            F.array_max(p["y"]).alias("y1"),
+        ),
+    )
+    return let(ends, sized)
 
 
 def _next_points(ring: Column) -> Column:
@@ -40,9 +57,13 @@ def _next_points(ring: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Shoelace area of a ring, 0 for fewer than three points."""
-    terms = F.zip_with(ring, _next_points(ring), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
-    total = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(F.size(ring) < 3, F.lit(0.0)).otherwise(F.abs(total) / 2)
+
+    def area(r: Column) -> Column:
+        terms = F.zip_with(r, _next_points(r), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
+        total = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+        return F.when(F.size(r) < 3, F.lit(0.0)).otherwise(F.abs(total) / 2)
+
+    return let(ring, area)
 
 
 def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -53,23 +74,27 @@ def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
         meets = a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / F.nullif(b["y"] - a["y"], F.lit(0.0))
         return F.coalesce(straddles & (x < meets), F.lit(False))
 
-    crossings = F.filter(F.zip_with(ring, _next_points(ring), crosses), lambda c: c)
-    return F.when(F.size(ring) == 0, F.lit(False)).otherwise(F.size(crossings) % 2 == 1)
+    def odd(r: Column) -> Column:
+        crossings = F.filter(F.zip_with(r, _next_points(r), crosses), lambda c: c)
+        return F.when(F.size(r) == 0, F.lit(False)).otherwise(F.size(crossings) % 2 == 1)
+
+    return let(ring, odd)
 
 
 def rings_area(rings: Column) -> Column:
     """Even-odd area. A ring whose first point lies in an odd number of the others is a hole."""
-    real = F.filter(rings, lambda r: F.size(r) >= 3)
 
-    def signed(ring: Column, i: Column) -> Column:
-        start = F.element_at(ring, 1)
-        around = F.filter(
-            F.transform(real, lambda other, j: (j != i) & point_in_ring(start["x"], start["y"], other)), lambda c: c
-        )
-        return F.when(F.size(around) % 2 == 1, -ring_area(ring)).otherwise(ring_area(ring))
+    def total(real: Column) -> Column:
+        def signed(ring: Column, i: Column) -> Column:
+            start = F.element_at(ring, 1)
+            around = F.filter(
+                F.transform(real, lambda other, j: (j != i) & point_in_ring(start["x"], start["y"], other)), lambda c: c
+            )
+            return F.when(F.size(around) % 2 == 1, -ring_area(ring)).otherwise(ring_area(ring))
+
+        return F.greatest(F.aggregate(F.transform(real, signed), F.lit(0.0), lambda acc, v: acc + v), F.lit(0.0))
 
-    total = F.aggregate(F.transform(real, signed), F.lit(0.0), lambda acc, v: acc + v)
-    return F.greatest(total, F.lit(0.0))
+    return let(F.filter(rings, lambda r: F.size(r) >= 3), total)
 
 
 def annotation_box(kind: Column, bbox: Column, rings: Column, path: Column) -> Column:
@@ -123,27 +148,28 @@ def rotated_corners(obb: Column) -> Column:
 
 def rotated_from_corners(corners: Column) -> Column:
     """The rotated box nearest to four corners; null unless there are four finite points."""
-    p = [F.get(corners, F.lit(i)) for i in range(4)]
 
     def side(a: Column, b: Column) -> Column:
         return F.hypot(b["x"] - a["x"], b["y"] - a["y"])
 
-    fitted = F.struct(
-        ((p[0]["x"] + p[1]["x"] + p[2]["x"] + p[3]["x"]) / 4).alias("cx"),
-        ((p[0]["y"] + p[1]["y"] + p[2]["y"] + p[3]["y"]) / 4).alias("cy"),
-        F.greatest(F.lit(1.0), (side(p[0], p[1]) + side(p[3], p[2])) / 2).alias("w"),
-        F.greatest(F.lit(1.0), (side(p[1], p[2]) + side(p[0], p[3])) / 2).alias("h"),
-        normalize_angle(F.degrees(F.atan2(p[1]["y"] - p[0]["y"], p[1]["x"] - p[0]["x"]))).alias("angle"),
-    )
-    usable = (F.size(corners) == 4) & F.forall(corners, lambda q: finite(q["x"]) & finite(q["y"]))
-    return F.when(usable, fitted)
+    def fit(c: Column) -> Column:
+        p = [F.get(c, F.lit(i)) for i in range(4)]
+        fitted = F.struct(
+            ((p[0]["x"] + p[1]["x"] + p[2]["x"] + p[3]["x"]) / 4).alias("cx"),
+            ((p[0]["y"] + p[1]["y"] + p[2]["y"] + p[3]["y"]) / 4).alias("cy"),
+            F.greatest(F.lit(1.0), (side(p[0], p[1]) + side(p[3], p[2])) / 2).alias("w"),
+            F.greatest(F.lit(1.0), (side(p[1], p[2]) + side(p[0], p[3])) / 2).alias("h"),
+            normalize_angle(F.degrees(F.atan2(p[1]["y"] - p[0]["y"], p[1]["x"] - p[0]["x"]))).alias("angle"),
+        )
+        usable = (F.size(c) == 4) & F.forall(c, lambda q: finite(q["x"]) & finite(q["y"]))
+        return F.when(usable, fitted)
+
+    return let(corners, fit)
 
 
 def rotated_enclosure(obb: Column) -> Column:
     """X11: the box around the rotated corners (not around the own sides)."""
-    corners = rotated_corners(obb)
-    x0, y0 = F.array_min(corners["x"]), F.array_min(corners["y"])
-    return box(x0, y0, F.array_max(corners["x"]) - x0, F.array_max(corners["y"]) - y0)
+    return enclosing_box(let(obb, rotated_corners))
 
 
 def finite(value: Column) -> Column:
@@ -180,30 +206,47 @@ def clamp(v: Column, lo: Column, hi: Column) -> Column:
 def clip_box(b: Column, width: Column, height: Column) -> Column:
     """The part of a box inside the frame, null when nothing is left."""
     zero = F.lit(0.0)
-    x0, x1 = clamp(b["x"], zero, width), clamp(b["x"] + b["w"], zero, width)
-    y0, y1 = clamp(b["y"], zero, height), clamp(b["y"] + b["h"], zero, height)
-    return F.when((x1 > x0) & (y1 > y0), box(x0, y0, x1 - x0, y1 - y0))
+
+    def part(e: Column) -> Column:
+        w, h = e["x1"] - e["x0"], e["y1"] - e["y0"]
+        return F.when((w > 0) & (h > 0), box(e["x0"], e["y0"], w, h))
+
+    ends = let(
+        b,
+        lambda v: F.struct(
+            clamp(v["x"], zero, width).alias("x0"),
+            clamp(v["y"], zero, height).alias("y0"),
+            clamp(v["x"] + v["w"], zero, width).alias("x1"),
+            clamp(v["y"] + v["h"], zero, height).alias("y1"),
+        ),
+    )
+    return let(ends, part)
 
 
 def _clip_half(ring: Column, axis: str, bound: Column, keep_above: bool) -> Column:
     """One half-plane of the polygon clip: each edge gives the crossing point and its kept end."""
+    none = F.array().cast(RING)
 
     def inside(p: Column) -> Column:
         return p[axis] >= bound if keep_above else p[axis] <= bound
 
     def edge(prev: Column, cur: Column) -> Column:
-        t = (bound - prev[axis]) / F.nullif(cur[axis] - prev[axis], F.lit(0.0))
-        cross = F.when(
-            t.isNotNull(),
-            point(prev["x"] + (cur["x"] - prev["x"]) * t, prev["y"] + (cur["y"] - prev["y"]) * t),
-        ).otherwise(point(prev["x"], prev["y"]))
-        crossing = F.when(inside(prev) != inside(cur), F.array(cross)).otherwise(F.array().cast(RING))
-        kept = F.when(inside(cur), F.array(cur)).otherwise(F.array().cast(RING))
+        cross = let(
+            (bound - prev[axis]) / F.nullif(cur[axis] - prev[axis], F.lit(0.0)),
+            lambda t: F.when(
+                t.isNotNull(),
+                point(prev["x"] + (cur["x"] - prev["x"]) * t, prev["y"] + (cur["y"] - prev["y"]) * t),
+            ).otherwise(point(prev["x"], prev["y"])),
+        )
+        crossing = F.when(inside(prev) != inside(cur), F.array(cross)).otherwise(none)
+        kept = F.when(inside(cur), F.array(cur)).otherwise(none)
         return F.concat(crossing, kept)
 
-    previous = F.concat(F.slice(ring, -1, 1), F.slice(ring, 1, F.size(ring) - 1))
-    clipped = F.flatten(F.zip_with(previous, ring, edge))
-    return F.when(F.size(ring) == 0, F.array().cast(RING)).otherwise(clipped)
+    def clip(r: Column) -> Column:
+        previous = F.concat(F.slice(r, -1, 1), F.slice(r, 1, F.size(r) - 1))
+        return F.when(F.size(r) == 0, none).otherwise(F.flatten(F.zip_with(previous, r, edge)))
+
+    return let(ring, clip)
 
 
 def clip_ring(ring: Column, width: Column, height: Column) -> Column:
@@ -218,60 +261,87 @@ def _visible_enough(part: Column, whole: Column, floor) -> Column:
     return ~F.coalesce((whole > 0) & (part / F.nullif(whole, F.lit(0.0)) < floor), F.lit(False))
 
 
+def _box_area(b: Column) -> Column:
+    return b["w"] * b["h"]
+
+
 def remap_box(b: Column, fn: PointMap, width: Column, height: Column, clip: bool, min_visibility=0.1) -> Column:
     """Corners mapped and enclosed; with ``clip`` cut to the frame and dropped under the floor."""
-    moved = enclosing_box(map_ring(box_corners(b), fn))
+    moved = enclosing_box(map_ring(let(b, box_corners), fn))
     if not clip:
         return moved
-    cut = clip_box(moved, width, height)
-    return F.when(_visible_enough(cut["w"] * cut["h"], moved["w"] * moved["h"], min_visibility), cut)
+    return let(
+        moved,
+        lambda m: let(
+            clip_box(m, width, height),
+            lambda c: F.when(_visible_enough(_box_area(c), _box_area(m), min_visibility), c),
+        ),
+    )
 
 
 def remap_rotated(obb: Column, fn: PointMap, width: Column, height: Column, clip: bool, min_visibility=0.1) -> Column:
     """``struct<obb, bbox>`` refitted from the mapped corners. Never cut, only dropped."""
-    moved = map_ring(rotated_corners(obb), fn)
-    enclosure = enclosing_box(moved)
-    out = F.when(
-        enclosure.isNotNull(), F.struct(rotated_from_corners(moved).alias("obb"), enclosure.alias("bbox"))
-    )
-    if not clip:
-        return out
-    visible = ring_area(clip_ring(moved, width, height))
-    return F.when(_visible_enough(visible, ring_area(moved), min_visibility), out)
+
+    def refit(moved: Column) -> Column:
+        out = let(
+            enclosing_box(moved),
+            lambda e: F.when(e.isNotNull(), F.struct(rotated_from_corners(moved).alias("obb"), e.alias("bbox"))),
+        )
+        if not clip:
+            return out
+        visible = ring_area(clip_ring(moved, width, height))
+        return F.when(_visible_enough(visible, ring_area(moved), min_visibility), out)
+
+    return let(map_ring(let(obb, rotated_corners), fn), refit)
 
 
 def remap_rings(rings: Column, fn: PointMap, width: Column, height: Column, clip: bool, min_visibility=0.1) -> Column:
     """``struct<rings, bbox>``. The first ring decides; a hole that vanishes is left out."""
-    moved = F.transform(rings, lambda r: map_ring(r, fn))
-    cut = F.transform(moved, lambda r: clip_ring(r, width, height)) if clip else moved
-    first = F.get(cut, F.lit(0))
-    alive = F.coalesce(F.size(first) >= 3, F.lit(False))
-    if clip:
-        alive = alive & _visible_enough(ring_area(first), ring_area(F.get(moved, F.lit(0))), min_visibility)
-    kept = F.filter(cut, lambda r: F.size(r) >= 3)
-    return F.when(alive, F.struct(kept.alias("rings"), enclosing_box(first).alias("bbox")))
+
+    def judge(moved: Column, cut: Column) -> Column:
+        first = F.get(cut, F.lit(0))
+        alive = F.coalesce(F.size(first) >= 3, F.lit(False))
+        if clip:
+            whole = ring_area(F.get(moved, F.lit(0)))
+            alive = alive & _visible_enough(ring_area(first), whole, min_visibility)
+        kept = F.filter(cut, lambda r: F.size(r) >= 3)
+        return F.when(alive, F.struct(kept.alias("rings"), enclosing_box(first).alias("bbox")))
+
+    def cut(moved: Column) -> Column:
+        if not clip:
+            return judge(moved, moved)
+        return let(F.transform(moved, lambda r: clip_ring(r, width, height)), lambda c: judge(moved, c))
+
+    return let(F.transform(rings, lambda r: map_ring(r, fn)), cut)
 
 
 def remap_path(path: Column, fn: PointMap, width: Column, height: Column, clip: bool) -> Column:
     """``struct<path, bbox>``. Clamped to the frame, repeats dropped, two points needed."""
+
+    def built(p: Column) -> Column:
+        out = F.struct(p.alias("path"), enclosing_box(p).alias("bbox"))
+        return F.when(F.size(p) >= 2, out) if clip else out
+
     moved = map_ring(path, fn)
-    if clip:
-        zero = F.lit(0.0)
-        moved = F.transform(moved, lambda p: point(clamp(p["x"], zero, width), clamp(p["y"], zero, height)))
-        before = F.concat(F.array(F.lit(None).cast("struct<x:double,y:double>")), moved)
-        steps = F.zip_with(moved, F.slice(before, 1, F.size(moved)), lambda p, q: F.when(~p.eqNullSafe(q), p))
-        moved = F.filter(steps, lambda p: p.isNotNull())
-    out = F.struct(moved.alias("path"), enclosing_box(moved).alias("bbox"))
-    return F.when(F.size(moved) >= 2, out) if clip else out
+    if not clip:
+        return let(moved, built)
+    zero = F.lit(0.0)
+    inside = F.transform(moved, lambda p: point(clamp(p["x"], zero, width), clamp(p["y"], zero, height)))
+    fresh = let(
+        inside,
+        lambda line: F.filter(line, lambda p, i: (i == 0) | (p != F.get(line, F.greatest(i - 1, F.lit(0))))),
+    )
+    return let(fresh, built)
 
 
 def remap_point(p: Column, fn: PointMap, width: Column, height: Column, clip: bool) -> Column:
     """A mapped point, dropped when it leaves the frame."""
-    x, y = fn(p["x"], p["y"])
-    moved = point(x, y)
+    moved = let(p, lambda q: point(*fn(q["x"], q["y"])))
     if not clip:
         return moved
-    return F.when((x >= 0) & (x <= width) & (y >= 0) & (y <= height), moved)
+    return let(
+        moved, lambda m: F.when(m["x"].between(0, width) & m["y"].between(0, height), m)
+    )
 
 
 def cxcywh_to_xyxy(cx: Column, cy: Column, w: Column, h: Column) -> tuple[Column, Column, Column, Column]:

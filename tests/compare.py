@@ -91,7 +91,7 @@ def main() -> None:
             df = fn(spark, sf_dir)
             if name in twins:
                 what = compare(df, con, twins[name])
-                n = "equal"
+                n = f"equal, {len(con.execute(twins[name]).fetchall())} rows"
             else:
                 n, what = f"{len(df.collect())} rows (no twin)", None
         except Exception as e:  # noqa: BLE001
