@@ -1,3 +1,3 @@
 """Runnable queries over the given tables; importing the package registers all of them."""
 
-from annoframe.plans import datasets, detection, motion, shapes  # noqa: F401
+from annoframe.plans import datasets, detection, models, motion, shapes  # noqa: F401
