@@ -81,9 +81,8 @@ def precision_curve(
     order = [F.desc("confidence"), F.col("image_id"), F.col("ann_id")]
     rows, many = chunked(flagged_predictions(pred, matches), ["name"], order, pred, max_rows)
     run = Window.partitionBy("name", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rest = (
-        Window.partitionBy("name", "_chunk").orderBy("rank").rowsBetween(0, Window.unboundedFollowing)
-    )
+    # From here to the end, written backwards: a frame open at its far end is recomputed for each row.
+    rest = Window.partitionBy("name", "_chunk").orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)
     tp, seen = F.sum("is_tp").over(run), F.count(F.lit(1)).over(run)
     if many:
         before = chunk_offsets(rows, ["name"], {"tp": F.sum("is_tp"), "n": F.count(F.lit(1))})
@@ -96,7 +95,7 @@ def precision_curve(
         .withColumn("envelope", F.max("precision").over(rest))
     )
     if many:
-        after = Window.partitionBy("name").orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+        after = Window.partitionBy("name").orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
         later = (
             curve.groupBy("name", "_chunk")
             .agg(F.max("precision").alias("p"))

@@ -1,3 +1,3 @@
 """Runnable queries over the given tables; importing the package registers all of them."""
 
-from annoframe.plans import datasets, detection, live, models, motion, shapes, streams  # noqa: F401
+from annoframe.plans import datasets, detection, files, live, models, motion, shapes, streams  # noqa: F401

@@ -289,8 +289,8 @@ _KEY = "struct<us:bigint,identity:bigint>"
 def _next_bucket(asked: DataFrame, buckets: DataFrame) -> DataFrame:
     """For each asked bucket the first row of the first later bucket that holds rows."""
     merged = asked.select("session", "b", F.lit(None).cast(_KEY).alias("first")).unionAll(buckets.select("session", "b", "first"))
-    after = Window.partitionBy("session").orderBy("b").rangeBetween(1, Window.unboundedFollowing)
-    return merged.withColumn("follow", F.first("first", True).over(after)).groupBy("session", "b").agg(
+    after = Window.partitionBy("session").orderBy(F.desc("b")).rangeBetween(Window.unboundedPreceding, -1)
+    return merged.withColumn("follow", F.last("first", True).over(after)).groupBy("session", "b").agg(
         F.first("follow", True).alias("follow")
     )
 
