@@ -112,9 +112,13 @@ def flatten_ring(ring: Column) -> Column:
 
 def points_from_flat(coords: Column) -> Column:
     """Pairs of a flat list; an odd last number is dropped."""
-    pairs = F.floor(F.size(coords) / 2).cast("int")
-    steps = F.when(pairs > 0, F.sequence(F.lit(1), pairs)).otherwise(F.array().cast("array<int>"))
-    return F.transform(steps, lambda i: point(F.get(coords, i * 2 - 2), F.get(coords, i * 2 - 1)))
+
+    def paired(c: Column) -> Column:
+        pairs = F.floor(F.size(c) / 2).cast("int")
+        steps = F.when(pairs > 0, F.sequence(F.lit(1), pairs)).otherwise(F.array().cast("array<int>"))
+        return F.transform(steps, lambda i: point(F.get(c, i * 2 - 2), F.get(c, i * 2 - 1)))
+
+    return let(coords, paired)
 
 
 def iou(ax, ay, aw, ah, bx, by, bw, bh) -> Column:

@@ -357,7 +357,7 @@ def yolo_obb_lines(t: Tables) -> DataFrame:
 @query(
     "S22_yolo_pose_lines",
     sql(
-        """SELECT f.image_id, f.object_id, count(*)::INT * 3 + 5 AS numbers, round(sum(printf('%.6f', coalesce(px, 0) / width)::DOUBLE), 5) AS xs
+        """SELECT f.image_id, f.object_id, count(*)::INT * 3 + 5 AS numbers, round(sum(printf('%.6f', coalesce(px, 0) / width)::DOUBLE), 6) AS xs
         FROM flat f JOIN images USING (image_id) GROUP BY 1, 2""",
         "keypoints",
         "templates",
@@ -371,7 +371,7 @@ def yolo_pose_lines(t: Tables) -> DataFrame:
     lines = labels.to_yolo_pose(rows, yolo.class_table(t.spark, ["bird", "cat", "post"]), t.images)
     v = F.transform(F.split("line", " "), lambda s: s.cast("double"))
     xs = F.aggregate(F.filter(F.slice(v, 6, F.size(v) - 5), lambda _, i: i % 3 == 0), F.lit(0.0), lambda a, b: a + b)
-    return lines.select("image_id", F.col("pos").alias("object_id"), F.size(v).alias("numbers"), F.round(xs, 5).alias("xs"))
+    return lines.select("image_id", F.col("pos").alias("object_id"), F.size(v).alias("numbers"), F.round(xs, 6).alias("xs"))
 
 
 @query(

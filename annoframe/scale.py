@@ -148,7 +148,7 @@ def global_rank(
         spread.withColumn("_local", local)
         .join(offsets, [*group, "_chunk"])
         .withColumn(name, (F.col("_local") + F.col("_n_before")).cast("long"))
-        .drop("_local", "_n_before", "_chunk")
+        .select(*df.columns, name)
     )
 
 
@@ -166,6 +166,4 @@ def running_sums(
         return spread.withColumns({k: F.sum(v).over(run) for k, v in sums.items()}).drop("_chunk")
     before = chunk_offsets(spread, group, {k: F.sum(v) for k, v in sums.items()})
     local = spread.withColumns({k: F.sum(v).over(run) for k, v in sums.items()}).join(before, [*group, "_chunk"])
-    return local.withColumns({k: F.col(k) + F.col(f"{k}_before") for k in sums}).drop(
-        "_chunk", *[f"{k}_before" for k in sums]
-    )
+    return local.withColumns({k: F.col(k) + F.col(f"{k}_before") for k in sums}).select(*df.columns, *sums)

@@ -37,7 +37,9 @@ def from_canonical(rows: DataFrame, column: str = "json") -> tuple[DataFrame, Da
     text = F.col(column)
     old_list = F.startswith(F.ltrim(F.get_json_object(text, "$.attributes")), F.lit("["))
     a = F.from_json(F.when(old_list, F.regexp_replace(text, r'"attributes"\s*:\s*\[[^\]]*\]', '"attributes":{}')).otherwise(text), CANONICAL)
-    read = rows.withColumns({"a": a, "_keys": F.json_object_keys(text)})
+    # The generator keeps the parse a step of its own: inlined, every check below would parse again.
+    parsed = F.explode(F.array(F.struct(a.alias("a"), F.json_object_keys(text).alias("keys"))))
+    read = rows.withColumn("_p", parsed).withColumns({"a": F.col("_p.a"), "_keys": F.col("_p.keys")}).drop("_p")
     v = F.col("a")
     kind = v["type"]
     short = lambda r: F.size(r) < 3
