@@ -194,15 +194,6 @@ def map_ring(ring: Column, fn: PointMap) -> Column:
     return F.transform(ring, lambda p: point(*fn(p["x"], p["y"])))
 
 
-def box_corners(b: Column) -> Column:
-    return F.array(
-        point(b["x"], b["y"]),
-        point(b["x"] + b["w"], b["y"]),
-        point(b["x"] + b["w"], b["y"] + b["h"]),
-        point(b["x"], b["y"] + b["h"]),
-    )
-
-
 def clamp(v: Column, lo: Column, hi: Column) -> Column:
     return F.greatest(lo, F.least(v, hi))
 
@@ -269,9 +260,27 @@ def _box_area(b: Column) -> Column:
     return b["w"] * b["h"]
 
 
+def _moved_box(b: Column, fn: PointMap) -> Column:
+    """The enclosure of a box's four mapped corners, by plain arithmetic."""
+
+    def ends(v: Column) -> Column:
+        left, top, right, bottom = v["x"], v["y"], v["x"] + v["w"], v["y"] + v["h"]
+        corners = [fn(x, y) for x, y in ((left, top), (right, top), (right, bottom), (left, bottom))]
+        xs, ys = [c[0] for c in corners], [c[1] for c in corners]
+        return F.struct(
+            F.least(*xs).alias("x0"), F.greatest(*xs).alias("x1"), F.least(*ys).alias("y0"), F.greatest(*ys).alias("y1")
+        )
+
+    def sized(e: Column) -> Column:
+        w, h = e["x1"] - e["x0"], e["y1"] - e["y0"]
+        return F.when((w > 0) & (h > 0), box(e["x0"], e["y0"], w, h))
+
+    return let(let(b, ends), sized)
+
+
 def remap_box(b: Column, fn: PointMap, width: Column, height: Column, clip: bool, min_visibility=0.1) -> Column:
     """Corners mapped and enclosed; with ``clip`` cut to the frame and dropped under the floor."""
-    moved = enclosing_box(map_ring(let(b, box_corners), fn))
+    moved = _moved_box(b, fn)
     if not clip:
         return moved
     return let(

@@ -47,7 +47,8 @@ def greedy_matches(
     by_class: bool = True,
     hot_group_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """``image_id, [name,] pred_id, gt_id`` for every claimed pair.
+    """``image_id, pred_id, gt_id`` and the class for every claimed pair: ``name``, or
+    ``pred_name`` and ``gt_name`` when classes are not compared.
 
     Predictions go by confidence (ties by id); each claims the free truth box with the largest IoU
     at or above the threshold, the later one on equal IoU.
@@ -59,7 +60,16 @@ def greedy_matches(
     gts, hot_gts = split_hot(_usable(gt), hot, keys)
     out = _fold_matches(preds, gts, keys, iou_threshold)
     if hot is not None:
-        out = out.unionByName(_round_matches(hot_preds, hot_gts, keys, iou_threshold))
+        rounds = _round_matches(hot_preds, hot_gts, keys, iou_threshold)
+        if not by_class:
+            rounds = rounds.join(
+                hot_preds.select("image_id", F.col("ann_id").alias("pred_id"), F.col("name").alias("pred_name")),
+                ["image_id", "pred_id"],
+            ).join(
+                hot_gts.select("image_id", F.col("ann_id").alias("gt_id"), F.col("name").alias("gt_name")),
+                ["image_id", "gt_id"],
+            )
+        out = out.unionByName(rounds)
     return out
 
 
@@ -73,19 +83,33 @@ def _left(pred: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fold_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    right = gt.select(*keys, F.col("ann_id").alias("gt_id"), *[F.col(c).alias(f"r{c}") for c in "xywh"])
-    pairs = (
-        _left(pred, keys).join(right, keys).withColumn("iou", _pair_iou()).where(F.col("iou") >= threshold)
+    labels = [] if "name" in keys else ["pred_name", "gt_name"]
+    left = pred.select(
+        *keys, F.col("ann_id").alias("pred_id"), "confidence", *[F.col(c).alias(f"l{c}") for c in "xywh"],
+        *[F.col("name").alias(n) for n in labels[:1]],
+    )
+    right = gt.select(
+        *keys, F.col("ann_id").alias("gt_id"), *[F.col(c).alias(f"r{c}") for c in "xywh"],
+        *[F.col("name").alias(n) for n in labels[1:]],
+    )
+    pairs = left.join(right, keys).withColumn("iou", _pair_iou()).where(F.col("iou") >= threshold)
+    edge = F.struct(
+        (-F.col("confidence")).alias("o"), "pred_id", (-F.col("iou")).alias("i"), (-F.col("gt_id")).alias("g"), *labels
     )
-    edge = F.struct((-F.col("confidence")).alias("o"), "pred_id", (-F.col("iou")).alias("i"), (-F.col("gt_id")).alias("g"))
     edges = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    kinds = "".join(f",{n}:string" for n in labels)
     claimed = F.aggregate(
         "edges",
-        F.array().cast("array<struct<pred_id:bigint,gt_id:bigint>>"),
+        F.array().cast(f"array<struct<pred_id:bigint,gt_id:bigint{kinds}>>"),
         lambda acc, e: F.when(
             F.exists(acc, lambda m: (m["pred_id"] == e["pred_id"]) | (m["gt_id"] == -e["g"])), acc
         ).otherwise(
-            F.concat(acc, F.array(F.struct(e["pred_id"].alias("pred_id"), (-e["g"]).alias("gt_id"))))
+            F.concat(
+                acc,
+                F.array(
+                    F.struct(e["pred_id"].alias("pred_id"), (-e["g"]).alias("gt_id"), *[e[n].alias(n) for n in labels])
+                ),
+            )
         ),
     )
     return edges.select(*keys, F.inline(claimed))

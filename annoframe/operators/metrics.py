@@ -147,17 +147,8 @@ def confusion_matrix(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5)
     Unmatched counts come from class totals minus matched totals, so boxes are joined once.
     """
     found = greedy_matches(pred, gt, iou_threshold, by_class=False)
-    matched = (
-        found.join(
-            pred.select("image_id", F.col("ann_id").alias("pred_id"), F.col("name").alias("pred_label")),
-            ["image_id", "pred_id"],
-        )
-        .join(
-            gt.select("image_id", F.col("ann_id").alias("gt_id"), F.col("name").alias("gt_label")),
-            ["image_id", "gt_id"],
-        )
-        .groupBy("gt_label", "pred_label")
-        .agg(F.count(F.lit(1)).alias("count"))
+    matched = found.groupBy(F.col("gt_name").alias("gt_label"), F.col("pred_name").alias("pred_label")).agg(
+        F.count(F.lit(1)).alias("count")
     )
     back = F.lit(BACKGROUND)
     n = F.count(F.lit(1))

@@ -75,7 +75,7 @@ def greedy_match_by_class(t: Tables) -> DataFrame:
     match_sql("SELECT image_id, pid AS pred_id, gid AS gt_id FROM matched", by_class=False),
 )
 def greedy_match_any_class(t: Tables) -> DataFrame:
-    return matching.greedy_matches(t.pred, t.gt, by_class=False)
+    return matching.greedy_matches(t.pred, t.gt, by_class=False).select("image_id", "pred_id", "gt_id")
 
 
 @query(
