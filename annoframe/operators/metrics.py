@@ -160,11 +160,11 @@ def confusion_matrix(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5)
         .unionAll(matched.select("gt_label", back, -F.col("count")))
     )
     counts = signed.groupBy("gt_label", "pred_label").agg(F.sum("count").alias("count"))
+    # The class list, background included, gives the grid: its square is the result itself.
     labels = counts.select(F.explode(F.array("gt_label", "pred_label")).alias("label")).distinct()
-    rows = labels.select(F.col("label").alias("gt_label"))
-    cols = labels.select(F.col("label").alias("pred_label"))
-    # The label list has one row per class: a grid of labels is the result itself, not an explosion.
-    return rows.join(cols, how="cross").join(counts, ["gt_label", "pred_label"], "left").select(
+    listed = labels.agg(F.collect_list("label").alias("all"))
+    grid = listed.select(F.explode("all").alias("gt_label"), "all").select("gt_label", F.explode("all").alias("pred_label"))
+    return grid.join(counts, ["gt_label", "pred_label"], "left").select(
         "gt_label", "pred_label", F.coalesce("count", F.lit(0)).alias("count")
     )
 

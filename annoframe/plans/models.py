@@ -422,7 +422,7 @@ def mask_runs(t: Tables) -> DataFrame:
 
 
 def box_runs(boxes: DataFrame) -> DataFrame:
-    """One run per pixel row of a box, in masks 400 pixels wide."""
+    """One run per pixel row of a box, in masks 1000 pixels wide."""
     row = F.explode(F.sequence(F.lit(0), F.col("h").cast("int") - 1)).alias("row")
     rows = boxes.select("image_id", "ann_id", "x", "y", "w", row)
     start = (F.greatest(F.col("y"), F.lit(0.0)) + F.col("row")) * 1000 + F.col("x") + 3
