@@ -422,3 +422,14 @@ def export_manifest(t: Tables) -> DataFrame:
 )
 def detection_targets(t: Tables) -> DataFrame:
     return exports.detection_targets(mixed_annotations(t), yolo.class_table(t.spark, CLASSES[:5])).drop("image_id")
+
+
+@query(
+    "S10_voc_image_names",
+    sql("SELECT image_id AS path, CASE WHEN image_id % 3 > 0 THEN 'img_' || image_id || '.jpg' END AS image_name FROM images", "images"),
+)
+def voc_image_names(t: Tables) -> DataFrame:
+    """The file name each document gives; a third leave it blank."""
+    named = t.images.withColumn("filename", F.when(F.col("image_id") % 3 > 0, F.concat(F.lit(" "), "filename")).otherwise(F.lit(" ")))
+    docs = labels.voc_heads(named).select(F.col("image_id").alias("path"), F.concat("head", F.lit("</annotation>")).alias("text"))
+    return files.voc_image_names(docs)

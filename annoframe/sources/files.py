@@ -10,6 +10,12 @@ from annoframe.functions.text import IMAGE_SUFFIXES, base_name, suffix
 from annoframe.schemas import CANONICAL, VOC
 
 
+def voc_image_names(files: DataFrame) -> DataFrame:
+    """``path, image_name``: the image each document names, null when it names none."""
+    doc = files.select("path", F.from_xml("text", VOC, {"mode": "PERMISSIVE"}).alias("d"))
+    return doc.select("path", F.nullif(F.trim("d.filename"), F.lit("")).alias("image_name"))
+
+
 def from_voc(files: DataFrame) -> DataFrame:
     """``path, image_name, pos, name, bbox`` of ``path, text`` rows of VOC XML.
 
