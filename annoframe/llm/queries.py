@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import lines, quality
+from annoframe.llm import bpe, lines, mixing, near, quality
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,19 +16,35 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_line_dedup,
+        op3_source_mixing,
         op4_quality_rules,
+        op6_bpe,
+        op9_near_dedup,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": lines.sql(),
+    "op3_source_mixing": mixing.sql(),
     "op4_quality_rules": quality.sql(),
 }
