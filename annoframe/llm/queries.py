@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import bpe, lines, mixing, near, quality
+from annoframe.llm import bpe, lines, mixing, near, quality, sketch, tokens
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +28,18 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.report(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.report(table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -39,7 +47,9 @@ QUERIES: dict[str, Query] = {
         op3_source_mixing,
         op4_quality_rules,
         op6_bpe,
+        op7_fingerprints,
         op9_near_dedup,
+        op10_token_files,
     )
 }
 
