@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import bpe, lines, mixing, near, quality, sketch, tokens
+from annoframe.llm import bpe, lines, mixing, near, quality, sketch, tokens, warc
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
         op1_line_dedup,
         op3_source_mixing,
         op4_quality_rules,
+        op5_warc,
         op6_bpe,
         op7_fingerprints,
         op9_near_dedup,
@@ -57,4 +62,5 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": lines.sql(),
     "op3_source_mixing": mixing.sql(),
     "op4_quality_rules": quality.sql(),
+    "op5_warc": warc.sql(),
 }
