@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import bpe, lines, mixing, near, quality, sketch, tokens, warc
+from annoframe.llm import bpe, lines, mixing, near, pii, quality, sketch, tokens, warc
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_line_dedup,
+        op2_pii,
         op3_source_mixing,
         op4_quality_rules,
         op5_warc,
