@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import bpe, lines, mixing, near, pii, quality, sketch, tokens, warc
+from annoframe.llm import bpe, lines, mixing, near, pii, quality, sketch, tokens, warc, wrappers
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.report(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.report(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
         op5_warc,
         op6_bpe,
         op7_fingerprints,
+        op8_html_extraction,
         op9_near_dedup,
         op10_token_files,
     )
