@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KINDS = {"view": "frame", "click": "event", "purchase": "capture", "error": "stats", "signup": "status"}
@@ -25,23 +25,17 @@ class Tables:
 
     @cached_property
     def gt(self) -> DataFrame:
-        base = (
-            self.raw("lineitem")
-            .where("l_linenumber < 7")
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(
-                F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"), F.min("l_quantity").alias("q")
-            )
-        )
-        return base.selectExpr(
+        # Every row is a box; its place among the rows of its order makes its id.
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+        return self.raw("lineitem").withColumn("line", place).selectExpr(
             "l_orderkey as image_id",
-            "l_orderkey * 10 + l_linenumber as ann_id",
-            "concat('class_', sk % 6) as name",
-            "cast(pk % 400 as double) as x",
-            "cast(pk * 7 % 300 as double) as y",
-            "20 + q as w",
-            "cast(20 + sk % 60 as double) as h",
-            "cast(l_linenumber as int) as line",
+            "l_orderkey * 1000 + line as ann_id",
+            "concat('class_', l_suppkey % 6) as name",
+            "cast(l_partkey % 400 as double) as x",
+            "cast(l_partkey * 7 % 300 as double) as y",
+            "20 + l_quantity as w",
+            "cast(20 + l_suppkey % 60 as double) as h",
+            "line",
         )
 
     @cached_property
@@ -58,7 +52,7 @@ class Tables:
         )
         second = self.gt.where("ann_id % 6 = 0").selectExpr(
             "image_id",
-            "ann_id + 1000000000 as ann_id",
+            "ann_id + 1000000000000 as ann_id",
             "name",
             "x + 2 as x",
             "y + 1 as y",
@@ -205,21 +199,23 @@ class Tables:
         )
 
 
+#: Names a row of ``lineitem`` within its order.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gt": (
         (),
-        """SELECT l_orderkey AS image_id, l_orderkey * 10 + l_linenumber AS ann_id,
-        'class_' || (sk % 6) AS name, (pk % 400)::DOUBLE AS x, (pk * 7 % 300)::DOUBLE AS y,
-        20 + q AS w, (20 + sk % 60)::DOUBLE AS h, l_linenumber AS line
-        FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) pk, min(l_suppkey) sk, min(l_quantity) q
-              FROM lineitem WHERE l_linenumber < 7 GROUP BY 1, 2)""",
+        f"""SELECT l_orderkey AS image_id, l_orderkey * 1000 + line AS ann_id,
+        'class_' || (l_suppkey % 6) AS name, (l_partkey % 400)::DOUBLE AS x, (l_partkey * 7 % 300)::DOUBLE AS y,
+        20 + l_quantity AS w, (20 + l_suppkey % 60)::DOUBLE AS h, line
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(LINE_ORDER)}) AS line FROM lineitem)""",
     ),
     "pred": (
         ("gt",),
         """SELECT image_id, ann_id, CASE WHEN ann_id % 11 = 0 THEN 'class_0' ELSE name END AS name,
         x + (ann_id % 7 - 3) AS x, y + (ann_id % 5 - 2) AS y, w, h + ann_id % 4 AS h,
         1 - (ann_id % 97) / 100 AS confidence FROM gt WHERE ann_id % 9 <> 0
-        UNION ALL SELECT image_id, ann_id + 1000000000, name, x + 2, y + 1, w, h, (ann_id % 89) / 100
+        UNION ALL SELECT image_id, ann_id + 1000000000000, name, x + 2, y + 1, w, h, (ann_id % 89) / 100
         FROM gt WHERE ann_id % 6 = 0""",
     ),
     "images": (
