@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoframe.scale import global_rank
+
 # Fixed value: most images one annotation batch may hold.
 BATCH_IMAGES = 5000
 
@@ -84,20 +86,25 @@ def pick(images: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def plan_annotation_run(
-    images: DataFrame, *, overwrite: bool = False, max_images: int | None = None, batch: bool = True
+    images: DataFrame, *, overwrite: bool = False, max_images: int | None = None, batch_images: int = BATCH_IMAGES
 ) -> tuple[DataFrame, DataFrame]:
-    """``(images to submit, report)``; annotated images are left out unless ``overwrite``."""
+    """``(images to submit with their batch_no, report)``; annotated images are left out unless ``overwrite``.
+
+    Every eligible image is submitted, ``batch_images`` to a batch in id order. ``max_images`` is the one bound, and the
+    report says how many images it left out.
+    """
     eligible = images if overwrite else images.where("annotation_count = 0")
-    caps = [c for c in (max_images, BATCH_IMAGES if batch else None) if c is not None]
-    chosen = eligible.orderBy("image_id").limit(min(caps)) if caps else eligible
+    if max_images is not None:
+        eligible = eligible.orderBy("image_id").limit(max_images)
+    ranked = global_rank(eligible, [F.col("image_id").asc()], "_rank")
+    chosen = ranked.withColumn("batch_no", F.floor((F.col("_rank") - 1) / batch_images)).drop("_rank")
     open_image = F.lit(True) if overwrite else F.col("annotation_count") == 0
-    asked = F.least(F.col("eligible"), F.lit(max_images)) if max_images is not None else F.col("eligible")
-    sent = F.least(asked, F.lit(BATCH_IMAGES)) if batch else asked
+    sent = F.col("eligible") if max_images is None else F.least(F.col("eligible"), F.lit(max_images))
     report = images.agg(F.count(F.lit(1)).alias("total"), F.count_if(open_image).alias("eligible")).select(
         sent.cast("bigint").alias("attempted"),
         (F.col("total") - F.col("eligible")).alias("skipped"),
         (F.col("eligible") - sent).cast("bigint").alias("capped"),
-        (asked - sent).cast("bigint").alias("over_batch"),
+        F.ceil(sent / batch_images).cast("bigint").alias("batches"),
     )
     return chosen, report
 

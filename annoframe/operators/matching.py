@@ -35,9 +35,13 @@ def _pair_iou() -> Column:
     return iou("lx", "ly", "lw", "lh", "rx", "ry", "rw", "rh")
 
 
+def _real(df: DataFrame) -> DataFrame:
+    """Boxes of which every number is there and finite."""
+    return df.where(finite(F.col("x")) & finite(F.col("y")) & finite(F.col("w")) & finite(F.col("h")))
+
+
 def _usable(df: DataFrame) -> DataFrame:
-    real = finite(F.col("x")) & finite(F.col("y")) & finite(F.col("w")) & finite(F.col("h"))
-    return df.where(real & (F.col("w") > 0) & (F.col("h") > 0))
+    return _real(df).where((F.col("w") > 0) & (F.col("h") > 0))
 
 
 def greedy_matches(
@@ -206,9 +210,12 @@ def nms(
 ) -> DataFrame:
     """The boxes no kept, higher-scoring box of the group overlaps by more than the threshold.
 
-    Order inside a group: confidence descending, then ``ann_id``.
+    Order inside a group: confidence descending (null last), then ``ann_id``. A box with a null, NaN or infinite
+    number is no detection: it is left out and suppresses nothing, whatever the size of its group.
     """
-    keys = _keys(by_class)
+    if not 0.0 <= iou_threshold <= 1.0:
+        raise ValueError(f"iou_threshold must be in [0, 1], got {iou_threshold}")
+    boxes, keys = _real(boxes), _keys(by_class)
     hot = hot_groups([boxes], keys, hot_group_rows) if hot_group_rows else None
     small, large = split_hot(boxes, hot, keys)
     kept = _fold_nms(small, keys, iou_threshold)

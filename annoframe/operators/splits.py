@@ -44,10 +44,23 @@ def assign_splits(
         F.max(F.when(F.col("_rank") == F.col("_val"), F.col("_key"))).alias("_last_val"),
         F.max(F.when(F.col("_rank") == F.col("_test"), F.col("_key"))).alias("_last_test"),
     )
-    return rows.join(cuts, "_g", "left").select(
+    if by is None:
+        # Two cut keys for the whole table: two scalars in the comparison, no join.
+        found = cuts.select("_last_val._h", "_last_val.image_id", "_last_test._h", "_last_test.image_id").first() or (None,) * 4
+        placed = rows.select("image_id", "_key", *[_cut_key(rows, *found[i : i + 2]).alias(n) for i, n in ((0, "_last_val"), (2, "_last_test"))])
+    else:
+        placed = rows.join(cuts, "_g", "left")
+    return placed.select(
         "image_id",
         F.when(F.col("_key") <= F.col("_last_val"), F.lit("val"))
         .when(F.col("_key") <= F.col("_last_test"), F.lit("test"))
         .otherwise(F.lit("train"))
         .alias("split"),
     )
+
+
+def _cut_key(rows: DataFrame, digest: str | None, image_id) -> Column:
+    kind = rows.schema["_key"].dataType
+    if digest is None:
+        return F.lit(None).cast(kind)
+    return F.struct(F.lit(digest).alias("_h"), F.lit(image_id).cast(rows.schema["image_id"].dataType).alias("image_id"))

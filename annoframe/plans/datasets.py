@@ -61,21 +61,23 @@ def selected_images(t: Tables) -> DataFrame:
 
 @query(
     "F3_annotation_run_plan",
-    stat_sql("SELECT image_id FROM stat WHERE annotation_count = 0 ORDER BY image_id LIMIT 300"),
+    stat_sql(
+        """SELECT image_id, (row_number() OVER (ORDER BY image_id) - 1) // 5000 AS batch_no FROM stat WHERE annotation_count = 0"""
+    ),
 )
 def annotation_run_plan(t: Tables) -> DataFrame:
-    return images.plan_annotation_run(stats(t), max_images=300)[0].select("image_id")
+    return images.plan_annotation_run(stats(t))[0].select("image_id", "batch_no")
 
 
 @query(
     "F3_annotation_run_report",
     stat_sql(
-        """SELECT least(e, 300)::BIGINT AS attempted, n - e AS skipped, (e - least(e, 300))::BIGINT AS capped,
-        0::BIGINT AS over_batch FROM (SELECT count(*) AS n, count(*) FILTER (annotation_count = 0) AS e FROM stat)"""
+        """SELECT e AS attempted, n - e AS skipped, 0::BIGINT AS capped, ceil(e / 5000)::BIGINT AS batches
+        FROM (SELECT count(*) AS n, count(*) FILTER (annotation_count = 0) AS e FROM stat)"""
     ),
 )
 def annotation_run_report(t: Tables) -> DataFrame:
-    return images.plan_annotation_run(stats(t), max_images=300)[1]
+    return images.plan_annotation_run(stats(t))[1]
 
 
 @query("F4_class_filter", sql("SELECT ann_id FROM pred WHERE name IN ('class_1', 'class_3')", "pred"))
@@ -181,14 +183,14 @@ def public_catalog(t: Tables) -> DataFrame:
     "T7_trending_catalog",
     sql(
         """SELECT dataset_id, stars_week FROM (SELECT p.dataset_id, coalesce(stars_week, 0) AS stars_week
-        FROM pub p LEFT JOIN star USING (dataset_id)) ORDER BY stars_week DESC, dataset_id LIMIT 20""",
+        FROM pub p LEFT JOIN star USING (dataset_id)) ORDER BY stars_week DESC, dataset_id""",
         "tags",
         more=CATALOG,
     ),
 )
 def trending_catalog(t: Tables) -> DataFrame:
     now = F.lit("2024-01-30").cast("timestamp")
-    return images.catalog(public_datasets(t), stars(t), now, sort="trending").select("dataset_id", "stars_week").limit(20)
+    return images.catalog(public_datasets(t), stars(t), now, sort="trending").select("dataset_id", "stars_week")
 
 
 @query("F13_review_queue", stat_sql("SELECT image_id, min_confidence FROM stat WHERE min_confidence < 0.3 AND NOT is_archived"))
@@ -436,12 +438,12 @@ def usage_by_operation(t: Tables) -> DataFrame:
     "T7_operations_by_spend",
     sql(
         """SELECT operation, (-sum(amount))::BIGINT AS total_micro_usd, count(*) AS events FROM ledger WHERE amount < 0
-        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""",
+        GROUP BY 1 ORDER BY 2 DESC, 1""",
         "ledger",
     ),
 )
 def operations_by_spend(t: Tables) -> DataFrame:
-    return insights.by_spend(insights.usage_by_operation(t.ledger, F.current_timestamp(), "all")).limit(3)
+    return insights.by_spend(insights.usage_by_operation(t.ledger, F.current_timestamp(), "all"))
 
 
 @query(

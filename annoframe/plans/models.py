@@ -87,9 +87,9 @@ def duplicate_clusters(t: Tables) -> DataFrame:
 
 # --- classification -------------------------------------------------------------------------------
 
-CLASSES = [f"kind_{i}" for i in range(9)]  # the tenth logit has no name
+CLASSES = [f"kind_{i}" for i in range(63)]  # the last of the 64 logits has no name
 SOFT = """soft AS MATERIALIZED (SELECT image_id, truth, i - 1 AS c, exp(logits[i] - list_max(logits)) /
-    list_sum([exp(v - list_max(logits)) FOR v IN logits]) AS p FROM logits, range(1, 11) r(i)),
+    list_sum([exp(v - list_max(logits)) FOR v IN logits]) AS p FROM logits, range(1, 65) r(i)),
   topped AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY p DESC, c) - 1 AS rank FROM soft)"""
 
 
@@ -97,7 +97,7 @@ SOFT = """soft AS MATERIALIZED (SELECT image_id, truth, i - 1 AS c, exp(logits[i
     "T4_top_classes",
     sql(
         """SELECT image_id, rank::INT AS rank, 'kind_' || c AS name, round(p, 9) AS confidence FROM topped
-        WHERE rank < 3 AND c < 9 AND (rank = 0 OR p >= CASE c WHEN 2 THEN 0.05::DOUBLE ELSE 0.2::DOUBLE END)""",
+        WHERE rank < 3 AND c < 63 AND (rank = 0 OR p >= CASE c WHEN 2 THEN 0.05::DOUBLE ELSE 0.2::DOUBLE END)""",
         "logits",
         more=SOFT,
     ),

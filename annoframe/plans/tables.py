@@ -163,7 +163,7 @@ class Tables:
     def logits(self) -> DataFrame:
         return self.raw("embeddings").selectExpr(
             "vec_id as image_id",
-            "transform(slice(embedding, 1, 10), v -> cast(v as double) * 10) as logits",
+            "transform(embedding, v -> cast(v as double) * 10) as logits",
             "cast(label % 10 as int) as truth",
         )
 
@@ -267,7 +267,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "vectors": ((), "SELECT vec_id, embedding, label AS cluster FROM embeddings"),
     "logits": (
         (),
-        """SELECT vec_id AS image_id, [v::DOUBLE * 10 FOR v IN embedding[1:10]] AS logits,
+        """SELECT vec_id AS image_id, [v::DOUBLE * 10 FOR v IN embedding] AS logits,
         (label % 10)::INT AS truth FROM embeddings""",
     ),
     "ledger": (

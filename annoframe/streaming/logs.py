@@ -37,6 +37,13 @@ def log_history(log: DataFrame, since: Column | None = None, until: Column | Non
     return log.where(F.col("time") < until) if until is not None else log
 
 
+def _refuse(**faults: bool) -> None:
+    """Raise if a named argument check failed."""
+    named = [name.replace("_", " ") for name, wrong in faults.items() if wrong]
+    if named:
+        raise ValueError(f"log filter: bad {', '.join(named)}")
+
+
 def filter_log(
     log: DataFrame,
     *,
@@ -47,28 +54,29 @@ def filter_log(
     every: int | None = None,
 ) -> DataFrame:
     """F11 / ST1: a record keeps its matching ``annotations``; a frame left without any is dropped."""
-    if kinds is not None:
-        unknown = [k for k in kinds if k not in LOG_KINDS]
-        if unknown:
-            raise ValueError(f"kinds are {', '.join(LOG_KINDS)}; got {', '.join(unknown)}")
-        log = log.where(F.col("kind").isin(*kinds))
-    if session is not None:
-        log = log.where(F.col("session") == session)
-    if every is not None:
-        if every < 1:
-            raise ValueError("every is a whole number of frames, 1 or more")
-        log = log.where((F.col("kind") != "frame") | (F.col("frame") % every == 0))
+    _refuse(
+        foreign_kinds=bool(set(kinds or ()) - set(LOG_KINDS)),
+        frame_step=every is not None and every < 1,
+        confidence_bound=min_confidence is not None and not 0 <= min_confidence <= 1,
+    )
+    frame = F.col("kind") == "frame"
+    conditions = [
+        kinds is not None and F.col("kind").isin(*kinds),
+        session is not None and F.col("session") == session,
+        every is not None and (~frame | (F.col("frame") % (every or 1) == 0)),
+    ]
+    for condition in conditions:
+        if condition is not False:
+            log = log.where(condition)
     if classes is None and min_confidence is None:
         return log
-    if min_confidence is not None and not 0 <= min_confidence <= 1:
-        raise ValueError("min_confidence is from 0 to 1")
 
     def fits(a: Column) -> Column:
         good = F.lit(True) if classes is None else a["name"].isin(*classes)
         return good if min_confidence is None else good & (a["confidence"] >= min_confidence)
 
     kept = log.withColumn("annotations", F.filter("annotations", fits))
-    return kept.where((F.col("kind") != "frame") | (F.size("annotations") > 0))
+    return kept.where(~frame | (F.size("annotations") > 0))
 
 
 def filter_run_log(
@@ -220,6 +228,8 @@ def throttle(log: DataFrame, interval_s: float, max_rows: int = SESSION_ROWS_IN_
     A session over ``max_rows`` is not walked by one task: every row gets a pointer to its successor,
     found per interval bucket, and the chain from the first row is marked by pointer doubling.
     """
+    if not interval_s > 0:
+        raise ValueError(f"interval_s must be positive, got {interval_s}")
     hot = hot_groups([log], ["session"], max_rows)
     small, large = split_hot(log, hot, ["session"])
     out = _walk(small, interval_s)

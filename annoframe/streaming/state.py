@@ -34,6 +34,8 @@ class Throttle:
     output = "identity bigint, us bigint"
 
     def __init__(self, interval_s: float) -> None:
+        if not interval_s > 0:
+            raise ValueError(f"interval_s must be positive, got {interval_s}")
         self.step = int(round(interval_s * 1e6))
 
     def row(self, memory: dict, row: dict) -> list[tuple]:

@@ -139,3 +139,20 @@ def test_empty_sides(spark):
     assert metrics.average_precision(pr, gt).first().ap == 0.0
     over = metrics.overall_metrics(metrics.class_metrics(pr, gt.limit(0))).first()
     assert (over.tp, over.macro_f1) == (0, 0.0)
+
+
+def test_bad_numbers_are_no_detection_on_either_path(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, "a", 0, 0.0, 0.0, 10.0, 10.0, 0.5),
+        (1, "a", 1, 0.0, 0.0, None, 10.0, 0.9),
+        (1, "a", 2, 0.0, 0.0, nan, 10.0, 0.8),
+        (1, "a", 3, 0.0, 0.0, inf, 10.0, 0.7),
+        (1, "a", 4, 1.0, 0.0, 10.0, 10.0, 0.4),
+        (1, "a", 5, 50.0, 0.0, 0.0, 10.0, 0.3),
+    ]
+    for limit in (None, 2):
+        kept = matching.nms(preds(spark, rows), 0.5, hot_group_rows=limit)
+        assert sorted(r.ann_id for r in kept.collect()) == [0, 5]
+    with pytest.raises(ValueError):
+        matching.nms(preds(spark, rows), -0.1)
