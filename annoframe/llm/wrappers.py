@@ -146,7 +146,8 @@ def parse(page: str) -> Node:
     return root
 
 
-# --- wrappers: [label, optional, repeated, parts]; a text slot is ["", optional, variable, []] -----------------------
+# --- wrappers: [label, optional, repeated, parts]; a text slot is ["", optional, text, []], where text is the hash of what
+# all pages say there, or True where they differ ----------------------------------------------------------------------
 
 
 def generalise(node: Node) -> tuple[list, list[str]]:
@@ -203,7 +204,7 @@ def _align(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
 def _merge_texts(a: list, ta: list[list[str]], b: list, tb: list[list[str]]) -> tuple[list, list[list[str]]]:
     """Align two wrappers of one name, with the texts of their slots side by side."""
     if not a[0]:
-        return ["", a[1] or b[1], a[2] or b[2], []], [ta[0] + tb[0]]
+        return ["", a[1] or b[1], a[2] if a[2] == b[2] else True, []], [ta[0] + tb[0]]
     parts, texts = [], []
     ia = ib = 0
     for i, j in _align(a[3], b[3]):
@@ -227,8 +228,8 @@ def align(a: list, b: list) -> list:
     return _merge_texts(a, blank(a), b, blank(b))[0]
 
 
-def with_variable(wrapper: list, flags: list[bool]) -> list:
-    """Mark the slots, in order, as variable."""
+def with_slots(wrapper: list, flags: list) -> list:
+    """Put what is known of the slots, in order."""
     rest = iter(flags)
 
     def walk(w: list) -> list:
@@ -263,7 +264,7 @@ def extract(page: Node, wrapper: list) -> str:
             if isinstance(part, str):
                 if inside:
                     all_texts.append(part)
-                    if not whole or match is None or match[2]:
+                    if not whole or match is None or match[2] is True:
                         sure.append(part)
             elif not is_aside(name, inside and not whole):
                 walk(part, match, inside or _tag(name) in ("article", "main"))
@@ -289,38 +290,43 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(shapes), pa.array(hashes, pa.list_(pa.int64()))], ["host", "shape", "hashes"])
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
+def _fold(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
     """Align the wrappers of a host, one after the other."""
-    whole = None
+    whole, n = None, int(rows["n"].sum())
     for text in sorted(rows["wrapper"]):
         w = json.loads(text)
         whole = w if whole is None else align(whole, w)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(whole, separators=(",", ":"))]})
+    if last and n < ENOUGH:
+        whole = with_slots(whole, [True] * _slots(whole))
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(whole, separators=(",", ":"))], "n": [n]})
 
 
-def _marked(shapes: pd.Series, flags: pd.Series) -> pd.Series:
-    return pd.Series([json.dumps(with_variable(json.loads(s), [bool(x) for x in f]), separators=(",", ":")) for s, f in zip(shapes, flags)])
+def _marked(shapes: pd.Series, hashes: pd.Series) -> pd.Series:
+    own = lambda s, f: with_slots(json.loads(s), [True if x is None or x != x else int(x) for x in f])
+    return pd.Series([json.dumps(own(s, f), separators=(",", ":")) for s, f in zip(shapes, hashes)])
 
 
 def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(``host``, ``wrapper``) from all pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     shaped = rows.mapInArrow(_shapes, "host string, shape string, hashes array<long>")
-    # One row per host, shape and slot: does its text differ between pages?
+    # One row per host, shape and slot: the hash of its text where all pages have the same. Hashes go as text, since
+    # a column of numbers with gaps would lose digits in pandas.
     slots = (
         shaped.select("host", "shape", F.posexplode_outer("hashes").alias("slot", "h"))
         .groupBy("host", "shape", "slot")
         .agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count(F.lit(1)).alias("n"))
     )
-    flags = F.transform(F.sort_array(F.collect_list(F.struct("slot", (F.col("lo") != F.col("hi")).alias("varies")))), lambda s: s["varies"])
-    known = slots.groupBy("host", "shape").agg(flags.alias("flags"), F.max("n").alias("n"))
-    none = F.array().cast("array<boolean>")
-    known = known.withColumn("flags", F.when(F.col("n") >= ENOUGH, F.col("flags")).otherwise(F.transform("flags", lambda _: F.lit(True))))
-    known = known.withColumn("flags", F.coalesce(F.filter("flags", lambda f: f.isNotNull()), none))
+    same = F.struct("slot", F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).alias("h"))
+    known = slots.groupBy("host", "shape").agg(
+        F.transform(F.sort_array(F.collect_list(same)), lambda s: s["h"]).alias("hashes"), F.max("n").alias("n")
+    )
     mark = F.pandas_udf(_marked, "string")
-    own = known.select("host", mark("shape", "flags").alias("wrapper"), F.pmod(F.xxhash64("shape"), F.lit(SALTS)).alias("salt"))
-    some = own.groupBy("host", "salt").applyInPandas(lambda rows: _fold(rows), "host string, wrapper string")
-    return some.groupBy("host").applyInPandas(lambda rows: _fold(rows), "host string, wrapper string")
+    salt = F.pmod(F.xxhash64("shape"), F.lit(SALTS)).alias("salt")
+    own = known.select("host", mark("shape", "hashes").alias("wrapper"), "n", salt)
+    schema = "host string, wrapper string, n long"
+    some = own.groupBy("host", "salt").applyInPandas(lambda rows: _fold(rows, False), schema)
+    return some.groupBy("host").applyInPandas(lambda rows: _fold(rows, True), schema)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +349,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     spark = pages.sparkSession
     home = f"{scratch_dir(spark)}/wrappers-{uuid.uuid4().hex}"
     infer(pages, url, html).write.parquet(home)
-    wrappers = spark.read.schema("host string, wrapper string").parquet(home)  # its file size decides how it is joined
+    wrappers = spark.read.schema("host string, wrapper string, n long").parquet(home).drop("n")  # its file size decides how it is joined
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("host", host_of(F.col("url")))
     joined = rows.join(wrappers, "host", "left").select("key", "url", "html", "wrapper")
     out = joined.mapInArrow(_texts, "key long, url string, text string")
