@@ -37,8 +37,9 @@ BANDS, ROWS = 10, 4
 RARE = 0.1
 #: Documents of a block and, for long texts, shingles of a block: what one task holds at a time.
 BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 21
-#: Pivots of a bucket in the first round; each further round takes PIVOT_GROWTH times as many.
-PIVOTS, PIVOT_GROWTH = 1, 6
+#: Pivots of a bucket in the first round (up to SMALL members: all of them); each further round takes PIVOT_GROWTH times
+#: as many.
+PIVOTS, PIVOT_GROWTH, SMALL = 1, 16, 8
 
 
 # --- document counts -------------------------------------------------------------------------------------------------
@@ -254,11 +255,16 @@ class Classes:
             return None
         texts, edges, labels, pivots = self._texts(members), None, None, PIVOTS
         while True:
-            spread = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+            spread = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
             # Spark keeps only the first ranks of each bucket before it shuffles.
             rank = F.row_number().over(Window.partitionBy("bucket").orderBy("fp"))
-            first = members.withColumn("__r", rank).where(F.col("__r") <= pivots)
-            heads = first.groupBy("bucket").agg(F.collect_list(F.struct("fp", "comp")).alias("p")).join(spread, "bucket", "left_semi")
+            first = members.withColumn("__r", rank).where(F.col("__r") <= max(pivots, SMALL))
+            heads = (
+                first.join(spread.where("lo <> hi"), "bucket")
+                .where((F.col("__r") <= pivots) | (F.col("n") <= SMALL))
+                .groupBy("bucket")
+                .agg(F.collect_list(F.struct("fp", "comp")).alias("p"))
+            )
             heads = cut(heads)
             if heads.isEmpty():
                 return labels
