@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from annoframe.operators.matching import greedy_matches
 from annoframe.scale import chunk_offsets, chunked
+from annoframe.session import cut
 
 BACKGROUND = "__background__"
 CLASS_ROWS_IN_ONE_TASK = 2_000_000
@@ -147,8 +148,11 @@ def confusion_matrix(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5)
     Unmatched counts come from class totals minus matched totals, so boxes are joined once.
     """
     found = greedy_matches(pred, gt, iou_threshold, by_class=False)
-    matched = found.groupBy(F.col("gt_name").alias("gt_label"), F.col("pred_name").alias("pred_label")).agg(
-        F.count(F.lit(1)).alias("count")
+    # A row per pair of classes: kept, since every part of the grid starts from it.
+    matched = cut(
+        found.groupBy(F.col("gt_name").alias("gt_label"), F.col("pred_name").alias("pred_label")).agg(
+            F.count(F.lit(1)).alias("count")
+        )
     )
     back = F.lit(BACKGROUND)
     n = F.count(F.lit(1))
@@ -159,7 +163,7 @@ def confusion_matrix(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5)
         .unionAll(gt.groupBy("name").agg(n).select("name", back, "count(1)"))
         .unionAll(matched.select("gt_label", back, -F.col("count")))
     )
-    counts = signed.groupBy("gt_label", "pred_label").agg(F.sum("count").alias("count"))
+    counts = cut(signed.groupBy("gt_label", "pred_label").agg(F.sum("count").alias("count")))
     # The class list, background included, gives the grid: its square is the result itself.
     labels = counts.select(F.explode(F.array("gt_label", "pred_label")).alias("label")).distinct()
     listed = labels.agg(F.collect_list("label").alias("all"))
@@ -169,9 +173,12 @@ def confusion_matrix(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5)
     )
 
 
-def image_performance(pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5) -> DataFrame:
+def image_performance(
+    pred: DataFrame, gt: DataFrame, iou_threshold: float = 0.5, matches: DataFrame | None = None
+) -> DataFrame:
     """TP, FP, FN and box counts per image; an image on one side only is kept."""
-    counts = class_counts(pred, gt, greedy_matches(pred, gt, iou_threshold), by=["image_id"])
+    found = matches if matches is not None else greedy_matches(pred, gt, iou_threshold)
+    counts = class_counts(pred, gt, found, by=["image_id"])
     return counts.select(
         "image_id",
         "tp",

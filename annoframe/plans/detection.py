@@ -9,6 +9,7 @@ from annoframe.functions.geometry import iou
 from annoframe.operators import matching, metrics
 from annoframe.plans.registry import query
 from annoframe.plans.tables import Tables, sql
+from annoframe.session import cut
 
 IOU = """CASE WHEN least({a}.x + {a}.w, {b}.x + {b}.w) > greatest({a}.x, {b}.x)
  AND least({a}.y + {a}.h, {b}.y + {b}.h) > greatest({a}.y, {b}.y)
@@ -67,7 +68,7 @@ def match_sql(body: str, *more: str, threshold: str = "0.5", by_class: bool = Tr
     match_sql("SELECT image_id, grp AS name, pid AS pred_id, gid AS gt_id FROM matched"),
 )
 def greedy_match_by_class(t: Tables) -> DataFrame:
-    return matching.greedy_matches(t.pred, t.gt)
+    return matching.greedy_matches(*t.boxes)
 
 
 @query(
@@ -75,7 +76,7 @@ def greedy_match_by_class(t: Tables) -> DataFrame:
     match_sql("SELECT image_id, pid AS pred_id, gid AS gt_id FROM matched", by_class=False),
 )
 def greedy_match_any_class(t: Tables) -> DataFrame:
-    return matching.greedy_matches(t.pred, t.gt, by_class=False).select("image_id", "pred_id", "gt_id")
+    return matching.greedy_matches(*t.boxes, by_class=False).select("image_id", "pred_id", "gt_id")
 
 
 @query(
@@ -88,7 +89,13 @@ def greedy_match_any_class(t: Tables) -> DataFrame:
     ),
 )
 def class_metrics(t: Tables) -> DataFrame:
-    return rounded(metrics.class_metrics(t.pred, t.gt), "precision", "recall", "f1")
+    return rounded(metrics.class_metrics(*matched(t)), "precision", "recall", "f1")
+
+
+def matched(t: Tables) -> tuple[DataFrame, DataFrame, float, DataFrame]:
+    """Predictions, truth, the IoU threshold and the pairs claimed at it, each made once."""
+    pred, gt = t.boxes
+    return pred, gt, 0.5, cut(matching.greedy_matches(pred, gt))
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
@@ -107,13 +114,13 @@ def rounded(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
 )
 def overall_metrics(t: Tables) -> DataFrame:
     return rounded(
-        metrics.overall_metrics(metrics.class_metrics(t.pred, t.gt)), "precision", "recall", "f1", "macro_f1"
+        metrics.overall_metrics(metrics.class_metrics(*matched(t))), "precision", "recall", "f1", "macro_f1"
     )
 
 
 @query("A3_average_precision", match_sql("SELECT name, round(ap, 9) AS ap FROM ap", COUNTS, CURVE, AP))
 def average_precision(t: Tables) -> DataFrame:
-    return rounded(metrics.average_precision(t.pred, t.gt), "ap")
+    return rounded(metrics.average_precision(*matched(t)), "ap")
 
 
 @query(
@@ -125,7 +132,8 @@ def average_precision(t: Tables) -> DataFrame:
     ),
 )
 def precision_curve(t: Tables) -> DataFrame:
-    curve = metrics.precision_curve(t.pred, matching.greedy_matches(t.pred, t.gt)).drop("confidence")
+    pred, _, _, found = matched(t)
+    curve = metrics.precision_curve(pred, found).drop("confidence")
     return rounded(curve, "precision", "envelope")
 
 
@@ -141,7 +149,7 @@ def _map_oracle() -> str:
 
 @query("A4_mean_average_precision_sweep", _map_oracle())
 def mean_average_precision(t: Tables) -> DataFrame:
-    return rounded(metrics.mean_average_precision(t.pred, t.gt, SWEEP), "map")
+    return rounded(metrics.mean_average_precision(*t.boxes, SWEEP), "map")
 
 
 @query(
@@ -158,7 +166,7 @@ def mean_average_precision(t: Tables) -> DataFrame:
     ),
 )
 def confusion_matrix(t: Tables) -> DataFrame:
-    return metrics.confusion_matrix(t.pred, t.gt)
+    return metrics.confusion_matrix(*t.boxes)
 
 
 PER_IMAGE = """per_image AS (SELECT image_id, sum(m)::BIGINT AS tp, (sum(p) - sum(m))::BIGINT AS fp,
@@ -169,7 +177,7 @@ PER_IMAGE = """per_image AS (SELECT image_id, sum(m)::BIGINT AS tp, (sum(p) - su
 
 @query("J4_outer_image_join", match_sql("SELECT * FROM per_image", PER_IMAGE))
 def outer_image_join(t: Tables) -> DataFrame:
-    return metrics.image_performance(t.pred, t.gt)
+    return metrics.image_performance(*matched(t))
 
 
 @query(
@@ -181,7 +189,7 @@ def outer_image_join(t: Tables) -> DataFrame:
     ),
 )
 def best_and_worst(t: Tables) -> DataFrame:
-    return metrics.best_and_worst(metrics.image_performance(t.pred, t.gt))
+    return metrics.best_and_worst(metrics.image_performance(*matched(t)))
 
 
 @query(

@@ -10,6 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from annoframe.session import cut
+
 KINDS = {"view": "frame", "click": "event", "purchase": "capture", "error": "stats", "signup": "status"}
 
 
@@ -40,7 +42,16 @@ class Tables:
 
     @cached_property
     def pred(self) -> DataFrame:
-        moved = self.gt.where("ann_id % 9 <> 0").selectExpr(
+        return self._predicted(self.gt)
+
+    @cached_property
+    def boxes(self) -> tuple[DataFrame, DataFrame]:
+        """``pred`` and ``gt`` for queries that read both several times: made once and kept."""
+        gt = cut(self.gt)
+        return self._predicted(gt), gt
+
+    def _predicted(self, gt: DataFrame) -> DataFrame:
+        moved = gt.where("ann_id % 9 <> 0").selectExpr(
             "image_id",
             "ann_id",
             "case when ann_id % 11 = 0 then 'class_0' else name end as name",
@@ -50,7 +61,7 @@ class Tables:
             "h + ann_id % 4 as h",
             "1 - (ann_id % 97) / 100 as confidence",
         )
-        second = self.gt.where("ann_id % 6 = 0").selectExpr(
+        second = gt.where("ann_id % 6 = 0").selectExpr(
             "image_id",
             "ann_id + 1000000000000 as ann_id",
             "name",
