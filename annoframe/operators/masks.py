@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoframe.operators.metrics import ratio
@@ -159,16 +159,18 @@ def semantic_classes(confusion: DataFrame) -> DataFrame:
 def semantic_overall(confusion: DataFrame) -> DataFrame:
     """Mean IoU and Dice over classes, pixel accuracy (background included), mean class accuracy
     and IoU weighted by truth pixels."""
-    classes = semantic_classes(confusion).agg(
+    none = F.lit(None)
+    right = F.when(F.col("gt_label") == F.col("pred_label"), F.col("pixels")).otherwise(0)
+    # Class rows and pixel rows side by side, so that one aggregate makes the one row.
+    rows = semantic_classes(confusion).select("iou", "dice", "recall", "support", none.cast("long").alias("right"), none.cast("long").alias("pixels"))
+    rows = rows.unionAll(confusion.select(none, none, none, none, right, "pixels"))
+    return rows.agg(
         F.avg("iou").alias("miou"),
         F.avg("dice").alias("mean_dice"),
         F.avg("recall").alias("mean_pixel_accuracy"),
         ratio(F.sum(F.col("iou") * F.col("support")), F.sum("support")).alias("frequency_weighted_iou"),
-        F.lit(1).alias("k"),
+        ratio(F.sum("right"), F.sum("pixels")).alias("pixel_accuracy"),
     )
-    right = F.sum(F.when(F.col("gt_label") == F.col("pred_label"), F.col("pixels")).otherwise(0))
-    pixels = confusion.agg(ratio(right, F.sum("pixels")).alias("pixel_accuracy"), F.lit(1).alias("k"))
-    return classes.join(pixels, "k").drop("k")
 
 
 def threshold_sweep(pred: DataFrame, gt: DataFrame, matches: DataFrame, thresholds: Sequence[float]) -> DataFrame:
@@ -188,16 +190,18 @@ def threshold_sweep(pred: DataFrame, gt: DataFrame, matches: DataFrame, threshol
         .groupBy("r")
         .agg(F.sum("p").alias("p"), F.sum("m").alias("m"))
     )
+    # A row that reaches r thresholds counts for levels 1 to r.
+    levels = counts.where("r > 0").select(F.explode(F.sequence(F.lit(1), F.col("r"))).alias("level"), "p", "m")
     table = spark.createDataFrame([(i + 1, t) for i, t in enumerate(steps)], "level int, threshold double")
-    at = table.join(counts, F.col("r") >= F.col("level"), "left").groupBy("threshold").agg(
-        F.coalesce(F.sum("p"), F.lit(0)).alias("p"), F.coalesce(F.sum("m"), F.lit(0)).alias("tp"), F.lit(1).alias("k")
+    at = table.join(levels, "level", "left").groupBy("threshold").agg(
+        F.coalesce(F.sum("p"), F.lit(0)).alias("p"), F.coalesce(F.sum("m"), F.lit(0)).alias("tp")
     )
-    truth = gt.agg(F.count(F.lit(1)).alias("g"), F.lit(1).alias("k"))
-    fp, fn = F.col("p") - F.col("tp"), F.col("g") - F.col("tp")
-    rows = at.join(truth, "k").select("threshold", "tp", fp.alias("fp"), fn.alias("fn"))
+    fp, fn = F.col("p") - F.col("tp"), F.lit(gt.count()) - F.col("tp")
+    rows = at.select("threshold", "tp", fp.alias("fp"), fn.alias("fn"))
     precision, recall = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     scored = rows.withColumns({"precision": precision, "recall": recall}).withColumn(
         "f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
     )
-    best = scored.agg(F.max_by("threshold", F.struct("f1", -F.col("threshold"))).alias("best_threshold"), F.lit(1).alias("k"))
-    return scored.withColumn("k", F.lit(1)).join(best, "k").drop("k")
+    # A row per threshold: one window over them all.
+    best = F.max_by("threshold", F.struct("f1", -F.col("threshold"))).over(Window.partitionBy(F.lit(1)))
+    return scored.withColumn("best_threshold", best)

@@ -457,7 +457,7 @@ def label_runs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
         (start + F.col("ann_id") % 7 - 3).alias("start"),
         F.col("w").cast("long").alias("len"),
     )
-    size = t.gt.select("image_id").distinct().select("image_id", F.lit(8000).cast("long").alias("pixels"))
+    size = t.gt.select("image_id").distinct().select("image_id", F.lit(20000).cast("long").alias("pixels"))
     return truth, moved, size
 
 
@@ -467,7 +467,7 @@ CONF = """lab AS (SELECT ann_id, name AS g, CASE WHEN ann_id % 9 = 0 THEN NULL W
     SELECT g, p, o AS n FROM lab WHERE p IS NOT NULL
     UNION ALL SELECT g, '__background__', CASE WHEN p IS NULL THEN w ELSE w - o END FROM lab
     UNION ALL SELECT '__background__', p, w - o FROM lab WHERE p IS NOT NULL
-    UNION ALL SELECT '__background__', '__background__', 8000 * (SELECT count(DISTINCT image_id) FROM gt)
+    UNION ALL SELECT '__background__', '__background__', 20000 * (SELECT count(DISTINCT image_id) FROM gt)
       - (SELECT sum(CASE WHEN p IS NULL THEN w ELSE 2 * w - o END) FROM lab)) GROUP BY 1, 2),
   cls AS MATERIALIZED (SELECT name, sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn FROM (
     SELECT gt_label AS name, CASE WHEN gt_label = pred_label THEN pixels ELSE 0 END AS tp, 0 AS fp,

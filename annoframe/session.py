@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; where that is unset, a temporary one, and only in local mode."""
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -41,6 +42,8 @@ def scratch_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(shared)
         return shared
     if sc.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 

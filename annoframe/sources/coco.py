@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoframe.functions.geometry import box, enclosing_box
 from annoframe.functions.keypoints import any_placed, expand_triplets, rings_from_flat, template_edges
 from annoframe.operators.poses import number_objects
 from annoframe.schemas import BOX, COCO, COCO_ANNOTATION, OBB, POINT, RING
+from annoframe.scale import global_rank
 
 
 def read_coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -104,7 +105,7 @@ def from_coco(images: DataFrame, categories: DataFrame, annotations: DataFrame)
 def class_list(categories: DataFrame) -> DataFrame:
     """``name, place``: categories by id, each pose category followed by its joints not listed before.
 
-    The list is as long as the classes, which one task can hold.
+    Places are ranks over ranges of ids, so that no task holds the whole list.
     """
     many = F.size("keypoints") > 1
     own = categories.select("id", F.lit(-1).alias("slot"), "name", F.lit(True).alias("category"))
@@ -112,7 +113,8 @@ def class_list(categories: DataFrame) -> DataFrame:
     listed = own.unionByName(joints)
     first = listed.groupBy("name").agg(F.min(F.struct("id", "slot")).alias("f"))
     kept = listed.join(first, "name").where(F.col("category") | ((F.col("f.id") == F.col("id")) & (F.col("f.slot") == F.col("slot"))))
-    return kept.select("name", (F.row_number().over(Window.orderBy("id", "slot")) - 1).alias("place"))
+    ranked = global_rank(kept.select("name", "id", "slot"), [F.col("id").asc(), F.col("slot").asc()], "rank")
+    return ranked.select("name", (F.col("rank") - 1).cast("int").alias("place"))
 
 
 def pose_templates(categories: DataFrame) -> DataFrame:
