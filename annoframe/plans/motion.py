@@ -413,6 +413,11 @@ def flipped_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "flip", "p": 1.0}])
 
 
+@query("G2_upside_down_pixels", pixel_sql("x", "7 - y", "b", "g", "r"))
+def upside_down_pixels(t: Tables) -> DataFrame:
+    return changed_pixels(t, [{"op": "vflip", "p": 1.0}])
+
+
 @query("G3_turned_pixels", pixel_sql("y", "7 - x", "b", "g", "r"))
 def turned_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "rotate90", "k": 1}])
@@ -447,7 +452,21 @@ def grey_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "grayscale"}])
 
 
-@query("G10_blurred_pixels")
+def tap_sum(source: str, line: str) -> str:
+    """Weighted sum along one axis; beyond the edge the edge pixel counts."""
+    at = lambda axis: f"least(7, greatest(0, p.{axis} + n.d))" if axis == line else f"p.{axis}"
+    sums = ", ".join(f"sum(n.k * q.{c}) AS {c}" for c in "bgr")
+    return f"""SELECT p.image_id, p.x, p.y, {sums} FROM pix p JOIN norm n USING (image_id)
+    JOIN {source} q ON q.image_id = p.image_id AND q.x = {at("x")} AND q.y = {at("y")} GROUP BY 1, 2, 3"""
+
+
+BLURRED = f""", rad AS (SELECT DISTINCT image_id, {draw_sql(0, 1)} * 2 AS radius FROM (SELECT image_id, 1 AS variant FROM pix)),
+  taps AS (SELECT image_id, d, exp(-0.5 * (d / radius) ** 2) AS k FROM rad, range(-6, 7) t(d) WHERE abs(d) <= greatest(1, ceil(3 * radius))),
+  norm AS MATERIALIZED (SELECT image_id, d, k / sum(k) OVER (PARTITION BY image_id) AS k FROM taps),
+  upright AS MATERIALIZED ({tap_sum("pix", "y")}), blurred AS MATERIALIZED ({tap_sum("upright", "x")})"""
+
+
+@query("G10_blurred_pixels", pixel_sql("x", "y", *[f"least(255, greatest(0, round_even({c}, 0)))" for c in "bgr"], "blurred", BLURRED))
 def blurred_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "blur", "radius": 2.0}])
 
@@ -457,7 +476,21 @@ def noisy_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "noise", "amount": 0.08}])
 
 
-@query("G12_hue_shifted_pixels")
+def turned(n: int) -> str:
+    k = f"fmod({n} + hue * 6, 6)"
+    return f"round_even(top * (1 - sat * greatest(0, least(1, least({k}, 4 - {k})))) * 255, 0)"
+
+
+HUES = f""", unit AS (SELECT image_id, x, y, b / 255 AS b, g / 255 AS g, r / 255 AS r, -20 + {draw_sql(0, 1)} * 40 AS degrees
+    FROM (SELECT *, 1 AS variant FROM pix)),
+  tops AS (SELECT *, greatest(r, g, b) AS top, greatest(r, g, b) - least(r, g, b) AS span,
+    ((round_even(degrees / 360 * 256, 0)::BIGINT % 256) + 256) % 256 AS turn FROM unit),
+  wheel AS (SELECT *, CASE WHEN span = 0 THEN 0 ELSE (CASE WHEN top = r THEN (g - b) / span WHEN top = g THEN 2 + (b - r) / span
+    ELSE 4 + (r - g) / span END) / 6 END AS h0, CASE WHEN top = 0 THEN 0 ELSE span / top END AS sat FROM tops),
+  hued AS (SELECT image_id, x, y, top, sat, (floor((h0 - floor(h0)) * 255)::BIGINT + turn) % 256 / 255 AS hue FROM wheel)"""
+
+
+@query("G12_hue_shifted_pixels", pixel_sql("x", "y", turned(1), turned(3), turned(5), "hued", HUES))
 def hue_shifted_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "hue_shift", "degrees": 20}])
 
