@@ -141,14 +141,14 @@ def mix(docs: DataFrame, plan: Plan = DEFAULT, key: str = "doc_id", text: str =
     rows = keyed(docs, key, text)
     chosen = chosen.groupBy("__id", "__fp").agg(F.sum("copies").alias("__total"))
     same = rows.groupBy("__id", "__fp").agg(F.count(F.lit(1)).alias("__rows"))
-    times = chosen.join(same, ["__id", "__fp"])
-    single, several = times.where("__rows = 1"), times.where("__rows > 1")
-    one = rows.join(single, ["__id", "__fp"]).withColumn("__n", F.lit(1))
-    many = rows.join(several, ["__id", "__fp"]).withColumn(
-        "__n", F.row_number().over(Window.partitionBy("__id", "__fp").orderBy(F.lit(0)))
-    )
+    times = cut(chosen.join(same, ["__id", "__fp"]))
     copies = F.expr("CAST(__total DIV __rows + CASE WHEN __n <= __total % __rows THEN 1 ELSE 0 END AS INT)")
-    out = one.unionAll(many).withColumn("__copies", copies).where("__copies > 0")
+    out = rows.join(times.where("__rows = 1"), ["__id", "__fp"]).withColumn("__n", F.lit(1))
+    several = times.where("__rows > 1")
+    if not several.isEmpty():
+        turn = F.row_number().over(Window.partitionBy("__id", "__fp").orderBy(F.lit(0)))
+        out = out.unionAll(rows.join(several, ["__id", "__fp"]).withColumn("__n", turn))
+    out = out.withColumn("__copies", copies).where("__copies > 0")
     return out.withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
