@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -108,10 +111,9 @@ def _element(name: str) -> Column:
 def write_label_files(lines: DataFrame, images: DataFrame, folder: str, suffix: str) -> None:
     """One text file per image with its lines in order, written as the sorted rows stream by.
 
-    ``folder`` must be shared by all executors. A repeated task writes its files again.
+    ``folder`` is shared by all executors: a path or any address that pyarrow's file systems know. A file is written
+    beside its name and renamed, so a lost task leaves none half written and a repeated one gives the same files.
     """
-    import os
-
     ready = (
         lines.join(images.select("image_id", stem(F.col("filename")).alias("_stem")), "image_id")
         .repartition("image_id")
@@ -120,17 +122,13 @@ def write_label_files(lines: DataFrame, images: DataFrame, folder: str, suffix:
     )
 
     def write(rows: Iterator) -> None:
-        os.makedirs(folder, exist_ok=True)
-        name, out = None, None
-        for row in rows:
-            if row["_stem"] != name:
-                if out:
-                    out.close()
-                name, out = row["_stem"], open(os.path.join(folder, row["_stem"] + suffix), "w", encoding="utf-8")
-            elif out:
-                out.write("\n")
-            out.write(row["line"])
-        if out:
-            out.close()
+        system, home = fs.FileSystem.from_uri(folder)
+        system.create_dir(home, recursive=True)
+        for name, group in itertools.groupby(rows, key=lambda r: r["_stem"]):
+            path, beside = f"{home}/{name}{suffix}", f"{home}/.{name}{suffix}.{uuid.uuid4().hex}"
+            with system.open_output_stream(beside) as out:
+                for i, row in enumerate(group):
+                    out.write((("\n" if i else "") + row["line"]).encode())
+            system.move(beside, path)
 
     ready.foreachPartition(write)
