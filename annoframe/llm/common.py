@@ -1,4 +1,4 @@
-"""Small pieces the operators share. Internal columns start with ``__`` so that a table's own columns may have any name."""
+"""Small pieces the operators share. A table's own columns travel packed in one, so that they may have any name."""
 
 from __future__ import annotations
 
@@ -36,11 +36,20 @@ def partitions(spark: SparkSession) -> int:
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Add ``__id`` (the key, 0 for null) and ``__fp`` (hash of key and text): together they name a row."""
-    return docs.withColumns(
-        {"__id": F.coalesce(F.col(key).cast("long"), F.lit(0)), "__fp": F.xxhash64(F.col(key), F.col(text))}
+    """``__row`` (all columns of ``docs``, packed), ``__key``, ``__text``, and ``__id`` (the key, 0 for null) and ``__fp``
+    (hash of key and text), which together name a row. ``unpacked`` gives the columns back."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+        F.col(key).alias("__key"),
+        F.col(text).alias("__text"),
+        F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("__id"),
+        F.xxhash64(F.col(key), F.col(text)).alias("__fp"),
     )
 
 
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("__row.*")
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

@@ -35,7 +35,7 @@ def positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """One row per line with a word: document, ``key``, ``pos`` among those lines, ``line`` among all, ``h``, ``chars``."""
     lines = F.filter(
         F.transform(
-            F.split(F.col(text), "\n"),
+            F.split(F.col("__text"), "\n"),
             lambda x, i: F.struct(
                 i.alias("line"),
                 F.xxhash64(x).alias("h"),
@@ -46,7 +46,7 @@ def positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         lambda x: x["solid"],
     )
     rows = keyed(docs, key, text)
-    return rows.select(*DOC, F.col(key).alias("__key"), F.posexplode(lines).alias("pos", "__x")).select(
+    return rows.select(*DOC, "__key", F.posexplode(lines).alias("pos", "__x")).select(
         *DOC, "__key", "pos", F.col("__x.line").alias("line"), F.col("__x.h").alias("h"), F.col("__x.chars").alias("chars")
     )
 
@@ -142,41 +142,41 @@ def deleted_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame | N
 
 
 def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` plus ``__text`` (null where nothing is left), ``__lines`` (lines with a word) and ``__gone`` (deleted)."""
+    """Packed rows plus ``__left`` (the text, null where nothing is left), ``__lines`` (with a word), ``__gone`` (deleted)."""
     gone = deleted_lines(positions(docs, key, text), min_chars)
     rows, none = keyed(docs, key, text), F.array().cast("array<int>")
     if gone is None:
         marked = rows.withColumn("__dels", none)
     else:
         marked = rows.join(gone.withColumnRenamed("gone", "__dels"), DOC, "left").withColumn("__dels", F.coalesce("__dels", none))
-    solid = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+    solid = F.size(F.filter(F.split(F.coalesce("__text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
     left = let(
         F.col("__dels"),
-        lambda d: F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(d, i)), "\n"),
+        lambda d: F.array_join(F.filter(F.split(F.col("__text"), "\n"), lambda x, i: ~F.array_contains(d, i)), "\n"),
     )
     return (
         marked.withColumn("__lines", solid)
         .withColumn("__gone", F.size("__dels"))
         .withColumn(
-            "__text",
-            F.when(F.col("__gone") == 0, F.col(text)).when(F.col("__gone") < F.col("__lines"), left),
+            "__left",
+            F.when(F.col("__gone") == 0, F.col("__text")).when(F.col("__gone") < F.col("__lines"), left),
         )
     )
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without later copies of repeated line runs; a document with nothing left goes."""
-    rows = cleaned(docs, key, text, min_chars).where("__gone = 0 OR __text IS NOT NULL")
-    return rows.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    rows = cleaned(docs, key, text, min_chars).where("__gone = 0 OR __left IS NOT NULL")
+    return rows.select(*[F.col("__left").alias(text) if c == text else F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: lines with a word, lines deleted, what is left of the text (null if nothing)."""
     return cleaned(docs, key, text).select(
-        key,
+        F.col("__key").alias(key),
         F.col("__lines").cast("long").alias("n_lines"),
         F.col("__gone").cast("long").alias("n_deleted"),
-        F.col("__text").alias("text"),
+        F.col("__left").alias("text"),
     )
 
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annoframe.llm.common import keyed
+from annoframe.llm.common import keyed, unpacked
 from annoframe.session import cut
 
 NONE = "(none)"
@@ -98,11 +98,11 @@ def _draw(seed: int, epoch: Column, key: Column) -> Column:
 
 def selection(docs: DataFrame, plan: Plan = DEFAULT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows taken at least once: document, leaf, ``n_words`` and ``copies``."""
-    rows = keyed(docs.withColumn("__domain", F.expr(plan.domain)), key, text).select(
-        "__id",
-        "__fp",
+    rows = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("__id"),
+        F.xxhash64(F.col(key), F.col(text)).alias("__fp"),
         F.col(key).alias("__key"),
-        F.coalesce("__domain", F.lit(NONE)).alias("domain"),
+        F.coalesce(F.expr(plan.domain), F.lit(NONE)).alias("domain"),
         F.coalesce("lang", F.lit(NONE)).alias("lang"),
         F.coalesce("source", F.lit(NONE)).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words"),
@@ -149,7 +149,7 @@ def mix(docs: DataFrame, plan: Plan = DEFAULT, key: str = "doc_id", text: str =
         turn = F.row_number().over(Window.partitionBy("__id", "__fp").orderBy(F.lit(0)))
         out = out.unionAll(rows.join(several, ["__id", "__fp"]).withColumn("__n", turn))
     out = out.withColumn("__copies", copies).where("__copies > 0")
-    return out.withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(out.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies")))))
 
 
 def report(docs: DataFrame, plan: Plan = DEFAULT) -> DataFrame:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoframe.llm.common import keyed, unpacked
 from annoframe.llm.shingles import MIX, Weights, mixed, shingles, similarity
 from annoframe.session import cut
 
@@ -315,15 +316,11 @@ class Classes:
         )
         blank = self.signed.where("NOT solid").select(F.coalesce("key", F.lit(0)).alias("__id"), F.col("fp").alias("__fp"), F.col("key").isNull().alias("__null")).distinct()
         stay = cut(stay.unionAll(blank.withColumn("__n", F.lit(1).cast("long"))))
-        rows = self.docs.withColumns(
-            {
-                "__id": F.coalesce(F.col(self.key).cast("long"), F.lit(0)),
-                "__fp": F.md5(F.coalesce(F.col(self.text), F.lit(""))),
-                "__null": F.col(self.key).isNull(),
-            }
+        rows = keyed(self.docs, self.key, self.text).select(
+            "__row", "__id", F.md5(F.coalesce("__text", F.lit(""))).alias("__fp"), F.col("__key").isNull().alias("__null")
         ).join(stay, ["__id", "__fp", "__null"])
         once = rows.where("__n > 1").dropDuplicates(["__id", "__fp", "__null"])
-        return rows.where("__n = 1").unionAll(once).select(*[F.col(f"`{c}`") for c in self.docs.columns])
+        return unpacked(rows.where("__n = 1").unionAll(once))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annoframe.llm.common import BLANKS, let, words_of
+from annoframe.llm.common import BLANKS, let, unpacked, words_of
 from annoframe.session import cut
 
 SYMBOLS = "#*$%&|<>"
@@ -200,12 +200,13 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows judged good, with the columns they came with."""
-    return judge(docs, text).where("__kept").select(*[docs[c] for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__text"))
+    return unpacked(judge(rows, "__text").where("__kept"))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of counts, base verdict, posterior and verdict per document."""
-    return judge(docs, text).select(
+    return judge(docs.select(key, text), text).select(
         key,
         *[F.col(f"__q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col("__base").alias("base_failed"),
