@@ -271,8 +271,8 @@ class Classes:
                 return labels
             open_members = members.join(heads, "bucket")
             pairs = (
-                open_members.select("bucket", "fp", "comp", F.explode("p").alias("q"))
-                .where("fp <> q.fp AND comp <> q.comp")
+                # Only pivots of other components: a large group that is one already costs nothing.
+                open_members.select("fp", F.explode(F.filter("p", lambda q: q["comp"] != F.col("comp"))).alias("q"))
                 .select(F.least("fp", "q.fp").alias("a"), F.greatest("fp", "q.fp").alias("b"))
                 .distinct()
             )
