@@ -241,20 +241,21 @@ class Classes:
         self.signed = cut(signed)
         self.labels = self._join()
 
-    def _texts(self, members: DataFrame) -> DataFrame:
-        """One whole text for each class that meets another."""
-        wanted = members.select("fp").distinct()
-        return cut(self.rows.join(wanted, "fp").groupBy("fp").agg(F.any_value("text").alias("text")))
+    def _texts(self, members: DataFrame, distinct: DataFrame) -> DataFrame:
+        """One whole text for each class that meets another: that of its least key, so that copies stay apart."""
+        wanted = distinct.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("key", F.lit(0)).alias("k"))
+        rows = self.rows.withColumn("k", F.coalesce("key", F.lit(0)))
+        return cut(rows.join(wanted, ["fp", "k"]).groupBy("fp").agg(F.any_value("text").alias("text")))
 
     def _join(self) -> DataFrame | None:
         """(``node``, ``comp``) for the classes of equal texts that are linked to another; None without links."""
-        distinct = self.signed.where("solid").groupBy("fp").agg(F.any_value("bands").alias("bands"))
+        distinct = cut(self.signed.where("solid").groupBy("fp").agg(F.any_value("bands").alias("bands"), F.min("key").alias("key")))
         members = distinct.select("fp", F.posexplode("bands").alias("band", "k")).select("fp", F.xxhash64("band", "k").alias("bucket"))
         shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
         members = cut(members.join(shared, "bucket").withColumn("comp", F.col("fp")))
         if members.isEmpty():
             return None
-        texts, edges, labels, pivots = self._texts(members), None, None, PIVOTS
+        texts, edges, labels, pivots = self._texts(members, distinct), None, None, PIVOTS
         while True:
             spread = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
             # Spark keeps only the first ranks of each bucket before it shuffles.
