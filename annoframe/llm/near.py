@@ -8,7 +8,8 @@
    their weighted Jaccard similarity. Rows are hashed to one key per band. Equal texts are one class from here on.
 3. Classes that share a key form a bucket. A pivot of each bucket is compared with its other members; links join classes
    into components; a bucket whose members are one component is done, others go on with more pivots until every pair
-   across components has been compared. So no link inside a bucket is lost, groups of copies cost one comparison per
+   across components has been compared. After the first round members leave whose shingles shared with any other open
+   member weigh too little for a link: heavily edited copies would else meet their whole group. So no link inside a bucket is lost, groups of copies cost one comparison per
    member, and no bucket has a cap.
 4. A link is a weighted Jaccard similarity of at least ``THRESHOLD`` over the whole texts. Classes are the connected
    components; the smallest key names a class.
@@ -213,6 +214,19 @@ def _verify(weights: Weights):
     return run
 
 
+def _weigh(weights: Weights):
+    """A row per shingle: ``fp``, hash and weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp, text in zip(batch.column("fp").to_pylist(), batch.column("text").to_pylist()):
+                h, tf = shingles(text)
+                columns = [pa.array([fp] * len(h)), pa.array(h.view(np.int64)), pa.array(weights.of(h, tf))]
+                yield pa.RecordBatch.from_arrays(columns, ["fp", "h", "w"])
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``comp``): the least node of each connected component, by min labels and pointer jumping."""
     both = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -247,6 +261,20 @@ class Classes:
         rows = self.rows.withColumn("k", F.coalesce("key", F.lit(0)))
         return cut(rows.join(wanted, ["fp", "k"]).groupBy("fp").agg(F.any_value("text").alias("text")))
 
+    def _may_link(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """The members that can still have a link: the shingles a text shares with any other member at all bound its
+        similarity, so one that shares less than THRESHOLD of its weight has none. Nothing is lost by leaving it out."""
+        rows = texts.join(members.select("fp").distinct(), "fp").mapInArrow(_weigh(self.weights), "fp string, h long, w double")
+        rows = cut(rows)
+        shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.lit(1).alias("also"))
+        kept = (
+            rows.join(shared, "h", "left")
+            .groupBy("fp")
+            .agg(F.sum(F.col("w") * F.coalesce("also", F.lit(0))).alias("common"), F.sum("w").alias("all"))
+            .where(F.col("common") >= (THRESHOLD - 1e-9) * F.col("all"))
+        )
+        return members.join(cut(kept.select("fp")), "fp")
+
     def _join(self) -> DataFrame | None:
         """(``node``, ``comp``) for the classes of equal texts that are linked to another; None without links."""
         distinct = cut(self.signed.where("solid").groupBy("fp").agg(F.any_value("bands").alias("bands"), F.min("key").alias("key")))
@@ -287,7 +315,7 @@ class Classes:
                 rest = rest.drop("comp").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
                     "bucket", "fp", F.coalesce("comp", "fp").alias("comp")
                 )
-            members = cut(rest)
+            members = cut(rest if pivots > PIVOTS else self._may_link(cut(rest), texts))
             pivots *= PIVOT_GROWTH
 
     def _named(self) -> DataFrame:
