@@ -2,9 +2,10 @@
 
 A page's stream of tags and texts is read as nested groups. Equal neighbours fold into a repeated group, every text is
 a slot. The pages of a host are then aligned group by group: what only some have becomes optional, what one has once and
-another several times becomes repeated, a slot whose text differs becomes variable. The result, the wrapper, matches
-every page of the host. Its content slots are those inside article or main groups, or if there are none, the variable
-slots of the body, less groups that the tag, class, id or role names as menu, header, footer, sidebar, notice, advert,
+another several times becomes repeated, a slot whose text differs becomes variable, any other keeps the hash of its text
+and the number of distinct pages that have it. The result, the wrapper, matches every page of the host. Only a text that
+at least ``ENOUGH`` distinct pages have in its slot, and no page another one, is part of the template. The content slots
+are those inside article or main groups, or if there are none, all slots of the body but the template's, less groups that the tag, class, id or role names as menu, header, footer, sidebar, notice, advert,
 form, script, style or reader comments. Pages are matched against their wrapper, and the texts in content slots make
 the main text.
 
@@ -50,7 +51,7 @@ SCOPES = frozenset("html body article main section div ul ol dl table nav footer
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|(?=<)|\Z)", re.S)
 NAMED = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SALTS = 32
-#: Pages a host needs before a text that all of them share counts as part of the template.
+#: Distinct pages that must have a text in the same slot before it counts as part of the template.
 ENOUGH = 5
 
 
@@ -146,8 +147,8 @@ def parse(page: str) -> Node:
     return root
 
 
-# --- wrappers: [label, optional, repeated, parts]; a text slot is ["", optional, text, []], where text is the hash of what
-# all pages say there, or True where they differ ----------------------------------------------------------------------
+# --- wrappers: [label, optional, repeated, parts]; a text slot is ["", optional, text, []], where text is [hash of what
+# all pages with the slot say there, number of these pages], or True where they differ ----------------------------------------------------------------------
 
 
 def generalise(node: Node) -> tuple[list, list[str]]:
@@ -201,10 +202,19 @@ def _align(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
     return out
 
 
+def _said(a: list | bool, b: list | bool) -> list | bool:
+    """What is known of a slot that two wrappers share: pages with one text add up."""
+    if a is True or b is True:
+        return True
+    if not a or not b:  # not counted yet
+        return a or b
+    return [a[0], a[1] + b[1]] if a[0] == b[0] else True
+
+
 def _merge_texts(a: list, ta: list[list[str]], b: list, tb: list[list[str]]) -> tuple[list, list[list[str]]]:
     """Align two wrappers of one name, with the texts of their slots side by side."""
     if not a[0]:
-        return ["", a[1] or b[1], a[2] if a[2] == b[2] else True, []], [ta[0] + tb[0]]
+        return ["", a[1] or b[1], _said(a[2], b[2]), []], [ta[0] + tb[0]]
     parts, texts = [], []
     ia = ib = 0
     for i, j in _align(a[3], b[3]):
@@ -246,30 +256,58 @@ def has_article(w: list) -> bool:
     return bool(w[0]) and not is_aside(w[0], False) and (_tag(w[0]) in ("article", "main") or any(has_article(p) for p in w[3]))
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 def extract(page: Node, wrapper: list) -> str:
     """The texts of the page in the wrapper's content slots, a line each."""
     whole = not has_article(wrapper)
-    sure: list[str] = []
-    all_texts: list[str] = []
+    slots: dict[int, list] = {}  # of each group, the slots of its own texts
+    said: dict[int, list[str]] = {}  # of each slot, the page's texts
 
-    def walk(node: Node, w: list | None, inside: bool) -> None:
-        at = 0
+    def match(node: Node, w: list | None) -> None:
+        at, own = 0, slots.setdefault(id(node), [])
         for part in node.parts:
             name = "" if isinstance(part, str) else part.label
-            match = None
+            found = None
             if w is not None:
-                found = next((k for k in range(at, len(w[3])) if w[3][k][0] == name), None)
+                k = next((k for k in range(at, len(w[3])) if w[3][k][0] == name), None)
+                if k is not None:
+                    found, at = w[3][k], k
+            if isinstance(part, str):
+                own.append(found)
                 if found is not None:
-                    match, at = w[3][found], found
+                    said.setdefault(id(found), []).append(part)
+            else:
+                match(part, found)
+
+    match(page, wrapper)
+    shared: dict[int, bool] = {}
+
+    def is_template(slot: list | None) -> bool:
+        if slot is None or not slot[2] or slot[2] is True or slot[2][1] < ENOUGH:
+            return False
+        if id(slot) not in shared:
+            shared[id(slot)] = _hash("\n".join(said[id(slot)])) == slot[2][0]
+        return shared[id(slot)]
+
+    sure: list[str] = []
+    all_texts: list[str] = []
+
+    def walk(node: Node, inside: bool) -> None:
+        own = iter(slots[id(node)])
+        for part in node.parts:
             if isinstance(part, str):
+                slot = next(own)
                 if inside:
                     all_texts.append(part)
-                    if not whole or match is None or match[2] is True:
+                    if not whole or not is_template(slot):
                         sure.append(part)
-            elif not is_aside(name, inside and not whole):
-                walk(part, match, inside or _tag(name) in ("article", "main"))
+            elif not is_aside(part.label, inside and not whole):
+                walk(part, inside or _tag(part.label) in ("article", "main"))
 
-    walk(page, wrapper, whole)
+    walk(page, whole)
     return "\n".join(sure or all_texts)
 
 
@@ -286,30 +324,29 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page in batch.column("html").to_pylist():
             wrapper, slots = generalise(parse(page or ""))
             shapes.append(json.dumps(wrapper, separators=(",", ":")))
-            hashes.append([xxhash.xxh64_intdigest(s) - (1 << 63) for s in slots])
+            hashes.append([_hash(s) for s in slots])
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(shapes), pa.array(hashes, pa.list_(pa.int64()))], ["host", "shape", "hashes"])
 
 
-def _fold(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
+def _fold(rows: pd.DataFrame) -> pd.DataFrame:
     """Align the wrappers of a host, one after the other."""
-    whole, n = None, int(rows["n"].sum())
+    whole = None
     for text in sorted(rows["wrapper"]):
         w = json.loads(text)
         whole = w if whole is None else align(whole, w)
-    if last and n < ENOUGH:
-        whole = with_slots(whole, [True] * _slots(whole))
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(whole, separators=(",", ":"))], "n": [n]})
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(whole, separators=(",", ":"))]})
 
 
-def _marked(shapes: pd.Series, hashes: pd.Series) -> pd.Series:
-    own = lambda s, f: with_slots(json.loads(s), [True if x is None or x != x else int(x) for x in f])
-    return pd.Series([json.dumps(own(s, f), separators=(",", ":")) for s, f in zip(shapes, hashes)])
+def _marked(shapes: pd.Series, hashes: pd.Series, pages: pd.Series) -> pd.Series:
+    own = lambda s, f, n: with_slots(json.loads(s), [True if x is None or x != x else [int(x), int(n)] for x in f])
+    return pd.Series([json.dumps(own(s, f, n), separators=(",", ":")) for s, f, n in zip(shapes, hashes, pages)])
 
 
 def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(``host``, ``wrapper``) from all pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    shaped = rows.mapInArrow(_shapes, "host string, shape string, hashes array<long>")
+    # Copies of a page say nothing about a template, so each page text of a host counts once.
+    shaped = rows.mapInArrow(_shapes, "host string, shape string, hashes array<long>").distinct()
     # One row per host, shape and slot: the hash of its text where all pages have the same. Hashes go as text, since
     # a column of numbers with gaps would lose digits in pandas.
     slots = (
@@ -323,10 +360,10 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     )
     mark = F.pandas_udf(_marked, "string")
     salt = F.pmod(F.xxhash64("shape"), F.lit(SALTS)).alias("salt")
-    own = known.select("host", mark("shape", "hashes").alias("wrapper"), "n", salt)
-    schema = "host string, wrapper string, n long"
-    some = own.groupBy("host", "salt").applyInPandas(lambda rows: _fold(rows, False), schema)
-    return some.groupBy("host").applyInPandas(lambda rows: _fold(rows, True), schema)
+    own = known.select("host", mark("shape", "hashes", "n").alias("wrapper"), salt)
+    schema = "host string, wrapper string"
+    some = own.groupBy("host", "salt").applyInPandas(_fold, schema)
+    return some.groupBy("host").applyInPandas(_fold, schema)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +386,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     spark = pages.sparkSession
     home = f"{scratch_dir(spark)}/wrappers-{uuid.uuid4().hex}"
     infer(pages, url, html).write.parquet(home)
-    wrappers = spark.read.schema("host string, wrapper string, n long").parquet(home).drop("n")  # its file size decides how it is joined
+    wrappers = spark.read.schema("host string, wrapper string").parquet(home)  # its file size decides how it is joined
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("host", host_of(F.col("url")))
     joined = rows.join(wrappers, "host", "left").select("key", "url", "html", "wrapper")
     out = joined.mapInArrow(_texts, "key long, url string, text string")

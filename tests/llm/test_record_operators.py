@@ -200,6 +200,22 @@ def test_alignment_finds_optional_and_repeated_groups():
     assert [(p[0], p[1], p[2]) for p in div[3]] == [("h1", True, False), ("p", False, True), ("ul", True, False)]
 
 
+def main_texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+
+
+def test_texts_of_one_page_are_content(spark):
+    page = lambda body: f"<body><h6>banner</h6>{body}<address>imprint</address></body>"
+    odd = page("<p>a</p><h2>first</h2><p>b</p><h2>second</h2><p>c</p><ul><li>x<li>y</ul><table><tr><td>1<td>2</table><blockquote>said</blockquote>")
+    rows = [(i, "http://p.example/", page(f"<p>story {i}</p><p>more {i}</p>")) for i in range(8)]
+    rows += [(20 + i, "http://p.example/", odd) for i in range(6)]  # copies are one page
+    rows += [(30 + i, "http://p.example/", page(f"<p>tale {i}</p><h3>Read on</h3>")) for i in range(5)]
+    got = main_texts(spark, rows)
+    assert got[3] == "story 3\nmore 3" and got[31] == "tale 1"  # five pages share the heading
+    assert all(got[20 + i] == "a\nfirst\nb\nsecond\nc\nx\ny\n1\n2\nsaid" for i in range(6))
+
+
 def test_main_text_of_given_pages(spark):
     import html
 
