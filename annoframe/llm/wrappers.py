@@ -5,7 +5,8 @@ a slot. The pages of a host are then aligned group by group: what only some have
 another several times becomes repeated, a slot whose text differs becomes variable, any other keeps the hash of its text
 and the number of distinct pages that have it. The result, the wrapper, matches every page of the host. Only a text that
 at least ``ENOUGH`` distinct pages have in its slot, and no page another one, is part of the template. The content slots
-are those inside article or main groups, or if there are none, all slots of the body but the template's, less groups that the tag, class, id or role names as menu, header, footer, sidebar, notice, advert,
+of a page are all those inside its article or main groups, or if it has no text there, the slots of its body but the
+template's, less groups that the tag, class, id or role names as menu, header, footer, sidebar, notice, advert,
 form, script, style or reader comments. Pages are matched against their wrapper, and the texts in content slots make
 the main text.
 
@@ -13,8 +14,8 @@ Pages are reduced to shapes, and shapes with equal text slots are combined map-s
 brings few rows to the alignment. That is done in two steps, salted by shape. Wrappers are as long as a template, not as
 a page.
 
-Defined cases: a null or empty page has an empty text. A null url is host ``""``; pages of an unknown or one-page host
-have their own wrapper, in which all slots count as variable. Rows with equal keys each give a row. Unclosed and
+Defined cases: a null or empty page has an empty text. A null or relative url is host ``""``, which is
+unknown; pages of an unknown or one-page host have their own wrapper, in which all slots count as variable. Rows with equal keys each give a row. Unclosed and
 stray tags are read as browsers do for paragraphs, list items and cells; a stray end tag is dropped. Other columns are
 not read. An empty table gives an empty result.
 """
@@ -252,17 +253,12 @@ def _tag(label: str) -> str:
     return re.match(r"[^.#@]*", label)[0]
 
 
-def has_article(w: list) -> bool:
-    return bool(w[0]) and not is_aside(w[0], False) and (_tag(w[0]) in ("article", "main") or any(has_article(p) for p in w[3]))
-
-
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
 def extract(page: Node, wrapper: list) -> str:
     """The texts of the page in the wrapper's content slots, a line each."""
-    whole = not has_article(wrapper)
     slots: dict[int, list] = {}  # of each group, the slots of its own texts
     said: dict[int, list[str]] = {}  # of each slot, the page's texts
 
@@ -292,23 +288,27 @@ def extract(page: Node, wrapper: list) -> str:
             shared[id(slot)] = _hash("\n".join(said[id(slot)])) == slot[2][0]
         return shared[id(slot)]
 
-    sure: list[str] = []
-    all_texts: list[str] = []
+    def texts(whole: bool) -> list[str]:
+        """Of the whole page, what is not the template's, or else what is inside its articles."""
+        sure: list[str] = []
+        all_texts: list[str] = []
 
-    def walk(node: Node, inside: bool) -> None:
-        own = iter(slots[id(node)])
-        for part in node.parts:
-            if isinstance(part, str):
-                slot = next(own)
-                if inside:
-                    all_texts.append(part)
-                    if not whole or not is_template(slot):
-                        sure.append(part)
-            elif not is_aside(part.label, inside and not whole):
-                walk(part, inside or _tag(part.label) in ("article", "main"))
+        def walk(node: Node, inside: bool) -> None:
+            own = iter(slots[id(node)])
+            for part in node.parts:
+                if isinstance(part, str):
+                    slot = next(own)
+                    if inside:
+                        all_texts.append(part)
+                        if not whole or not is_template(slot):
+                            sure.append(part)
+                elif not is_aside(part.label, inside and not whole):
+                    walk(part, inside or _tag(part.label) in ("article", "main"))
+
+        walk(page, whole)
+        return sure or all_texts
 
-    walk(page, whole)
-    return "\n".join(sure or all_texts)
+    return "\n".join(texts(False) or texts(True))
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------------
@@ -346,7 +346,7 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(``host``, ``wrapper``) from all pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     # Copies of a page say nothing about a template, so each page text of a host counts once.
-    shaped = rows.mapInArrow(_shapes, "host string, shape string, hashes array<long>").distinct()
+    shaped = rows.where("host <> ''").mapInArrow(_shapes, "host string, shape string, hashes array<long>").distinct()
     # One row per host, shape and slot: the hash of its text where all pages have the same. Hashes go as text, since
     # a column of numbers with gaps would lose digits in pandas.
     slots = (

@@ -216,6 +216,18 @@ def test_texts_of_one_page_are_content(spark):
     assert all(got[20 + i] == "a\nfirst\nb\nsecond\nc\nx\ny\n1\n2\nsaid" for i in range(6))
 
 
+def test_articles_are_found_per_page(spark):
+    rows = [(i, "http://p.example/", f"<div><p>story {i}</p></div><address>imprint</address>") for i in range(6)]
+    rows += [(10, "http://p.example/", "<address>imprint</address><article><p>essay</p></article><p>beside</p>")]
+    rows += [(11, "http://p.example/", "<main></main><div><p>below</p></div>")]
+    rows += [(20 + i, url, f"<div><p>loose</p><p>{i}</p></div>") for i, url in enumerate([None, "x/y", "/z", "a", "b", "c"])]
+    rows += [(30, None, "<article>alone</article>")]
+    got = main_texts(spark, rows)
+    assert [got[i] for i in range(6)] == [f"story {i}" for i in range(6)]
+    assert got[10] == "essay" and got[11] == "below" and got[30] == "alone"
+    assert [got[20 + i] for i in range(6)] == [f"loose\n{i}" for i in range(6)]
+
+
 def test_main_text_of_given_pages(spark):
     import html
 
