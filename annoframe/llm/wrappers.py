@@ -7,7 +7,9 @@ and the number of distinct pages that have it. The result, the wrapper, matches
 at least ``ENOUGH`` distinct pages have in its slot, and no page another one, is part of the template. The content slots
 of a page are all those inside its article or main groups, or if it has no text there, the slots of its body but the
 template's, less groups that the tag, class, id or role names as menu, header, footer, sidebar, notice, advert,
-form, script, style or reader comments. Pages are matched against their wrapper, and the texts in content slots make
+form, script, style or reader comments. Classes and ids are read as whole names (``sidebar``, ``left-sidebar``), never as
+layouts (``has-sidebar``) and never on html, body, main or article; a name with unknown words (``shop-banner``) is not
+believed of a group that holds most of the page's text outside the template. Pages are matched against their wrapper, and the texts in content slots make
 the main text.
 
 Pages are reduced to shapes, and shapes with equal text slots are combined map-side, so a host with a third of all pages
@@ -41,6 +43,11 @@ NAMES = frozenset(
     "ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation topnav breadcrumb breadcrumbs comment comments respond reply replies discussion disqus notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations widget footer masthead toolbar pagination pager skip".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+#: Parts that may stand beside those in a name without changing what it names, and parts that turn it into a layout's.
+PLACES = frozenset("left right top bottom upper lower inner outer first second third primary secondary mobile desktop site page global box bar area wrapper wrap container inside section block list item items links link slot unit group panel row col column form title text".split())
+LAYOUTS = frozenset("has no with without is not non hide show".split())
+#: Tags that no class or id makes an aside.
+KEPT = frozenset("page html body main article".split())
 #: Tags inside a block's text.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br picture source input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,17 +77,29 @@ def label_of(tag: str, attributes: str) -> str:
 _label_words = re.compile(r"[.#@]([^.#@]*)")
 
 
-def is_aside(label: str, in_article: bool) -> bool:
-    """Whether a group's name says that it is not the article."""
+SURE, LIKELY = 2, 1
+
+
+def is_aside(label: str, in_article: bool) -> int:
+    """Whether a group's name says that it is not the article: SURE, or LIKELY where a class or id has a word of
+    ``NAMES`` among others that are not known, and ends in one or in a word for contents."""
     tag = re.match(r"[^.#@]*", label)[0]
     if tag in TAGS or (tag == "header" and not in_article):
-        return True
+        return SURE
+    said = 0
     for m in _label_words.finditer(label):
-        if m[0][0] == "@" and m[1] in ROLES:
-            return True
-        if m[0][0] != "@" and not NAMES.isdisjoint(re.split(r"[-_:]+", m[1])):
-            return True
-    return False
+        if m[0][0] == "@":
+            if m[1] in ROLES and tag not in KEPT:
+                return SURE
+            continue
+        parts = [p for p in re.split(r"[-_:]+", m[1]) if p]
+        if tag in KEPT or not LAYOUTS.isdisjoint(parts) or NAMES.isdisjoint(parts):
+            continue
+        if all(p in NAMES or p in PLACES for p in parts):
+            return SURE
+        if parts[-1] in NAMES or parts[-1] in ("body", "content", "main"):
+            said = LIKELY
+    return said
 
 
 class Node:
@@ -288,6 +307,27 @@ def extract(page: Node, wrapper: list) -> str:
             shared[id(slot)] = _hash("\n".join(said[id(slot)])) == slot[2][0]
         return shared[id(slot)]
 
+    weights: dict[int, int] = {}  # characters of each group that are neither the template's nor in a sure aside
+
+    def weigh(node: Node, inside: bool, aside: bool) -> int:
+        own = iter(slots[id(node)])
+        total = 0
+        for part in node.parts:
+            if isinstance(part, str):
+                slot = next(own)
+                total += 0 if aside or is_template(slot) else len(part)
+            else:
+                total += weigh(part, inside or _tag(part.label) in ("article", "main"), aside or is_aside(part.label, inside) == SURE)
+        weights[id(node)] = total
+        return total
+
+    weigh(page, False, False)
+
+    def dropped(node: Node, in_article: bool) -> bool:
+        said = is_aside(node.label, in_article)
+        # A likely name is not believed of a group that holds most of the page's own text.
+        return said == SURE or (said == LIKELY and 2 * weights[id(node)] <= weights[id(page)])
+
     def texts(whole: bool) -> list[str]:
         """Of the whole page, what is not the template's, or else what is inside its articles."""
         sure: list[str] = []
@@ -302,7 +342,7 @@ def extract(page: Node, wrapper: list) -> str:
                         all_texts.append(part)
                         if not whole or not is_template(slot):
                             sure.append(part)
-                elif not is_aside(part.label, inside and not whole):
+                elif not dropped(part, inside and not whole):
                     walk(part, inside or _tag(part.label) in ("article", "main"))
 
         walk(page, whole)

@@ -228,6 +228,19 @@ def test_articles_are_found_per_page(spark):
     assert [got[20 + i] for i in range(6)] == [f"loose\n{i}" for i in range(6)]
 
 
+def test_layout_names_drop_nothing(spark):
+    text = "<p>the whole story of this page</p>"
+    kept = [
+        f'<body class="has-sidebar"><div>{text}</div></body>', f'<main class="no-sidebar">{text}</main>', f'<article class="post comment-open">{text}</article>',
+        f'<article id="ad-review">{text}</article>', f'<div id="content" class="with-sidebar">{text}</div>', f'<html class="menu"><body id="widget">{text}</body></html>',
+        f'<div class="shop-widget">{text}</div>', f'<div class="menu-planning">{text}</div>',
+    ]
+    gone = ["sidebar", "left-sidebar", "comment-list", "ad-box", "acme-footer", "cookie_notice", "site-nav menu"]
+    rows = [(i, f"http://h{i}.example/", f'{k}<div class="{g}">other</div>') for i, (k, g) in enumerate((k, g) for k in kept for g in gone)]
+    got = main_texts(spark, rows)
+    assert all(got[i] == "the whole story of this page" for i, _, _ in rows), got
+
+
 def test_main_text_of_given_pages(spark):
     import html
 
