@@ -4,14 +4,17 @@
    are found exactly in two passes without shuffling shingles: a block of documents reports what more than half of
    ``RARE`` of its documents hold; only a shingle reported often enough can be frequent (at most 2 / RARE times the mean
    number of shingles per document, so it may be broadcast), and those are then counted over all documents.
-2. Every document gets ``BANDS * ROWS`` consistent weighted samples: two documents agree in one with the probability of
+2. Every document gets ``BANDS * ROWS`` consistent weighted samples (with ``plain``, under both weights where they differ): two documents agree in one with the probability of
    their weighted Jaccard similarity. Rows are hashed to one key per band. Equal texts are one class from here on.
 3. Classes that share a key form a bucket. A pivot of each bucket is compared with its other members; links join classes
    into components; a bucket whose members are one component is done, others go on with more pivots until every pair
    across components has been compared. After the first round members leave whose shingles shared with any other open
-   member weigh too little for a link: heavily edited copies would else meet their whole group. So no link inside a bucket is lost, groups of copies cost one comparison per
+   member weigh too little for a link under any of the weights: heavily edited copies would else meet their whole group. So no link inside a bucket is lost, groups of copies cost one comparison per
    member, and no bucket has a cap.
-4. A link is a weighted Jaccard similarity of at least ``THRESHOLD`` over the whole texts. Classes are the connected
+4. A link is a weighted Jaccard similarity of at least ``THRESHOLD`` over the whole texts, by tf-idf weights or, with
+   ``plain``, also by plain counts: the shared shingles of a large group of near copies weigh less than the edits, so
+   tf-idf alone raises the threshold there. Texts with frequent shingles are then sampled under both weights, so that
+   either similarity is found. The registered query and the pipeline link by both. Classes are the connected
    components; the smallest key names a class.
 
 Defined cases: texts without a word (null, empty, blank) are alike to nothing, not even each other. Texts of fewer
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoframe.llm.common import keyed, unpacked
-from annoframe.llm.shingles import MIX, Weights, mixed, shingles, similarity
+from annoframe.llm.shingles import MIX, Weights, mixed, shingles
 from annoframe.session import cut
 
 THRESHOLD = 0.8
@@ -159,7 +162,7 @@ def _sign(weights: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(BANDS * ROWS)
         for batch in batches:
-            keys = np.zeros((batch.num_rows, BANDS), np.uint64)
+            keys: list[np.ndarray] = [np.empty(0, np.uint64)] * batch.num_rows
             solid = np.zeros(batch.num_rows, bool)
             rows: list[int] = []
             parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -170,23 +173,25 @@ def _sign(weights: Weights):
                 w = np.concatenate([p[1] for p in parts])
                 log_w = None if (w == 1).all() else np.log(w)
                 least = sampler.least(np.concatenate([p[0] for p in parts]), log_w, np.cumsum(lengths) - lengths)
-                keys[rows] = _band_keys(least)
+                for row, own in zip(rows, _band_keys(least)):
+                    keys[row] = np.union1d(keys[row], own)
                 solid[rows] = True
 
             for i, text in enumerate(batch.column("text").to_pylist()):
                 h, tf = shingles(text)
                 if not len(h):
                     continue
-                rows.append(i)
-                parts.append((h, weights.of(h, tf)))
-                size += len(h)
+                for w in weights.each(h, tf):
+                    rows.append(i)
+                    parts.append((h, w))
+                    size += len(h)
                 if size >= 1 << 15:
                     flush()
                     rows, parts, size = [], [], 0
             if rows:
                 flush()
-            offsets = np.arange(0, (batch.num_rows + 1) * BANDS, BANDS, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64)))
+            offsets = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("fp"), lists, pa.array(solid)], ["key", "fp", "bands", "solid"]
             )
@@ -204,10 +209,8 @@ def _verify(weights: Weights):
             near = []
             for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
                 if a != last[0]:
-                    h, tf = shingles(a)
-                    last = (a, (h, weights.of(h, tf)))
-                h, tf = shingles(b)
-                near.append(similarity(last[1], (h, weights.of(h, tf))) >= THRESHOLD)
+                    last = (a, shingles(a))
+                near.append(weights.nearest(last[1], shingles(b)) >= THRESHOLD)
             keep = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
 
@@ -215,14 +218,15 @@ def _verify(weights: Weights):
 
 
 def _weigh(weights: Weights):
-    """A row per shingle: ``fp``, hash and weight."""
+    """A row per shingle: ``fp``, hash, weight and plain weight (the same without ``plain``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for fp, text in zip(batch.column("fp").to_pylist(), batch.column("text").to_pylist()):
                 h, tf = shingles(text)
-                columns = [pa.array([fp] * len(h)), pa.array(h.view(np.int64)), pa.array(weights.of(h, tf))]
-                yield pa.RecordBatch.from_arrays(columns, ["fp", "h", "w"])
+                each = weights.each(h, tf)
+                columns = [pa.array([fp] * len(h)), pa.array(h.view(np.int64)), pa.array(each[0]), pa.array(each[-1])]
+                yield pa.RecordBatch.from_arrays(columns, ["fp", "h", "w", "p"])
 
     return run
 
@@ -244,13 +248,13 @@ def components(edges: DataFrame) -> DataFrame:
 class Classes:
     """The near-duplicate classes of one table of documents."""
 
-    def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text"):
+    def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text", plain: bool = False):
         self.docs, self.key, self.text = docs, key, text
         self.rows = docs.select(
             F.col(key).cast("long").alias("key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("fp"), F.col(text).alias("text")
         )
         common, n = document_counts(docs.select(text))
-        self.weights = Weights(common, n, RARE)
+        self.weights = Weights(common, n, RARE, plain)
         signed = self.rows.mapInArrow(_sign(self.weights), "key long, fp string, bands array<long>, solid boolean")
         self.signed = cut(signed)
         self.labels = self._join()
@@ -263,22 +267,23 @@ class Classes:
 
     def _may_link(self, members: DataFrame, texts: DataFrame) -> DataFrame:
         """The members that can still have a link: the shingles a text shares with any other member at all bound its
-        similarity, so one that shares less than THRESHOLD of its weight has none. Nothing is lost by leaving it out."""
-        rows = texts.join(members.select("fp").distinct(), "fp").mapInArrow(_weigh(self.weights), "fp string, h long, w double")
+        similarity, so one that shares less than THRESHOLD of its weight, tf-idf and plain, has none. Nothing is lost by leaving it out."""
+        rows = texts.join(members.select("fp").distinct(), "fp").mapInArrow(_weigh(self.weights), "fp string, h long, w double, p double")
         rows = cut(rows)
         shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.lit(1).alias("also"))
+        share = lambda w: F.sum(F.col(w) * F.coalesce("also", F.lit(0))) / F.sum(w)
         kept = (
             rows.join(shared, "h", "left")
             .groupBy("fp")
-            .agg(F.sum(F.col("w") * F.coalesce("also", F.lit(0))).alias("common"), F.sum("w").alias("all"))
-            .where(F.col("common") >= (THRESHOLD - 1e-9) * F.col("all"))
+            .agg(F.greatest(share("w"), share("p")).alias("share"))
+            .where(F.col("share") >= THRESHOLD - 1e-9)
         )
         return members.join(cut(kept.select("fp")), "fp")
 
     def _join(self) -> DataFrame | None:
         """(``node``, ``comp``) for the classes of equal texts that are linked to another; None without links."""
         distinct = cut(self.signed.where("solid").groupBy("fp").agg(F.any_value("bands").alias("bands"), F.min("key").alias("key")))
-        members = distinct.select("fp", F.posexplode("bands").alias("band", "k")).select("fp", F.xxhash64("band", "k").alias("bucket"))
+        members = distinct.select("fp", F.explode("bands").alias("bucket"))
         shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
         members = cut(members.join(shared, "bucket").withColumn("comp", F.col("fp")))
         if members.isEmpty():
@@ -352,9 +357,9 @@ class Classes:
         return unpacked(rows.where("__n = 1").unionAll(once))
 
 
-def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return Classes(docs, key, text).report()
+def report(docs: DataFrame, key: str = "doc_id", text: str = "text", plain: bool = False) -> DataFrame:
+    return Classes(docs, key, text, plain).report()
 
 
-def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return Classes(docs, key, text).representatives()
+def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", plain: bool = False) -> DataFrame:
+    return Classes(docs, key, text, plain).representatives()

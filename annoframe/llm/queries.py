@@ -45,7 +45,7 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.report(table(spark, sf_dir, "documents"))
+    return near.report(table(spark, sf_dir, "documents"), plain=True)
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,8 @@ def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 class Weights:
     """tf-idf: occurrences times rarity; ``common`` holds the document counts of the shingles that are not rare."""
 
-    def __init__(self, common: dict[int, int], docs: int, rare: float):
+    def __init__(self, common: dict[int, int], docs: int, rare: float, plain: bool = False):
+        self.plain = plain
         order = sorted(common)
         self.keys = np.array(order, dtype=np.uint64)
         share = np.array([common[k] for k in order], dtype=float) / max(docs, 1)
@@ -56,6 +57,17 @@ class Weights:
             w *= np.where(self.keys[at] == h, self.idf[at], 1.0)
         return w
 
+    def each(self, h: np.ndarray, tf: np.ndarray) -> list[np.ndarray]:
+        """The tf-idf weights and, if ``plain`` and where they differ, the plain counts."""
+        w, counts = self.of(h, tf), tf.astype(float)
+        return [w, counts] if self.plain and (w != counts).any() else [w]
+
+    def nearest(self, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+        """The tf-idf similarity of two (hashes, counts); if ``plain``, the larger of it and that of the counts."""
+        wa, wb = self.each(*a), self.each(*b)
+        near = similarity((a[0], wa[0]), (b[0], wb[0]))
+        return near if len(wa) == len(wb) == 1 else max(near, similarity((a[0], wa[-1]), (b[0], wb[-1])))
+
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two (sorted hashes, weights)."""

@@ -6,11 +6,13 @@ import hashlib
 import random
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from annoframe.llm import lines, mixing, near, quality, sketch
+from annoframe.llm.queries import QUERIES
 from annoframe.llm.shingles import Weights, shingles, similarity
 
 SF = "/root/testdata/sf0.001"
@@ -142,6 +144,19 @@ def test_near_classes_equal_brute_force(spark):
     assert kept == set(got.values())
 
 
+def test_near_copies_in_a_group_of_a_third_of_all_rows(spark, tmp_path):
+    """Plain similarities are 0.81; by tf-idf, where the group's own shingles weigh less, 0.78."""
+    rng = random.Random(4)
+    base = prose(rng, 99).split()
+    texts = [" ".join("edit" + str(k) if i == 5 + 9 * k else w for i, w in enumerate(base)) for k in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts + [prose(rng, 99) for _ in range(20)])), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.class_id, r.class_size) for r in QUERIES["op9_near_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {i: (0, 10) if i < 10 else (i, 1) for i in range(30)}
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, *range(10, 30)]
+
+
 def test_near_odd_rows(spark, strange):
     rows = near.report(strange).collect()
     assert len(rows) == strange.count()
