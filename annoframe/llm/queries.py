@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoframe.llm import bpe, lines, mixing, near, pii, quality, sketch, tokens, warc, wrappers
+from annoframe.llm import bpe, languages, lines, mixing, near, periods, pii, quality, sketch, spelling, tokens, warc, wrappers
 from annoframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.report(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -65,6 +77,9 @@ QUERIES: dict[str, Query] = {
         op8_html_extraction,
         op9_near_dedup,
         op10_token_files,
+        op11_language_id,
+        op12_spelling_variants,
+        op13_periodic_runs,
     )
 }
 
