@@ -7,8 +7,10 @@
 3. Fit. One-versus-rest ridge regression on those features over a sample of at most ``FIT_ROWS`` training rows (equally many
    per language, weighted to count alike). Tasks add up the landmark-by-landmark moments; only those few small matrices
    reach the driver, whatever the size of the table.
-4. Scoring. A batch of texts becomes one kernel matrix (texts by landmarks) and is multiplied by one weight matrix (landmarks
-   by languages). The largest value names the language (ties: the first in code-point order); cut to 0 .. 1 it is the score.
+4. Scoring. Kernel values times weights are a product of three matrices: texts by grams, grams by landmarks, landmarks by
+   languages. The last two are multiplied once (its size is bounded by the landmarks), so that a batch of texts is scored
+   by one product of its sparse gram matrix. The largest value names the language (ties: the first in code-point order);
+   cut to 0 .. 1 it is the score.
 
 The sample is the only bound: its rows are those of least text hash among the distinct (text, language) pairs of a
 language. Predictions read every text whole, long ones alone, short ones packed together. A landmark has at most
@@ -78,7 +80,8 @@ def gram_sets(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         h = mixed(h[: len(codes) - n + 1] * MIX[0] + codes[n - 1 :] + np.uint64(n))
         whole = own[: len(h)] == own[n - 1 :]
         keys.append((own[: len(h)][whole].astype(np.uint64) << _GRAM_BITS) | (h[whole] >> np.uint64(12)))
-    found = np.unique(np.concatenate(keys))
+    found = np.sort(np.concatenate(keys))
+    found = found[np.append(True, found[1:] != found[:-1])] if len(found) else found
     return (found >> _GRAM_BITS).astype(np.int64), found & np.uint64((1 << 52) - 1)
 
 
@@ -103,14 +106,23 @@ class Landmarks:
         names, first = np.unique(gram[order], return_index=True)
         return Landmarks(names, np.append(first, len(gram)), owner[order].astype(np.int32), np.bincount(owner, minlength=len(texts)))
 
-    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Texts by landmarks. No text may be empty."""
-        m = len(self.sizes)
+    def placed(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The known grams of texts as (number of the text, row here), by text, and how many grams each text has at all."""
         own, gram = gram_sets(texts)
         counts = np.bincount(own, minlength=len(texts))
         at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
         known = self.grams[at] == gram
-        own, at = own[known], at[known]
+        return own[known], at[known], counts
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """Grams by languages: this matrix times ``weights`` (landmarks by languages), landmarks scaled by their sizes."""
+        scaled = weights / np.sqrt(self.sizes)[:, None]
+        return np.add.reduceat(scaled[self.holders], self.starts[:-1], axis=0) if len(self.grams) else np.empty((0, weights.shape[1]))
+
+    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Texts by landmarks. No text may be empty."""
+        m = len(self.sizes)
+        own, at, counts = self.placed(texts)
         lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - lengths), lengths)
@@ -159,13 +171,19 @@ def _moments(marks: Landmarks, languages: list[str], weight: dict[str, float]):
 class Classifier:
     languages: list[str]
     marks: Landmarks | None
-    #: Landmarks by languages, and one constant per language.
+    #: Grams by languages, and one constant per language.
     weights: np.ndarray
     constants: np.ndarray
 
     def values(self, texts: list[np.ndarray]) -> np.ndarray:
         """Texts by languages."""
-        return self.marks.kernel(texts) @ self.weights + self.constants
+        own, at, counts = self.marks.placed(texts)
+        known = np.bincount(own, minlength=len(texts))
+        sums = np.zeros((len(texts), len(self.languages)))
+        some = np.flatnonzero(known)
+        if len(some):
+            sums[some] = np.add.reduceat(self.weights[at], (np.cumsum(known) - known)[some], axis=0)
+        return sums / np.sqrt(counts)[:, None] + self.constants
 
     def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -241,7 +259,7 @@ def _solved(languages: list[str], marks: Landmarks, among: np.ndarray, kk, ky, k
     cov = root.T @ (kk - np.outer(k1, k1)) @ root
     cross = root.T @ (ky - np.outer(k1, y1))
     weights = root @ np.linalg.solve(cov + ridge * np.eye(cov.shape[0]), cross)
-    return Classifier(languages, marks, weights, y1 - k1 @ weights)
+    return Classifier(languages, marks, marks.times(weights), y1 - k1 @ weights)
 
 
 def remainder(key: Column) -> Column:
