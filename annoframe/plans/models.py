@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoframe.functions import geometry as g
-from annoframe.operators import masks, matching, metrics, scores, similarity
+from annoframe.operators import masks, matching, metrics, scores, signatures, similarity
 from annoframe.plans.detection import COUNTS, F1, PRF, match_ctes, rounded
 from annoframe.plans.registry import query
 from annoframe.plans.tables import Tables, sql
@@ -85,6 +85,86 @@ def duplicate_clusters(t: Tables) -> DataFrame:
     return rounded(similarity.duplicate_groups(similarity.similar_pairs(t.vectors, NEAR)), "max_similarity", digits=6)
 
 
+def frames(t: Tables) -> DataFrame:
+    """Bursts of three frames: each vector whole, and twice with every 16th value gone, from another place on."""
+    shot = F.explode(F.sequence(F.lit(0), F.lit(2)))
+    rows = t.vectors.select(F.col("vec_id").alias("own"), F.transform("embedding", lambda v: v.cast("double")).alias("e"), shot.alias("j"))
+    gone = lambda i: (F.col("j") > 0) & ((i + F.col("own") + F.col("j")) % 16 == 0)
+    return rows.select(
+        (F.col("own") * 3 + F.col("j")).alias("vec_id"), F.transform("e", lambda v, i: F.when(gone(i), 0.0).otherwise(v)).alias("embedding")
+    )
+
+
+#: So few pairs at the threshold are missed that none is in any table of a size DuckDB can pair off.
+FRAMES_NEAR, FRAMES_RECALL = 0.92, 1 - 1e-9
+FRAMES = """frames AS MATERIALIZED (SELECT vec_id * 3 + j AS vec_id, [CASE WHEN j > 0 AND (i - 1 + vec_id + j) % 16 = 0 THEN 0::DOUBLE
+    ELSE embedding[i]::DOUBLE END FOR i IN range(1, len(embedding) + 1)] AS embedding FROM vectors, range(3) s(j)),
+  unit AS MATERIALIZED (SELECT vec_id, embedding AS e FROM frames),
+  pairs AS MATERIALIZED (SELECT * FROM (SELECT a.vec_id AS a, b.vec_id AS b,
+    list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) AS similarity
+    FROM unit a JOIN unit b ON a.vec_id < b.vec_id) WHERE similarity >= 0.92)"""
+
+
+@query("J6_near_pairs_by_signatures", sql("SELECT a, b, round(similarity, 6) AS similarity FROM pairs", "vectors", more=FRAMES))
+def near_pairs_by_signatures(t: Tables) -> DataFrame:
+    return rounded(signatures.near_pairs(frames(t), FRAMES_NEAR, FRAMES_RECALL), "similarity", digits=6)
+
+
+@query(
+    "W3_neighbours_by_signatures",
+    sql("SELECT src, dst, rank::INT AS rank, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 1", "vectors",
+        more=f"{FRAMES}, {RANKED}"),
+)
+def neighbours_by_signatures(t: Tables) -> DataFrame:
+    return rounded(similarity.neighbours(signatures.near_pairs(frames(t), FRAMES_NEAR, FRAMES_RECALL), 1), "similarity", digits=6)
+
+
+DUPLICATES = """edges AS MATERIALIZED (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(similarity) AS similarity FROM ranked
+    WHERE rank <= 1 AND least(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)
+    OR rank <= 1 AND greatest(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600) GROUP BY 1, 2),
+  reach AS (SELECT a AS id, a AS other FROM edges UNION SELECT b, b FROM edges
+    UNION SELECT r.id, CASE WHEN p.a = r.other THEN p.b ELSE p.a END FROM reach r JOIN edges p ON p.a = r.other OR p.b = r.other),
+  comp AS (SELECT id, min(other) AS label FROM reach GROUP BY 1)"""
+SOURCED = RANKED.replace("FROM pairs UNION ALL SELECT b, a, similarity FROM pairs", "FROM sourced UNION ALL SELECT b, a, similarity FROM sourced")
+SOURCED = """sourced AS (SELECT p.* FROM pairs p WHERE p.a IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)
+    OR p.b IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)), """ + SOURCED
+
+
+@query(
+    "A18_duplicate_clusters_by_signatures",
+    sql(
+        """SELECT label, size, max_similarity, size - 1 AS redundant FROM (SELECT label, count(*) AS size FROM comp GROUP BY 1)
+        JOIN (SELECT label, round(max(similarity), 6) AS max_similarity FROM edges JOIN comp ON comp.id = edges.a GROUP BY 1)
+        USING (label)""",
+        "vectors",
+        recursive=True,
+        more=f"{FRAMES}, {SOURCED}, {DUPLICATES}",
+    ),
+)
+def clusters_by_signatures(t: Tables) -> DataFrame:
+    _, groups, _ = signatures.duplicate_report(frames(t), FRAMES_NEAR, 1, SOURCES, recall=FRAMES_RECALL)
+    return rounded(groups, "max_similarity", digits=6)
+
+
+#: The caps are what this pair of queries is about.
+SOURCES, MOST_PAIRS = 600, 300
+
+
+@query(
+    "J6_duplicate_caps",
+    sql(
+        """SELECT (SELECT count(*) FROM frames) AS total_images, least(600, (SELECT count(*) FROM frames)) AS analyzed,
+        (SELECT count(*) FROM frames) > 600 AS sample_capped, (SELECT count(*) FROM edges) AS pairs, (SELECT count(*) FROM edges) > 300 AS pairs_capped""",
+        "vectors",
+        recursive=True,
+        more=f"{FRAMES}, {SOURCED}, {DUPLICATES}",
+    ),
+)
+def duplicate_caps(t: Tables) -> DataFrame:
+    _, _, flags = signatures.duplicate_report(frames(t), FRAMES_NEAR, 1, SOURCES, MOST_PAIRS, FRAMES_RECALL)
+    return flags.select("total_images", "analyzed", "sample_capped", "pairs", "pairs_capped")
+
+
 # --- classification -------------------------------------------------------------------------------
 
 CLASSES = [f"kind_{i}" for i in range(63)]  # the last of the 64 logits has no name
