@@ -1,7 +1,6 @@
 """Masks as run tables: decoding, overlap and semantic scores.
 
-A run is ``start, len`` in the flattened mask. Runs are cut at fixed block borders, so overlaps are
-an equi join on (image, block) and add up without a distinct.
+A run is ``start, len`` in the flattened mask. Overlaps come from one sweep over the sorted runs of an image.
 """
 
 from __future__ import annotations
@@ -11,9 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoframe.operators import sweep
 from annoframe.operators.metrics import ratio
+from annoframe.session import cut
 
-BLOCK = 4096
 BACKGROUND = "__background__"
 
 
@@ -76,34 +76,18 @@ def mask_area(counts: Column) -> Column:
     return F.aggregate(F.filter(counts, lambda v, i: i % 2 == 1), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
 
 
-def in_blocks(runs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Cut runs at block borders: ``block, s, e`` (end excluded)."""
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("len") - 1) / block)
-    rows = runs.where("len > 0").withColumn("block", F.explode(F.sequence(first, last)))
-    return rows.withColumns(
-        {
-            "s": F.greatest(F.col("start"), F.col("block") * block),
-            "e": F.least(F.col("start") + F.col("len"), (F.col("block") + 1) * block),
-        }
-    ).drop("start", "len")
+def _masks(rows: DataFrame) -> DataFrame:
+    """Rows with ``starts, lens``; a run table (``start, len``) becomes rows of one run each."""
+    return rows if "starts" in rows.columns else rows.withColumns(sweep.one_run(F.col("start"), F.col("len")))
 
 
-def _overlap(left: DataFrame, right: DataFrame, lkey: str, rkey: str, block: int) -> DataFrame:
-    a = in_blocks(left, block).select("image_id", "block", F.col(lkey).alias("l"), F.col("s").alias("ls"), F.col("e").alias("le"))
-    b = in_blocks(right, block).select("image_id", "block", F.col(rkey).alias("r"), F.col("s").alias("rs"), F.col("e").alias("re"))
-    meet = a.join(b, ["image_id", "block"]).where("ls < re and rs < le")
-    return meet.withColumn("px", F.least("le", "re") - F.greatest("ls", "rs"))
-
-
-def mask_overlaps(left: DataFrame, right: DataFrame, block: int = BLOCK) -> DataFrame:
+def mask_overlaps(left: DataFrame, right: DataFrame, hot_runs: int = sweep.HOT_RUNS) -> DataFrame:
     """``image_id, left_id, right_id, pixels, iou, dice`` of masks that share a pixel.
 
+    A side is a run table (``image_id, ann_id, start, len``) or has a row per mask with arrays ``starts, lens``, which shuffles less.
     Runs of one mask must not overlap each other.
     """
-    shared = _overlap(left, right, "ann_id", "ann_id", block).groupBy("image_id", "l", "r").agg(F.sum("px").alias("pixels"))
-    la = left.groupBy("image_id", F.col("ann_id").alias("l")).agg(F.sum("len").alias("left_area"))
-    ra = right.groupBy("image_id", F.col("ann_id").alias("r")).agg(F.sum("len").alias("right_area"))
-    both = shared.join(la, ["image_id", "l"]).join(ra, ["image_id", "r"])
+    both = sweep.overlaps(_masks(left), _masks(right), "ann_id", hot_runs)
     total = F.col("left_area") + F.col("right_area")
     return both.select(
         "image_id",
@@ -115,15 +99,15 @@ def mask_overlaps(left: DataFrame, right: DataFrame, block: int = BLOCK) -> Data
     )
 
 
-def pixel_confusion(truth: DataFrame, predicted: DataFrame, pixels: DataFrame, block: int = BLOCK) -> DataFrame:
+def pixel_confusion(truth: DataFrame, predicted: DataFrame, pixels: DataFrame, hot_runs: int = sweep.HOT_RUNS) -> DataFrame:
     """``gt_label, pred_label, pixels`` over all images, background included.
 
     Label maps are runs with ``name``; every pixel has at most one label on a side. ``pixels`` holds
     ``image_id, pixels`` (the image size). Background counts are totals minus what is labelled.
     """
-    matched = _overlap(truth, predicted, "name", "name", block).groupBy(
+    matched = sweep.overlaps(_masks(truth), _masks(predicted), "name", hot_runs).groupBy(
         F.col("l").alias("gt_label"), F.col("r").alias("pred_label")
-    ).agg(F.sum("px").alias("n"))
+    ).agg(F.sum("pixels").alias("n"))
     back = F.lit(BACKGROUND)
     gt = truth.groupBy(F.col("name").alias("gt_label")).agg(F.sum("len").alias("n"))
     pr = predicted.groupBy(F.col("name").alias("pred_label")).agg(F.sum("len").alias("n"))

@@ -502,11 +502,11 @@ def mask_runs(t: Tables) -> DataFrame:
 
 
 def box_runs(boxes: DataFrame) -> DataFrame:
-    """One run per pixel row of a box, in masks 1000 pixels wide."""
-    row = F.explode(F.sequence(F.lit(0), F.col("h").cast("int") - 1)).alias("row")
-    rows = boxes.select("image_id", "ann_id", "x", "y", "w", row)
-    start = (F.greatest(F.col("y"), F.lit(0.0)) + F.col("row")) * 1000 + F.col("x") + 3
-    return rows.select("image_id", "ann_id", start.cast("long").alias("start"), F.col("w").cast("long").alias("len"))
+    """A mask per box, one run per pixel row, in images 1000 pixels wide."""
+    first = (F.greatest(F.col("y"), F.lit(0.0)) * 1000 + F.col("x") + 3).cast("long")
+    h, w = F.col("h").cast("long"), F.col("w").cast("long")
+    starts = F.sequence(first, first + (h - 1) * 1000, F.lit(1000).cast("long"))
+    return boxes.select("image_id", "ann_id", starts.alias("starts"), F.array_repeat(w, h.cast("int")).alias("lens"))
 
 
 INTER = """greatest(0, least(g.x + g.w, p.x + p.w) - greatest(g.x, p.x)) *
@@ -524,20 +524,22 @@ INTER = """greatest(0, least(g.x + g.w, p.x + p.w) - greatest(g.x, p.x)) *
     ),
 )
 def mask_overlaps(t: Tables) -> DataFrame:
-    return rounded(masks.mask_overlaps(box_runs(t.gt), box_runs(t.pred)), "iou", "dice")
+    pred, gt = t.boxes
+    return rounded(masks.mask_overlaps(box_runs(gt), box_runs(pred)), "iou", "dice")
 
 
 def label_runs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Label maps: line n of an order is one labelled run, the prediction shifted and sometimes renamed."""
     start = (F.col("line") * 1000 + F.col("x")).cast("long")
-    truth = t.gt.select("image_id", "name", start.alias("start"), F.col("w").cast("long").alias("len"))
-    moved = t.gt.where("ann_id % 9 <> 0").select(
+    gt = t.boxes[1]
+    truth = gt.select("image_id", "name", start.alias("start"), F.col("w").cast("long").alias("len"))
+    moved = gt.where("ann_id % 9 <> 0").select(
         "image_id",
         F.when(F.col("ann_id") % 11 == 0, F.lit("class_0")).otherwise(F.col("name")).alias("name"),
         (start + F.col("ann_id") % 7 - 3).alias("start"),
         F.col("w").cast("long").alias("len"),
     )
-    size = t.gt.select("image_id").distinct().select("image_id", F.lit(20000).cast("long").alias("pixels"))
+    size = gt.select("image_id").distinct().select("image_id", F.lit(20000).cast("long").alias("pixels"))
     return truth, moved, size
 
 
