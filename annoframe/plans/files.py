@@ -18,7 +18,9 @@ from annoframe.plans.tables import Tables, sql
 from annoframe.session import scratch_dir
 from annoframe.sinks import coco as coco_sink
 from annoframe.sinks import exports, labels
+from annoframe.sinks.voc_files import MANIFEST, write_voc
 from annoframe.sources import coco, files, yolo
+from annoframe.sources.coco_document import read_coco_document
 from annoframe.streaming import logs, state
 
 CLASSES = [f"class_{i}" for i in range(6)]
@@ -68,6 +70,30 @@ def coco_round_trip(t: Tables) -> DataFrame:
     )
 
 
+#: Small, so that even the smallest tables are read by several ranges.
+DOCUMENT_RANGE = 1 << 20
+
+
+@query(
+    "S1_coco_document",
+    sql(
+        ROUND.replace("CASE WHEN ann_id % 5 < 3 THEN x END AS x", "CASE WHEN ann_id % 5 < 3 THEN x END AS x, CASE WHEN ann_id % 5 < 3 THEN y END AS y")
+        .replace("THEN w END AS w", "THEN w END AS w, CASE WHEN ann_id % 5 < 3 THEN h END AS h"),
+        "polygons",
+        "images",
+    ),
+)
+def coco_document(t: Tables) -> DataFrame:
+    """Written as one document and read by byte ranges."""
+    path = f"{scratch(t)}.json"
+    coco_sink.write_coco_document(coco_sink.to_coco(annotations(t), t.images), path)
+    rows, _ = coco.from_coco(*read_coco_document(t.spark, path, DOCUMENT_RANGE))
+    return rows.select(
+        "file_name", "type", "name", F.col("bbox.x").alias("x"), F.col("bbox.y").alias("y"), F.col("bbox.w").alias("w"),
+        F.col("bbox.h").alias("h"), F.col("point.y").alias("py"), F.when(F.col("type") == "polygon", F.size("rings")).alias("rings"),
+    )
+
+
 def pose_categories(t: Tables) -> DataFrame:
     """A category per part: names repeat, some have joints (the words of the name and the type)."""
     words = F.concat(F.split("p_name", " "), F.array("p_type"))
@@ -315,6 +341,41 @@ def category_ids(t: Tables) -> DataFrame:
         "images",
     ),
 )
+def voc_folder(t: Tables) -> str:
+    path = scratch(t)
+    write_voc(annotations(t), t.images, path)
+    return path
+
+
+@query(
+    "S9_voc_documents",
+    sql(
+        VOC_SQL.replace("ann_id AS path, image_id, ", "row_number() OVER (PARTITION BY image_id ORDER BY ann_id) - 1 AS place, "),
+        "polygons",
+        "images",
+    ),
+)
+def voc_documents(t: Tables) -> DataFrame:
+    """One file per image with all its objects, read back in their order."""
+    docs = t.spark.read.option("pathGlobFilter", "*.xml").text(voc_folder(t), wholetext=True)
+    rows = files.from_voc(docs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    return rows.select(F.col("pos").cast("long").alias("place"), "image_name", "name", "bbox.*")
+
+
+@query(
+    "S20_voc_manifest",
+    sql(
+        """SELECT (SELECT count(*) FROM images) AS images, (SELECT count(*) FROM polygons WHERE ann_id % 5 < 3
+        AND image_id IN (SELECT image_id FROM images)) AS annotations""",
+        "polygons",
+        "images",
+    ),
+)
+def voc_manifest(t: Tables) -> DataFrame:
+    """The counts of what was committed."""
+    return t.spark.read.schema("images bigint, annotations bigint").json(f"{voc_folder(t)}/{MANIFEST}")
+
+
 def yolo_box_lines(t: Tables) -> DataFrame:
     return labels.to_yolo(annotations(t), yolo.class_table(t.spark, CLASSES), t.images)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import uuid
+from collections.abc import Iterator
+
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,3 +123,32 @@ def write_coco(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> Non
     """JSON-lines parts under ``images``, ``annotations`` and ``categories``; nothing is merged into one file."""
     for name, table in zip(("images", "annotations", "categories"), tables):
         table.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
+    """One JSON document at ``path``, for tools that want one. The records are written in parts by all tasks; a single task
+    then streams the parts into the file, line by line, and renames it when it is whole."""
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    write_coco(tables, parts)
+    spark = tables[0].sparkSession
+
+    def join(rows: Iterator) -> None:
+        for _ in rows:
+            system, home = fs.FileSystem.from_uri(parts)
+            target = fs.FileSystem.from_uri(path)[1]
+            with system.open_output_stream(f"{home}/document") as out:
+                for i, name in enumerate(("images", "categories", "annotations")):
+                    out.write(f"{',' if i else '{'}\"{name}\":[".encode())
+                    first = True
+                    files = system.get_file_info(fs.FileSelector(f"{home}/{name}"))
+                    for file in sorted(f.path for f in files if f.base_name.startswith("part-")):
+                        with system.open_input_stream(file) as lines:
+                            for line in io.BufferedReader(lines):
+                                out.write(line.rstrip(b"\n") if first else b",\n" + line.rstrip(b"\n"))
+                                first = False
+                    out.write(b"]")
+                out.write(b"}")
+            system.move(f"{home}/document", target)
+            system.delete_dir(home)
+
+    spark.range(1).coalesce(1).foreachPartition(join)
