@@ -1,7 +1,6 @@
 """The stream forms of the log queries, run over the events as a file stream until it is read up.
 
-Each runs a real streaming query; its twin is the batch result up to the watermark, which is the
-latest record time.
+Each runs a real streaming query, which is closed behind its last record; its twin is the batch result.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from annoframe.plans.datasets import ntz
 from annoframe.plans.registry import query
-from annoframe.plans.streams import ANNOTATED, CROSS, FITS, INSIDE, KEPT, LINE, annotated, shown_stats
+from annoframe.plans.streams import ANNOTATED, CROSS, FITS, INSIDE, KEPT, LINE, STATES, annotated, shown_stats
 from annoframe.plans.tables import Tables, sql
 from annoframe.session import scratch_dir
 from annoframe.streaming import logs, state
@@ -35,12 +34,9 @@ def live(t: Tables) -> LiveTables:
     return LiveTables(t.spark, t.dir)
 
 
-SETTLED = "mark AS (SELECT epoch_ms(max(ts)) AS ms FROM events)"
-
-
-def settled(source: str) -> str:
-    """Rows the watermark has passed."""
-    return f"SELECT * FROM {source} WHERE epoch_ms(time) < (SELECT ms FROM mark)"
+#: The last watermark: just past the latest record.
+MARK = "mark AS (SELECT epoch_ms(max(ts)) + 1 AS ms FROM events)"
+HOUR = 3600.0
 
 
 @query(
@@ -71,14 +67,13 @@ def stream_each_record_once(t: Tables) -> DataFrame:
     "ST4_stream_window_stats",
     sql(
         """SELECT session, time_bucket(INTERVAL 12 HOUR, time) AS start, count(*) FILTER (kind = 'frame') AS frames,
-        count(*) FILTER (kind = 'event') AS events, max(latency_ms) FILTER (kind = 'frame') AS max_ms FROM log GROUP BY 1, 2
-        HAVING start + INTERVAL 12 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        count(*) FILTER (kind = 'event') AS events, max(latency_ms) FILTER (kind = 'frame') AS max_ms FROM log GROUP BY 1, 2""",
         "log",
     ),
 )
 def stream_window_stats(t: Tables) -> DataFrame:
-    rows = live(t).log.withWatermark("time", "1 hour")
-    out = state.run_stream(logs.window_stats(rows, "12 hours"))
+    closing = state.Closing(live(t).log, ["session"], HOUR, 12 * HOUR)
+    out = state.run_stream(logs.window_stats(closing.stream, "12 hours"), closing=closing)
     return shown_stats(out).select("session", "start", "frames", "events", "max_ms")
 
 
@@ -86,15 +81,15 @@ def stream_window_stats(t: Tables) -> DataFrame:
     "ST17_stream_late_data",
     sql(
         """SELECT time_bucket(INTERVAL 1 DAY, time) AS start, count(*) FILTER (confidence > 0.4) AS passed,
-        count(*) FILTER (confidence <= 0.4) AS failed FROM log GROUP BY 1
-        HAVING start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)""",
+        count(*) FILTER (confidence <= 0.4) AS failed FROM log GROUP BY 1""",
         "log",
     ),
 )
 def stream_late_data(t: Tables) -> DataFrame:
     """Append mode holds a window back until the watermark, two days behind, has passed its end."""
-    rows = live(t).log.withWatermark("time", "2 days")
-    return ntz(state.run_stream(logs.branch_counts(rows, F.col("confidence") > 0.4, "1 day")), "start")
+    closing = state.Closing(live(t).log, ["session"], 48 * HOUR, 24 * HOUR)
+    out = state.run_stream(logs.branch_counts(closing.stream, F.col("confidence") > 0.4, "1 day"), closing=closing)
+    return ntz(out, "start")
 
 
 @query(
@@ -103,13 +98,13 @@ def stream_late_data(t: Tables) -> DataFrame:
         """SELECT session, min(time) AS start, max(time) + INTERVAL 6 HOUR AS "end", count(*) AS records FROM (
         SELECT *, sum(fresh) OVER (PARTITION BY session ORDER BY time) AS run FROM (SELECT *, CASE WHEN time >=
           lag(time) OVER (PARTITION BY session ORDER BY time) + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS fresh FROM log))
-        GROUP BY session, run HAVING "end" <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        GROUP BY session, run""",
         "log",
     ),
 )
 def stream_sessions_live(t: Tables) -> DataFrame:
-    rows = live(t).log.withWatermark("time", "1 hour")
-    return ntz(state.run_stream(logs.stream_sessions(rows, "6 hours")), "start", "end")
+    closing = state.Closing(live(t).log, ["session"], HOUR, 6 * HOUR)
+    return ntz(state.run_stream(logs.stream_sessions(closing.stream, "6 hours"), closing=closing), "start", "end")
 
 
 @query(
@@ -133,74 +128,58 @@ def stream_events_with_captures(t: Tables) -> DataFrame:
 def _kept(condition: str, seconds: int) -> str:
     return sql(
         "SELECT session, identity FROM kept", "log", recursive=True,
-        more=f"chosen AS MATERIALIZED (SELECT * FROM log WHERE {condition}), src AS MATERIALIZED (SELECT * FROM chosen "
-        "WHERE epoch_ms(time) < (SELECT epoch_ms(max(time)) FROM chosen)), " + KEPT.format(src="src", s=seconds),
+        more=f"src AS MATERIALIZED (SELECT * FROM log WHERE {condition}), " + KEPT.format(src="src", s=seconds),
     )
 
 
-def throttled(t: Tables, condition, seconds: float) -> DataFrame:
+def throttled(t: Tables, condition, seconds: float, write=None) -> DataFrame | None:
     """Only chosen records move the watermark (a filter is pushed below it anyway)."""
-    rows = live(t).log.where(condition).select("session", "time", "identity").withWatermark("time", "0 seconds")
-    return state.apply_rule(rows, state.Throttle(seconds), ["session"])
+    closing = state.Closing(live(t).log.where(condition).select("session", "time", "identity"), ["session"])
+    return state.run_stream(state.apply_rule(closing.stream, state.Throttle(seconds), ["session"]), write, closing)
 
 
 @query("ST7_stream_passive_capture", _kept("kind = 'frame'", 86400))
 def stream_passive_capture(t: Tables) -> DataFrame:
-    return state.run_stream(throttled(t, "kind = 'frame'", 86400)).select("session", "identity")
+    return throttled(t, "kind = 'frame'", 86400).select("session", "identity")
 
 
 @query("ST8_stream_event_capture", _kept("kind = 'event' AND name IN ('class_1', 'class_2', 'class_3')", 43200))
 def stream_event_capture(t: Tables) -> DataFrame:
     chosen = "kind = 'event' and name in ('class_1', 'class_2', 'class_3')"
-    return state.run_stream(throttled(t, chosen, 43200)).select("session", "identity")
+    return throttled(t, chosen, 43200).select("session", "identity")
 
 
 @query("ST15_stream_written_annotations", _kept("kind = 'frame' AND confidence >= 0.5", 43200))
 def stream_written_annotations(t: Tables) -> DataFrame:
     """Each micro-batch is written to a folder of its own number, so a repeated batch overwrites itself."""
     base = f"{scratch_dir(t.spark).rstrip('/')}/written-{uuid.uuid4().hex}"
-    rows = throttled(t, "kind = 'frame' and confidence >= 0.5", 43200)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/batch={number}")
+        batch.where(F.col("session") != state.CLOSED).write.mode("overwrite").parquet(f"{base}/batch={number}")
 
-    state.run_stream(rows, write)
+    throttled(t, "kind = 'frame' and confidence >= 0.5", 43200, write)
     return t.spark.read.parquet(base).select("session", "identity")
 
 
-STREAM_STATES = f"""{SETTLED}, line AS (SELECT session, time, identity, CASE kind WHEN 'status' THEN 'paused' ELSE 'running' END AS said
-      FROM ({settled('log')})),
-  near AS (SELECT *, lag(said) OVER w AS before, lag(time) OVER w AS last_time,
-    coalesce(lead(time) OVER w, make_timestamp((SELECT ms FROM mark) * 1000)) AS next_time
-    FROM line WINDOW w AS (PARTITION BY session ORDER BY time, identity)),
-  states AS (SELECT session, time, said AS state FROM near WHERE before IS NULL OR before <> said OR time > last_time + INTERVAL 30 SECOND
-    UNION ALL SELECT session, time + INTERVAL 30 SECOND, 'stalled' FROM near WHERE next_time > time + INTERVAL 30 SECOND
-    UNION ALL SELECT session, time + INTERVAL 10 MINUTE, 'lost' FROM near WHERE next_time > time + INTERVAL 10 MINUTE)"""
-
-
-@query("ST5_stream_states_live", sql("SELECT session, time, state FROM states", "log", more=STREAM_STATES))
+@query("ST5_stream_states_live", sql("SELECT session, time, state FROM states", "log", more=STATES))
 def stream_states_live(t: Tables) -> DataFrame:
-    rows = live(t).log.withWatermark("time", "0 seconds").select("session", "time", "identity", "kind")
-    out = state.run_stream(state.apply_rule(rows, state.StreamState(), ["session"]))
+    """Closed so late that every session is lost in the end, as in the batch form."""
+    closing = state.Closing(live(t).log.select("session", "time", "identity", "kind"), ["session"], after_s=logs.LOST_S + 1)
+    out = state.run_stream(state.apply_rule(closing.stream, state.StreamState(), ["session"]), closing=closing)
     return ntz(state.with_time(out), "time")
 
 
 def track_rule(t: Tables, rule) -> DataFrame:
-    rows = live(t).tracks.withWatermark("time", "0 seconds")
-    return state.run_stream(state.apply_rule(rows, rule, ["session", "track"], order="frame"))
-
-
-def _settled_tracks(text: str) -> str:
-    """A chain of expressions over the tracks the watermark has passed."""
-    return f"{SETTLED}, seen AS MATERIALIZED ({settled('tracks')}), " + text.replace("FROM tracks", "FROM seen")
+    closing = state.Closing(live(t).tracks, ["session", "track"])
+    return state.run_stream(state.apply_rule(closing.stream, rule, ["session", "track"], order="frame"), closing=closing)
 
 
-@query("ST9_stream_line_crossings", sql("SELECT * FROM crossed", "tracks", more=_settled_tracks(CROSS)))
+@query("ST9_stream_line_crossings", sql("SELECT * FROM crossed", "tracks", more=CROSS))
 def stream_line_crossings(t: Tables) -> DataFrame:
     return ntz(state.with_time(track_rule(t, state.LineCrossing(LINE))), "time")
 
 
-@query("ST11_stream_zone_moves", sql("SELECT * FROM moves", "tracks", more=_settled_tracks(INSIDE)))
+@query("ST11_stream_zone_moves", sql("SELECT * FROM moves", "tracks", more=INSIDE))
 def stream_zone_moves(t: Tables) -> DataFrame:
     return ntz(state.with_time(track_rule(t, state.ZoneMoves(ZONES))), "time")
 
@@ -212,7 +191,7 @@ def stream_zone_moves(t: Tables) -> DataFrame:
         (PARTITION BY session, track, zone ORDER BY time, frame) AS gone FROM moves) WHERE event = 'entry'
         AND coalesce(gone, make_timestamp((SELECT ms FROM mark) * 1000)) >= time + INTERVAL 2 DAY""",
         "tracks",
-        more=_settled_tracks(INSIDE),
+        more=f"{MARK}, {INSIDE}",
     ),
 )
 def stream_dwell_events(t: Tables) -> DataFrame:
@@ -225,9 +204,8 @@ def stream_dwell_events(t: Tables) -> DataFrame:
 @query(
     "ST13_stream_appearances",
     sql(
-        "SELECT session, track, name, min(time) AS time, arg_min(frame, time) AS frame FROM seen GROUP BY 1, 2, 3",
+        "SELECT session, track, name, min(time) AS time, arg_min(frame, time) AS frame FROM tracks GROUP BY 1, 2, 3",
         "tracks",
-        more=f"{SETTLED}, seen AS ({settled('tracks')})",
     ),
 )
 def stream_appearances(t: Tables) -> DataFrame:

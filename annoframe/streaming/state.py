@@ -10,18 +10,22 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from annoframe.session import scratch_dir
 from annoframe.streaming.logs import LOST_S, STALLED_S
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 NEVER = None
+#: Length of the stretches of time in which waiting rows are kept together.
+BUCKET_MS = 60_000
+#: Key of the record that closes a stream: the least 32-bit number, which is a value of every key type (as text for strings).
+CLOSED = -(1 << 31)
 
 # A rule has ``row(memory, row) -> outputs``, called in time order, and ``quiet(memory, now_us) ->
 # (outputs, next time to look)``, called before each row and when the watermark has moved. Both change
@@ -172,55 +176,76 @@ class StreamState:
 
 
 class InOrder(StatefulProcessor):
-    """Holds a key's rows until the watermark has passed them, then applies a rule in time order."""
+    """Holds a key's rows until the watermark has passed them, then applies a rule in time order.
 
-    def __init__(self, rule, keys: Sequence[str], fields: Sequence[str], schema: StructType, order: str) -> None:
-        self.rule, self.keys, self.fields, self.schema, self.order = rule, list(keys), list(fields), schema, order
+    Rows wait in a map keyed by stretches of ``BUCKET_MS`` of their own time, and timers stand at the earliest row. Only
+    the stretches that the watermark has reached are read, and only one it stands in is written back, so the work on a
+    key is linear in its rows however many of them wait.
+    """
+
+    def __init__(self, rule, keys: Sequence[str], fields: Sequence[str], order: str) -> None:
+        self.rule, self.keys, self.fields, self.order = rule, list(keys), list(fields), order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.schema)
-        self.memory = handle.getValueState("memory", "m string")
+        self.pending = handle.getMapState("pending", "bucket bigint", "rows string")
+        self.memory = handle.getValueState("memory", "m string, buckets string")
 
     def _frame(self, key, outputs: list[tuple]) -> pd.DataFrame:
         names = [part.split()[0] for part in self.rule.output.split(", ")]
         return pd.DataFrame([(*key, *o) for o in outputs], columns=[*self.keys, *names])
 
+    def _recall(self) -> tuple[dict, dict[int, int]]:
+        """What the rule remembers, and the waiting stretches with the earliest time (ms) in each."""
+        if not self.memory.exists():
+            return {}, {}
+        kept = self.memory.get()
+        return json.loads(kept[0]), {int(b): first for b, first in json.loads(kept[1]).items()}
+
+    def _remember(self, memory: dict, buckets: dict[int, int]) -> None:
+        self.memory.update((json.dumps(memory), json.dumps(buckets)))
+
+    def _held(self, bucket: int) -> list[list]:
+        return json.loads(self.pending.getValue((bucket,))[0]) if self.pending.containsKey((bucket,)) else []
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
+        fresh: dict[int, list[list]] = {}
+        at = self.fields.index("us")
         for pdf in rows:
-            if not len(pdf):
-                continue
-            part = pdf[self.fields].astype(object)
-            self.pending.appendList([tuple(r) for r in part.itertuples(index=False)])
-            first = int(pdf["us"].min()) // 1000
-            earliest = first if earliest is None else min(first, earliest)
-        if earliest is not None:
-            self.handle.registerTimer(earliest + 1)
+            for row in pdf[self.fields].astype(object).values.tolist():
+                fresh.setdefault(int(row[at]) // 1000 // BUCKET_MS, []).append(row)
+        if fresh:
+            memory, buckets = self._recall()
+            for bucket, more in fresh.items():
+                first = min(int(r[at]) for r in more) // 1000
+                self.pending.updateValue((bucket,), (json.dumps(self._held(bucket) + more if bucket in buckets else more),))
+                buckets[bucket] = min(first, buckets.get(bucket, first))
+            self._remember(memory, buckets)
+            self.handle.registerTimer(min(buckets.values()) + 1)
         yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        rows = [dict(zip(self.fields, r)) for r in self.pending.get()]
-        ready = sorted((r for r in rows if r["us"] // 1000 < mark), key=lambda r: (r["us"], r[self.order]))
-        later = [r for r in rows if r["us"] // 1000 >= mark]
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {}
+        memory, buckets = self._recall()
         outputs: list[tuple] = []
-        for row in ready:
-            outputs += self.rule.quiet(memory, row["us"])[0]
-            outputs += self.rule.row(memory, row)
+        for bucket in sorted(b for b in buckets if b * BUCKET_MS < mark):
+            rows = [dict(zip(self.fields, r)) for r in self._held(bucket)]
+            for row in sorted((r for r in rows if r["us"] // 1000 < mark), key=lambda r: (r["us"], r[self.order])):
+                outputs += self.rule.quiet(memory, row["us"])[0]
+                outputs += self.rule.row(memory, row)
+            later = [[r[f] for f in self.fields] for r in rows if r["us"] // 1000 >= mark]
+            if later:
+                self.pending.updateValue((bucket,), (json.dumps(later),))
+                buckets[bucket] = min(r[self.fields.index("us")] for r in later) // 1000
+            else:
+                self.pending.removeKey((bucket,))
+                del buckets[bucket]
         told, look = self.rule.quiet(memory, mark * 1000)
         outputs += told
-        self.memory.update((json.dumps(memory),))
-        self.pending.clear()
-        if later:
-            self.pending.put([tuple(r[f] for f in self.fields) for r in later])
-            first = min(r["us"] for r in later) // 1000 + 1
-            look_ms = first if look is None else min(first, look // 1000)
-        else:
-            look_ms = None if look is None else look // 1000
-        if look_ms is not None:
-            self.handle.registerTimer(max(look_ms, mark + 1))
+        self._remember(memory, buckets)
+        waits = [first + 1 for first in buckets.values()] + ([] if look is None else [look // 1000])
+        if waits:
+            self.handle.registerTimer(max(min(waits), mark + 1))
         yield self._frame(key, outputs)
 
     def close(self) -> None:
@@ -235,9 +260,8 @@ def apply_rule(stream: DataFrame, rule, keys: Sequence[str], delay: str = "0 sec
     if not _has_watermark(stream):
         rows = rows.withWatermark("time", delay)
     fields = [f for f in rows.columns if f not in keys and f != "time"]
-    schema = StructType([rows.schema[f] for f in fields])
     output = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys) + ", " + rule.output
-    processor = InOrder(rule, keys, fields, schema, order)
+    processor = InOrder(rule, keys, fields, order)
     return rows.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
@@ -251,17 +275,60 @@ def with_time(df: DataFrame, us: str = "us", name: str = "time") -> DataFrame:
     return df.withColumn(name, F.timestamp_micros(us)).drop(us)
 
 
-def run_stream(stream: DataFrame, write: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
+class Closing:
+    """A second source beside a bounded stream, whose only record moves the watermark past all of its rows.
+
+    The record is written when everything has been read, so it can never make a row late; it has ``CLOSED`` for its keys
+    and null elsewhere, and what a query makes of it is left out of its result.
+    """
+
+    def __init__(self, stream: DataFrame, keys: Sequence[str], delay_s: float = 0.0, after_s: float = 0.0) -> None:
+        """``after_s``: how long after the last row the stream is to end (a window's length lets all windows close)."""
+        self.spark, self.schema, self.keys = stream.sparkSession, stream.schema, list(keys)
+        self.delay_s, self.after_s = delay_s, after_s
+        self.folder = f"{scratch_dir(self.spark).rstrip('/')}/closing-{uuid.uuid4().hex}"
+        self._rows().limit(0).write.parquet(self.folder)
+        end = self.spark.readStream.schema(self.schema).parquet(self.folder)
+        self.stream = stream.unionByName(end).withWatermark("time", f"{int(delay_s * 1000)} milliseconds")
+
+    def _rows(self, us: int = 0) -> DataFrame:
+        value = lambda f: F.timestamp_micros(F.lit(us)) if f.name == "time" else F.lit(CLOSED if f.name in self.keys else None)
+        return self.spark.range(1).select(*[value(f).cast(f.dataType).alias(f.name) for f in self.schema])
+
+    def write(self, watermark_ms: int) -> None:
+        ends_ms = watermark_ms + 1 + int((2 * self.delay_s + self.after_s) * 1000)
+        self._rows(ends_ms * 1000).write.mode("append").parquet(self.folder)
+
+    def without(self, result: DataFrame) -> DataFrame:
+        for key in self.keys:
+            result = result.where(F.col(key).isNull() | (F.col(key) != F.lit(CLOSED).cast(result.schema[key].dataType))) if key in result.columns else result
+        return result
+
+
+def run_stream(
+    stream: DataFrame, write: Callable[[DataFrame, int], None] | None = None, closing: Closing | None = None
+) -> DataFrame | None:
     """Run a stream over all it can read now and return what it appended as a table.
 
-    Output and checkpoint lie in the shared scratch folder. With ``write`` each micro-batch goes to
-    the caller's function instead (ST15).
+    Output and checkpoint lie in the shared scratch folder. With ``write`` each micro-batch goes to the caller's function
+    instead (ST15). With ``closing`` the query is then resumed from its checkpoint for the record that closes the stream.
     """
     spark = stream.sparkSession
     base = f"{scratch_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+
+    def run() -> int | None:
+        """Read all there is; the last watermark in milliseconds."""
+        writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        query = writer.foreachBatch(write).start() if write else writer.format("parquet").option("path", f"{base}/out").start()
+        query.awaitTermination()
+        marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+        return int(datetime.fromisoformat(max(marks)).timestamp() * 1000) if marks else None
+
+    mark = run()
+    if closing is not None and mark is not None:
+        closing.write(mark)
+        run()
     if write is not None:
-        writer.foreachBatch(write).start().awaitTermination()
         return None
-    writer.format("parquet").option("path", f"{base}/out").start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    result = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return result if closing is None else closing.without(result)
