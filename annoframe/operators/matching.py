@@ -44,6 +44,12 @@ def _usable(df: DataFrame) -> DataFrame:
     return _real(df).where((F.col("w") > 0) & (F.col("h") > 0))
 
 
+def _ranked_confidence() -> Column:
+    """Confidence for ordering: null and NaN say nothing and come last, with each other by id."""
+    c = F.col("confidence").cast("double")
+    return F.when(c.isNull() | F.isnan(c), F.lit(float("-inf"))).otherwise(c)
+
+
 def greedy_matches(
     pred: DataFrame,
     gt: DataFrame,
@@ -54,11 +60,11 @@ def greedy_matches(
     """``image_id, pred_id, gt_id`` and the class for every claimed pair: ``name``, or
     ``pred_name`` and ``gt_name`` when classes are not compared.
 
-    Predictions go by confidence (ties by id); each claims the free truth box with the largest IoU
+    Predictions go by confidence (ties by id; null and NaN last); each claims the free truth box with the largest IoU
     at or above the threshold, the later one on equal IoU.
     """
     _check_threshold(iou_threshold)
-    keys = _keys(by_class)
+    keys, pred = _keys(by_class), pred.withColumn("confidence", _ranked_confidence())
     hot = hot_groups([pred, gt], keys, hot_group_rows) if hot_group_rows else None
     preds, hot_preds = split_hot(_usable(pred), hot, keys)
     gts, hot_gts = split_hot(_usable(gt), hot, keys)
@@ -210,23 +216,23 @@ def nms(
 ) -> DataFrame:
     """The boxes no kept, higher-scoring box of the group overlaps by more than the threshold.
 
-    Order inside a group: confidence descending (null last), then ``ann_id``. A box with a null, NaN or infinite
-    number is no detection: it is left out and suppresses nothing, whatever the size of its group.
+    Order inside a group: confidence descending (null and NaN last), then ``ann_id``. A box with a null, NaN or infinite
+    place or size is no detection: it is left out and suppresses nothing, whatever the size of its group.
     """
     if not 0.0 <= iou_threshold <= 1.0:
         raise ValueError(f"iou_threshold must be in [0, 1], got {iou_threshold}")
-    boxes, keys = _real(boxes), _keys(by_class)
+    boxes, keys = _real(boxes).withColumn("_rank", _ranked_confidence()), _keys(by_class)
     hot = hot_groups([boxes], keys, hot_group_rows) if hot_group_rows else None
     small, large = split_hot(boxes, hot, keys)
     kept = _fold_nms(small, keys, iou_threshold)
     if hot is not None:
         kept = kept.unionByName(_round_nms(large, keys, iou_threshold))
-    return kept
+    return kept.drop("_rank")
 
 
 def _fold_nms(boxes: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     fields = [c for c in boxes.columns if c not in keys]
-    row = F.struct((-F.col("confidence")).alias("_o"), F.col("ann_id").alias("_i"), *fields)
+    row = F.struct((-F.col("_rank")).alias("_o"), F.col("ann_id").alias("_i"), *fields)
     groups = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
     empty = F.filter("rows", lambda r: F.lit(False))
     kept = F.aggregate(
@@ -247,7 +253,7 @@ def _round_nms(boxes: DataFrame, keys: list[str], threshold: float) -> DataFrame
     """
     area = F.col("w") * F.col("h")
     solid = (F.col("w") > 0) & (F.col("h") > 0)
-    copies = Window.partitionBy(*keys, "x", "y", "w", "h").orderBy(F.desc("confidence"), "ann_id")
+    copies = Window.partitionBy(*keys, "x", "y", "w", "h").orderBy(F.desc("_rank"), "ann_id")
     absorbs = solid & (area / (area + SUPPRESSION_EPS) > threshold)
     open_boxes = cut(
         boxes.withColumn("_copy", F.row_number().over(copies)).where((F.col("_copy") == 1) | ~absorbs).drop("_copy")
@@ -257,7 +263,7 @@ def _round_nms(boxes: DataFrame, keys: list[str], threshold: float) -> DataFrame
 
     def side(p: str) -> DataFrame:
         return solid_boxes.select(
-            *keys, F.col("ann_id").alias(f"{p}id"), F.col("confidence").alias(f"{p}c"), *[F.col(c).alias(f"{p}{c}") for c in "xywh"]
+            *keys, F.col("ann_id").alias(f"{p}id"), F.col("_rank").alias(f"{p}c"), *[F.col(c).alias(f"{p}{c}") for c in "xywh"]
         )
 
     def shape(p: str) -> Column:

@@ -52,6 +52,50 @@ def sample(a: np.ndarray, step: dict, fill: tuple[int, int, int] = (0, 0, 0)) ->
     return out
 
 
+def _taps(size: int, wanted: int) -> np.ndarray:
+    """Bilinear weights (wanted x size) in 22-bit fixed point; shrinking widens the triangle so that every pixel counts."""
+    scale = size / wanted
+    reach = max(scale, 1.0)
+    centre = (np.arange(wanted) + 0.5)[:, None] * scale
+    k = np.arange(size)[None, :]
+    inside = (k >= np.trunc(np.maximum(centre - reach + 0.5, 0))) & (k < np.trunc(centre + reach + 0.5))
+    weights = np.where(inside, np.maximum(0, 1 - np.abs((k - centre + 0.5) / reach)), 0)
+    return np.floor(weights / weights.sum(1, keepdims=True) * (1 << 22) + 0.5).astype(np.int64)
+
+
+def resized(a: np.ndarray, width: int, height: int) -> np.ndarray:
+    """Separable bilinear resampling, rounded to whole bytes after each axis; an axis of the right size is left alone."""
+    out = a.astype(np.int64)
+    if width != a.shape[1]:
+        out = np.clip((np.einsum("ok,hkc->hoc", _taps(a.shape[1], width), out) + (1 << 21)) >> 22, 0, 255)
+    if height != a.shape[0]:
+        out = np.clip((np.einsum("ok,kwc->owc", _taps(a.shape[0], height), out) + (1 << 21)) >> 22, 0, 255)
+    return out.astype(np.uint8)
+
+
+#: The counter-based generator: a prime modulus, multipliers of the counters, and the rounds of mixing (fixed values).
+PRIME, STEPS, TURN, SHIFT, ROUNDS = 2_147_483_647, (1_103, 69_069, 1_013, 577, 40_692), 48_271, 13, 3
+
+
+class Counter:
+    """Uniform numbers that depend only on (seed, image, variant, op) and a place, so any engine can draw any of them."""
+
+    def __init__(self, seed: int, image: int, variant: int, op: int) -> None:
+        self.start = sum(m * v for m, v in zip(STEPS, (seed, image, variant, op))) % PRIME
+
+    def uniform(self, at: np.ndarray | int) -> np.ndarray:
+        z = (self.start + np.asarray(at, np.int64) * STEPS[4]) % PRIME
+        for _ in range(ROUNDS):
+            z = (z * TURN + 11) % PRIME
+            z = z ^ (z >> SHIFT)
+        return (z + 0.5) / 2.0**31
+
+    def normal(self, n: int) -> np.ndarray:
+        """Box and Muller's transform of the places 2 i and 2 i + 1."""
+        at = np.arange(n) * 2
+        return np.sqrt(-2 * np.log(self.uniform(at))) * np.cos(2 * np.pi * self.uniform(at + 1))
+
+
 def _hue(a: np.ndarray, degrees: float) -> np.ndarray:
     """Hue turned on the 256-step circle, value and saturation kept."""
     rgb = a[..., ::-1].astype(float) / 255
@@ -84,10 +128,12 @@ def _blur(a: np.ndarray, radius: float) -> np.ndarray:
     return np.clip(np.round(out), 0, 255).astype(np.uint8)
 
 
-def apply_op(a: np.ndarray, op: Op, step: dict, rng: np.random.Generator) -> np.ndarray:
+def apply_op(a: np.ndarray, op: Op, step: dict, rng: Counter) -> np.ndarray:
     """One op on one image; ``step`` holds the drawn amount and the affine numbers."""
     amount = step["amount"]
-    if op.name in ("flip", "vflip", "rotate90", "rotate", "resize", "crop", "shear"):
+    if op.name == "resize":
+        return resized(a, int(step["w"]), int(step["h"]))
+    if op.name in ("flip", "vflip", "rotate90", "rotate", "crop", "shear"):
         return sample(a, step)
     if op.name == "brightness":
         return blend(np.zeros_like(a), a, amount)
@@ -102,15 +148,16 @@ def apply_op(a: np.ndarray, op: Op, step: dict, rng: np.random.Generator) -> np.
     if op.name == "blur":
         return _blur(a, amount)
     if op.name == "noise":
-        noise = np.round(rng.normal(0, max(0.0, amount) * 96.0, a.shape[:2]))[..., None]
+        noise = np.round(rng.normal(a.shape[0] * a.shape[1]) * (max(0.0, amount) * 96.0)).reshape(*a.shape[:2], 1)
         return np.clip(a + noise, 0, 255).astype(np.uint8)
     if op.name == "cutout":
         out = a.copy()
         h, w = a.shape[:2]
-        for _ in range(max(0, op.extra["count"])):
-            share = min(1.0, max(0.0, rng.uniform(op.low, op.high)))
+        for i in range(max(0, op.extra["count"])):
+            drawn, across, down = rng.uniform(np.arange(3) + 3 * i).tolist()
+            share = min(1.0, max(0.0, op.low + drawn * (op.high - op.low)))
             cw, ch = max(1, round(w * share)), max(1, round(h * share))
-            left, top = rng.integers(0, max(0, w - cw) + 1), rng.integers(0, max(0, h - ch) + 1)
+            left, top = int(across * (max(0, w - cw) + 1)), int(down * (max(0, h - ch) + 1))
             out[top : top + ch + 1, left : left + cw + 1] = 128
         return out
     raise ValueError(f"unknown pixel op {op.name!r}")
@@ -119,7 +166,7 @@ def apply_op(a: np.ndarray, op: Op, step: dict, rng: np.random.Generator) -> np.
 def augment_pixels(variants: DataFrame, ops: Sequence[Op], seed: int) -> DataFrame:
     """``image_id, variant, image`` for planned variants carrying an ``image`` struct.
 
-    Random patterns are seeded by (seed, image, variant, op), so a retried task gives the same bytes.
+    Random patterns are counted out from (seed, image, variant, op), so a retried task gives the same bytes.
     """
     steps = [f"_step{i}" for i in range(len(ops))]
 
@@ -131,8 +178,7 @@ def augment_pixels(variants: DataFrame, ops: Sequence[Op], seed: int) -> DataFra
                 for i, op in enumerate(ops):
                     step = row[steps[i]]
                     if row["variant"] > 0 and step["on"]:
-                        rng = np.random.default_rng([seed, int(row["image_id"]), int(row["variant"]), i])
-                        a = apply_op(a, op, step, rng)
+                        a = apply_op(a, op, step, Counter(seed, int(row["image_id"]), int(row["variant"]), i))
                 images.append(to_struct(a))
             yield pd.DataFrame({"image_id": pdf["image_id"], "variant": pdf["variant"], "image": images})
 

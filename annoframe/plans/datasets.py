@@ -890,7 +890,7 @@ def rows_not_yet_held(t: Tables) -> DataFrame:
     sql(
         """SELECT image_id, CASE WHEN o THEN 'already held' WHEN pos > min(pos) OVER (PARTITION BY dataset_id, directory, name)
         THEN 'repeated in the call' END AS reason FROM (SELECT image_id, image_id AS pos, dataset_id, directory,
-          'p' || (image_id % 30) AS name, EXISTS (SELECT 1 FROM images h WHERE h.image_id % 5 = 0 AND h.image_id < 500
+          'p' || (image_id % 30) AS name, EXISTS (SELECT 1 FROM images h WHERE h.image_id % 15 = 0
             AND h.dataset_id = i.dataset_id AND h.directory = i.directory AND h.image_id % 30 = i.image_id % 30) AS o
           FROM images i)""",
         "images",
@@ -898,7 +898,7 @@ def rows_not_yet_held(t: Tables) -> DataFrame:
 )
 def bulk_registered(t: Tables) -> DataFrame:
     rows = t.images.withColumns({"filename": F.expr("concat('p', image_id % 30)"), "pos": F.col("image_id")})
-    good, bad = images.bulk_register(rows, rows.where("image_id % 5 = 0 and image_id < 500"))
+    good, bad = images.bulk_register(rows, rows.where("image_id % 15 = 0"))
     return good.select("image_id", F.lit(None).cast("string").alias("reason")).unionAll(bad.select("image_id", "reason"))
 
 

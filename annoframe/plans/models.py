@@ -223,35 +223,48 @@ def classification_matrix(t: Tables) -> DataFrame:
 THREE = ["car", "bus", "dog"]
 
 
+def heads(n: int):
+    """``n`` numbers from a whole vector: the sums of every ``n``-th value."""
+    own = lambda c: F.filter("embedding", lambda v, i: i % n == c)
+    total = lambda c: F.aggregate(own(c), F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), total)
+
+
+def _heads(n: int) -> str:
+    sums = ", ".join(f"list_sum([embedding[i]::DOUBLE FOR i IN range({c}, len(embedding) + 1, {n})])" for c in range(1, n + 1))
+    return f"[{sums}]"
+
+
 def query_rows(t: Tables) -> DataFrame:
     """Raw detector queries: four logits (the last is background) and a box in shares of the image."""
 
     def part(i: int):
-        return F.abs(F.get("embedding", F.lit(i)).cast("double")) * 4 % 1
+        return F.abs(F.get("places", F.lit(i))) * 4 % 1
 
     # Two vectors out of three share a small area, so that suppression has work to do.
     near = F.when(F.col("vec_id") % 3 > 0, F.lit(0.1)).otherwise(F.lit(1.0))
-    return t.vectors.select(
+    return t.vectors.withColumn("places", heads(6)).select(
         (F.col("vec_id") % 10).alias("image_id"),
         F.col("vec_id").alias("query"),
-        F.transform(F.slice("embedding", 1, 4), lambda v: v.cast("double") * 10).alias("logits"),
-        (part(10) * near).alias("cx"), (part(11) * near).alias("cy"),
-        (part(12) * 0.2 + 0.2).alias("w"), (part(13) * 0.2 + 0.2).alias("h"),
+        F.transform(heads(4), lambda v: v * 3).alias("logits"),
+        (part(0) * near).alias("cx"), (part(1) * near).alias("cy"),
+        (part(2) * 0.2 + 0.2).alias("w"), (part(3) * 0.2 + 0.2).alias("h"),
         F.lit(640).alias("image_width"), F.lit(480).alias("image_height"),
-        F.transform(F.slice("embedding", 20, 18), lambda v: F.abs(v.cast("double")) * 4 % 1).alias("keypoints"),
+        F.transform(heads(18), lambda v: F.abs(v) * 4 % 1).alias("keypoints"),
     )
 
 
 def _part(i: int) -> str:
-    return f"fmod(abs(embedding[{i + 1}]::DOUBLE) * 4, 1)"
+    return f"fmod(abs(places[{i + 1}]) * 4, 1)"
 
 
-QUERIES = f"""rawq AS (SELECT vec_id % 10 AS image_id, vec_id AS query, [1 / (1 + exp(-(v::DOUBLE * 10))) FOR v IN embedding[1:3]] AS s,
-    {_part(10)} * CASE WHEN vec_id % 3 > 0 THEN 0.1::DOUBLE ELSE 1 END AS cx, {_part(11)} * CASE WHEN vec_id % 3 > 0 THEN 0.1::DOUBLE ELSE 1 END AS cy,
-    {_part(12)} * 0.2::DOUBLE + 0.2::DOUBLE AS w, {_part(13)} * 0.2::DOUBLE + 0.2::DOUBLE AS h, embedding FROM vectors),
+QUERIES = f"""headed AS (SELECT vec_id, {_heads(4)} AS logits, {_heads(6)} AS places, {_heads(18)} AS points FROM vectors),
+  rawq AS (SELECT vec_id % 10 AS image_id, vec_id AS query, [1 / (1 + exp(-(v * 3))) FOR v IN logits[1:3]] AS s,
+    {_part(0)} * CASE WHEN vec_id % 3 > 0 THEN 0.1::DOUBLE ELSE 1 END AS cx, {_part(1)} * CASE WHEN vec_id % 3 > 0 THEN 0.1::DOUBLE ELSE 1 END AS cy,
+    {_part(2)} * 0.2::DOUBLE + 0.2::DOUBLE AS w, {_part(3)} * 0.2::DOUBLE + 0.2::DOUBLE AS h, points FROM headed),
   bestq AS (SELECT *, list_max(s) AS score, list_position(s, list_max(s)) - 1 AS class_id FROM rawq),
   topq AS (SELECT * FROM bestq QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY score DESC, query) <= 300),
-  gate AS MATERIALIZED (SELECT image_id, query AS ann_id, class_id::VARCHAR AS name, score AS confidence, embedding,
+  gate AS MATERIALIZED (SELECT image_id, query AS ann_id, class_id::VARCHAR AS name, score AS confidence, points,
     least(greatest((cx - w / 2) * 640, 0), 640) AS x1, least(greatest((cy - h / 2) * 480, 0), 480) AS y1,
     least(greatest((cx + w / 2) * 640, 0), 640) AS x2, least(greatest((cy + h / 2) * 480, 0), 480) AS y2
     FROM topq WHERE score >= 0.6),
@@ -314,15 +327,13 @@ def anchor_rows(t: Tables) -> DataFrame:
     return t.vectors.select(
         F.floor(F.col("vec_id") / 84).alias("image_id"),
         (F.col("vec_id") % 84).cast("int").alias("anchor"),
-        F.transform(
-            F.slice("embedding", 1, 8), lambda v, i: F.when(i < 4, v.cast("double")).otherwise(F.abs(v.cast("double")) * 3)
-        ).alias("raw"),
+        F.transform(heads(8), lambda v, i: F.when(i < 4, v).otherwise(F.abs(v) * 3)).alias("raw"),
     )
 
 
-ANCHORS = """grid AS (SELECT row_number() OVER (ORDER BY 64 // s * 0 + s, gy, gx) - 1 AS anchor, gx, gy, s FROM
+ANCHORS = f"""grid AS (SELECT row_number() OVER (ORDER BY 64 // s * 0 + s, gy, gx) - 1 AS anchor, gx, gy, s FROM
     (SELECT unnest([8, 16, 32]) AS s), range(8) a(gy), range(8) b(gx) WHERE gx < 64 // s AND gy < 64 // s),
-  dense AS (SELECT vec_id // 84 AS image_id, vec_id % 84 AS anchor, [v::DOUBLE FOR v IN embedding[1:8]] AS e FROM vectors),
+  dense AS (SELECT vec_id // 84 AS image_id, vec_id % 84 AS anchor, {_heads(8)} AS e FROM vectors),
   whole AS (SELECT image_id FROM dense GROUP BY 1 HAVING count(*) = 84),
   raw AS (SELECT image_id, anchor, (e[1] + gx) * s AS cx, (e[2] + gy) * s AS cy, exp(e[3]) * s AS aw, exp(e[4]) * s AS ah,
     [abs(v) * 3 * (abs(e[5]) * 3) FOR v IN e[6:8]] AS sc FROM dense JOIN whole USING (image_id) JOIN grid USING (anchor)),
@@ -367,9 +378,9 @@ def named_annotations(t: Tables) -> DataFrame:
 
 NODES = {"car": ["front", "roof"]}
 POSES = f"""slot AS (SELECT l.image_id, l.ann_id, l.name, l.confidence, l.x, l.y, l.w, l.h, j, n.arity,
-      fmod(abs(embedding[20 + name::INT * 9 + j * 3]::DOUBLE) * 4, 1) * 640 AS px,
-      fmod(abs(embedding[21 + name::INT * 9 + j * 3]::DOUBLE) * 4, 1) * 480 AS py,
-      1 / (1 + exp(-fmod(abs(embedding[22 + name::INT * 9 + j * 3]::DOUBLE) * 4, 1))) AS c
+      fmod(abs(points[1 + name::INT * 9 + j * 3]) * 4, 1) * 640 AS px,
+      fmod(abs(points[2 + name::INT * 9 + j * 3]) * 4, 1) * 480 AS py,
+      1 / (1 + exp(-fmod(abs(points[3 + name::INT * 9 + j * 3]) * 4, 1))) AS c
     FROM live l JOIN (SELECT unnest(['0', '1']) AS name, unnest([3, 1]) AS arity) n USING (name), range(3) r(j) WHERE j < n.arity),
   fits AS (SELECT *, c >= 0.65 AS good, max(c) OVER o AS best, bool_or(c >= 0.65) OVER o AS any_good FROM slot
     WINDOW o AS (PARTITION BY image_id, ann_id)),
@@ -624,10 +635,10 @@ def load_sum_model():
 
     def predict(batch: pd.DataFrame) -> pd.DataFrame:
         m = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
-        score = 1 / (1 + np.exp(-m[:, :8].sum(1) * 4))
+        score, place = 1 / (1 + np.exp(-m.sum(1))), m.reshape(len(m), -1, 4).sum(1) * 100
         return pd.DataFrame(
             {"image_id": batch["vec_id"], "class_id": (batch["vec_id"] % 3).astype("int32"), "confidence": score,
-             "x": m[:, 0] * 100, "y": m[:, 1] * 100, "w": m[:, 2] * 100, "h": m[:, 3] * 100}
+             "x": place[:, 0], "y": place[:, 1], "w": place[:, 2], "h": place[:, 3]}
         )
 
     return predict
@@ -640,7 +651,7 @@ MODEL = "image_id bigint, class_id int, confidence double, x double, y double, w
     "U4_scored_batches",
     sql(
         """SELECT vec_id AS image_id, (['car', 'bus', 'dog'])[(vec_id % 3)::INT + 1] AS name, round(s, 6) AS confidence FROM (SELECT vec_id,
-        1 / (1 + exp(-4 * list_sum([v::DOUBLE FOR v IN embedding[1:8]]))) AS s FROM vectors) WHERE s >= CASE vec_id % 3 WHEN 1 THEN 0.4::DOUBLE ELSE 0.6::DOUBLE END
+        1 / (1 + exp(-list_sum([v::DOUBLE FOR v IN embedding]))) AS s FROM vectors) WHERE s >= CASE vec_id % 3 WHEN 1 THEN 0.4::DOUBLE ELSE 0.6::DOUBLE END
         AND vec_id % 3 <> 2""",
         "vectors",
     ),
@@ -655,7 +666,7 @@ def scored_batches(t: Tables) -> DataFrame:
     "U5_typed_predictions",
     sql(
         """SELECT vec_id AS image_id, 'object_detection' AS task, true AS has_id FROM vectors
-        WHERE embedding[3]::DOUBLE * 100 > 0 AND embedding[4]::DOUBLE * 100 > 0""",
+        WHERE list_sum([embedding[i]::DOUBLE FOR i IN range(3, 65, 4)]) > 0 AND list_sum([embedding[i]::DOUBLE FOR i IN range(4, 65, 4)]) > 0""",
         "vectors",
     ),
 )

@@ -423,6 +423,30 @@ def turned_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "rotate90", "k": 1}])
 
 
+def taps(name: str, wanted: int) -> str:
+    """Weights of the eight pixels of an axis for each of ``wanted`` new ones, in fixed point."""
+    scale = 8 / wanted
+    reach = max(scale, 1.0)
+    return f"""{name} AS MATERIALIZED (SELECT o, k, floor(w / sum(w) OVER (PARTITION BY o) * 4194304 + 0.5)::BIGINT AS w FROM (
+      SELECT o, k, CASE WHEN k >= trunc(greatest(m - {reach!r}::DOUBLE + 0.5, 0)) AND k < trunc(m + {reach!r}::DOUBLE + 0.5)
+        THEN greatest(0, 1 - abs((k - m + 0.5) / {reach!r}::DOUBLE)) ELSE 0 END AS w
+      FROM (SELECT o, k, (o + 0.5::DOUBLE) * {scale!r}::DOUBLE AS m FROM range({wanted}) a(o), range(8) b(k))))"""
+
+
+def _whole(v: str) -> str:
+    return f"least(255, greatest(0, (sum(w * {v}) + 2097152)::BIGINT >> 22))"
+
+
+RESIZED = f""", {taps("across", 12)}, {taps("down", 5)},
+  wide AS MATERIALIZED (SELECT image_id, o AS x, y, {", ".join(f"{_whole(c)} AS {c}" for c in "bgr")} FROM pix JOIN across ON k = x GROUP BY 1, 2, 3),
+  resized AS (SELECT image_id, x, o AS y, {", ".join(f"{_whole(c)} AS {c}" for c in "bgr")} FROM wide JOIN down ON k = y GROUP BY 1, 2, 3)"""
+
+
+@query("G5_resized_pixels", pixel_sql("x", "y", "b", "g", "r", "resized", RESIZED).replace("* 8 +", "* 12 +"))
+def resized_pixels(t: Tables) -> DataFrame:
+    return changed_pixels(t, [{"op": "resize", "width": 12, "height": 5}])
+
+
 def _dim(v: str) -> str:
     return f"trunc(least(255, {v} * 1.5::FLOAT))"
 
@@ -471,7 +495,21 @@ def blurred_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "blur", "radius": 2.0}])
 
 
-@query("G11_noisy_pixels")
+def counted(at: str, op: int = 0) -> str:
+    """The generator of the pixel ops at a place, for variant 1."""
+    m = pixels.STEPS
+    z = f"(({SEED * m[0] + m[2] + op * m[3]} + image_id * {m[1]} + ({at}) * {m[4]}) % {pixels.PRIME})"
+    for _ in range(pixels.ROUNDS):
+        z = f"(SELECT xor(t, t >> {pixels.SHIFT}) FROM (SELECT ({z} * {pixels.TURN} + 11) % {pixels.PRIME} AS t))"
+    return f"(({z} + 0.5::DOUBLE) / 2147483648)"
+
+
+NOISE = f""", drawn AS MATERIALIZED (SELECT *, {counted("p * 2")} AS u, {counted("p * 2 + 1")} AS v, {draw_sql(0, 1)} * 0.08::DOUBLE AS amount
+    FROM (SELECT *, 1 AS variant FROM pix)),
+  noisy AS (SELECT *, round_even(sqrt(-2 * ln(u)) * cos(2 * pi() * v) * (amount * 96), 0) AS n FROM drawn)"""
+
+
+@query("G11_noisy_pixels", pixel_sql("x", "y", *[f"least(255, greatest(0, {c} + n))" for c in "bgr"], "noisy", NOISE))
 def noisy_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "noise", "amount": 0.08}])
 
@@ -495,7 +533,13 @@ def hue_shifted_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "hue_shift", "degrees": 20}])
 
 
-@query("G13_cut_out_pixels")
+HOLES = f""", hole AS MATERIALIZED (SELECT *, greatest(1, round_even(8 * (0.1::DOUBLE + s * 0.2::DOUBLE), 0)) AS c FROM (SELECT image_id,
+      {counted("3 * i")} AS s, {counted("3 * i + 1")} AS u, {counted("3 * i + 2")} AS v FROM (SELECT DISTINCT image_id FROM pix), range(2) r(i))),
+  spot AS (SELECT image_id, c, floor(u * (8 - c + 1)) AS l, floor(v * (8 - c + 1)) AS t FROM hole),
+  holed AS (SELECT p.*, EXISTS (SELECT 1 FROM spot s WHERE s.image_id = p.image_id AND x BETWEEN l AND l + c AND y BETWEEN t AND t + c) AS cut FROM pix p)"""
+
+
+@query("G13_cut_out_pixels", pixel_sql("x", "y", *[f"CASE WHEN cut THEN 128 ELSE {c} END" for c in "bgr"], "holed", HOLES))
 def cut_out_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "cutout", "size": 0.3, "count": 2}])
 

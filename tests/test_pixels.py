@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from annoframe.operators.pixels import apply_op, to_array, to_struct
+from annoframe.operators.pixels import Counter, apply_op, resized, to_array, to_struct
 from annoframe.operators.transforms import Op
 
 RNG = np.random.default_rng(0)
@@ -12,7 +12,7 @@ IMAGE = RNG.integers(0, 256, (12, 10, 3)).astype(np.uint8)
 
 
 def run(op: Op, amount: float = 0.0, image: np.ndarray = IMAGE, seed: int = 1) -> np.ndarray:
-    return apply_op(image, op, {"amount": amount}, np.random.default_rng(seed))
+    return apply_op(image, op, {"amount": amount}, Counter(seed, 1, 1, 0))
 
 
 def test_struct_round_trip():
@@ -44,3 +44,20 @@ def test_cut_out_fills_rectangles_only():
     changed = (out != IMAGE).any(-1)
     assert changed.any() and (out[changed] == 128).all()
     assert (run(Op("cutout", extra={"count": 0})) == IMAGE).all()
+
+
+def test_resize_mixes_neighbours_and_keeps_flat_images():
+    flat = np.full((9, 7, 3), 77, np.uint8)
+    assert (resized(flat, 20, 3) == 77).all() and resized(flat, 20, 3).shape == (3, 20, 3)
+    assert (resized(IMAGE, 10, 12) == IMAGE).all()
+    ramp = np.repeat(np.array([[0, 100]], np.uint8)[..., None], 3, -1)
+    assert resized(ramp, 4, 1)[0, :, 0].tolist() == [0, 25, 75, 100]
+    assert resized(ramp, 1, 1)[0, 0, 0] == 50
+
+
+def test_counter_numbers_are_even_and_do_not_repeat():
+    u = Counter(3, 5, 1, 0).uniform(np.arange(100_000))
+    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01 and len(np.unique(u)) > 99_900
+    n = Counter(3, 5, 1, 0).normal(100_000)
+    assert abs(n.mean()) < 0.02 and abs(n.std() - 1) < 0.02
+    assert abs(np.corrcoef(u[1:], u[:-1])[0, 1]) < 0.02
