@@ -447,6 +447,50 @@ def resized_pixels(t: Tables) -> DataFrame:
     return changed_pixels(t, [{"op": "resize", "width": 12, "height": 5}])
 
 
+def moved_sql(steps: str) -> str:
+    """Every pixel of the new image takes the pixel it comes from, black where there is none. ``steps`` gives the affine
+    numbers and the new size (nw, nh) for each image."""
+    come = """SELECT image_id, nw, px, py, floor((e * rx - b * ry) / (a * e - b * d) + 1e-9) AS x, floor((a * ry - d * rx) / (a * e - b * d) + 1e-9) AS y
+      FROM (SELECT *, px + 0.5 - c AS rx, py + 0.5 - f AS ry FROM steps, range(13) i(px), range(13) j(py) WHERE px < nw AND py < nh)"""
+    return sql(
+        """SELECT image_id, ((py * nw + px) * 3 + ch)::INT AS at, coalesce(CASE ch WHEN 0 THEN b WHEN 1 THEN g ELSE r END, 0)::INT AS value
+        FROM come LEFT JOIN (SELECT image_id, x, y, b, g, r FROM pix) USING (image_id, x, y), range(3) k(ch)""",
+        "vectors",
+        more=f"""{PIX}, var AS (SELECT DISTINCT image_id, 1 AS variant, 8 AS width, 8 AS height FROM pix), {steps},
+      come AS MATERIALIZED ({come})""",
+    )
+
+
+TURNED = f"""turn AS (SELECT *, radians(-15 + {draw_sql(0, 1)} * 30) AS t FROM var),
+  canvas AS (SELECT *, 4 * (abs(cos(t)) + abs(sin(t))) AS reach FROM turn),
+  grown AS (SELECT *, ceil(round(4 + reach, 9)) - floor(round(4 - reach, 9)) AS nw FROM canvas),
+  steps AS (SELECT image_id, nw, nw AS nh, cos(t) AS a, sin(t) AS b, nw / 2 - 4 * cos(t) - 4 * sin(t) AS c, -sin(t) AS d, cos(t) AS e,
+    nw / 2 + 4 * sin(t) - 4 * cos(t) AS f FROM grown)"""
+
+
+@query("G4_rotated_pixels", moved_sql(TURNED))
+def rotated_pixels(t: Tables) -> DataFrame:
+    return changed_pixels(t, [{"op": "rotate", "degrees": 15}])
+
+
+WINDOW = f"""share AS (SELECT *, greatest(1, round_even(8 * (0.3::DOUBLE + {draw_sql(0, 1)} * (0.6::DOUBLE - 0.3::DOUBLE)), 0)) AS n FROM var),
+  steps AS (SELECT image_id, n AS nw, n AS nh, 1 AS a, 0 AS b, -floor({draw_sql(0, 2)} * (8 - n + 1)) AS c, 0 AS d, 1 AS e,
+    -floor({draw_sql(0, 3)} * (8 - n + 1)) AS f FROM share)"""
+
+
+@query("G6_cropped_pixels", moved_sql(WINDOW))
+def cropped_pixels(t: Tables) -> DataFrame:
+    return changed_pixels(t, [{"op": "crop", "scale": [0.3, 0.6]}])
+
+
+SLANTED = f"""steps AS (SELECT image_id, 8 AS nw, 8 AS nh, 1 AS a, tan(radians(-10 + {draw_sql(0, 1)} * 20)) AS b, 0 AS c, 0 AS d, 1 AS e, 0 AS f FROM var)"""
+
+
+@query("G7_sheared_pixels", moved_sql(SLANTED))
+def sheared_pixels(t: Tables) -> DataFrame:
+    return changed_pixels(t, [{"op": "shear", "degrees": 10}])
+
+
 def _dim(v: str) -> str:
     return f"trunc(least(255, {v} * 1.5::FLOAT))"
 
