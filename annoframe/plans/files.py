@@ -21,6 +21,7 @@ from annoframe.sinks import exports, labels
 from annoframe.sinks.voc_files import MANIFEST, write_voc
 from annoframe.sources import coco, files, yolo
 from annoframe.sources.coco_document import read_coco_document
+from annoframe.sources.event_stream import read_event_stream, to_event_stream
 from annoframe.streaming import logs, state
 
 CLASSES = [f"class_{i}" for i in range(6)]
@@ -278,6 +279,20 @@ def json_log_stream(t: Tables) -> DataFrame:
     return state.run_stream(stream.select("identity", "kind", "session"))
 
 
+@query("S15_resumed_event_stream", sql("SELECT identity, kind, session FROM log", "log"))
+def resumed_event_stream(t: Tables) -> DataFrame:
+    """Half of the records are there when the query starts; it is stopped, the rest arrives, and it goes on behind them."""
+    path = scratch(t)
+
+    def arrive(half: int) -> None:
+        rows = t.log.where(F.col("identity") % 2 == half).select("session", "time", "identity", "kind")
+        to_event_stream(rows).write.mode("append").text(path)
+
+    arrive(0)
+    stream = read_event_stream(t.spark, path, "session bigint, identity bigint, kind string", range_bytes=1 << 18)
+    return state.run_stream(stream.select("identity", "kind", "session"), then=lambda: arrive(1))
+
+
 # --- sinks ----------------------------------------------------------------------------------------
 
 SHAPES = f"""shp AS (SELECT image_id, ann_id, name, CASE WHEN ann_id % 5 = 2 THEN {area_sql('outer_ring')} - CASE WHEN ann_id % 3 = 0 THEN 64 ELSE 0 END

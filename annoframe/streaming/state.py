@@ -306,12 +306,16 @@ class Closing:
 
 
 def run_stream(
-    stream: DataFrame, write: Callable[[DataFrame, int], None] | None = None, closing: Closing | None = None
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None] | None = None,
+    closing: Closing | None = None,
+    then: Callable[[], None] | None = None,
 ) -> DataFrame | None:
     """Run a stream over all it can read now and return what it appended as a table.
 
     Output and checkpoint lie in the shared scratch folder. With ``write`` each micro-batch goes to the caller's function
-    instead (ST15). With ``closing`` the query is then resumed from its checkpoint for the record that closes the stream.
+    instead (ST15). With ``closing`` the query is then resumed from its checkpoint for the record that closes the stream,
+    and with ``then`` it is stopped, the function called, and the query resumed for what has come since.
     """
     spark = stream.sparkSession
     base = f"{scratch_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
@@ -325,6 +329,9 @@ def run_stream(
         return int(datetime.fromisoformat(max(marks)).timestamp() * 1000) if marks else None
 
     mark = run()
+    if then is not None:
+        then()
+        mark = run() or mark
     if closing is not None and mark is not None:
         closing.write(mark)
         run()
