@@ -81,7 +81,8 @@ def copied_runs(lines: DataFrame) -> DataFrame | None:
     levels = _levels(lines)
     if not levels:
         return None
-    # A row says: this suffix belongs to group ``g``, whose members share ``len`` lines. It asks if it may stretch.
+    # A row says: this suffix belongs to group ``g``, whose members share ``len`` lines. It asks if it may stretch. Rows that do
+    # not ask are the first of their group, and so of every smaller group they are in.
     state = levels[0].select(*DOC, "__key", "pos", F.lit(0).alias("len"), F.lit(0).cast("long").alias("g"), F.lit(True).alias("asks"))
     for k in reversed(range(len(levels))):
         next_lines = levels[k].select(*DOC, F.col("pos").alias("__at"), F.col("r").alias("r2"))
@@ -90,27 +91,25 @@ def copied_runs(lines: DataFrame) -> DataFrame | None:
             .join(next_lines, [*DOC, "__at"], "left")
             .withColumn("g2", F.when(F.col("r2").isNotNull(), F.xxhash64("g", "r2")))
         )
+        # Only groups with an asker that is not their first are met; no other join tells who goes on.
         groups = (
             grown.where("g2 IS NOT NULL")
             .groupBy("g2")
-            .agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1")
+            .agg(F.min(_place()).alias("first"), F.max(F.when(F.col("asks"), _place())).alias("last"))
+            .where("last > first")
         )
         met = cut(
-            grown.join(groups.select("g2", "first"), "g2", "left").withColumn(
-                "longer", F.coalesce(F.col("asks") & (F.col("first") < _place()), F.lit(False))
-            )
+            grown.drop("__at", "r2")
+            .join(groups.select("g2", "first"), "g2", "left")
+            .withColumn("longer", F.coalesce(F.col("asks") & (F.col("first") < _place()), F.lit(False)))
         )
         common = [*DOC, "__key", "pos"]
-        stretched = met.where("longer").select("g2").distinct()
-        wider = met.join(stretched, "g2", "left_semi").select(
+        wider = met.where("first IS NOT NULL").select(
             *common, (F.col("len") + (1 << k)).alias("len"), F.col("g2").alias("g"), F.col("longer").alias("asks")
         )
-        asked = met.where("asks AND NOT longer").select("g").distinct()
-        same = met.join(asked, "g", "left_semi").select(
-            *common, "len", "g", (F.col("asks") & ~F.col("longer")).alias("asks")
-        )
-        state = cut(wider.unionAll(same))
+        # A suffix that has grown is not needed here any more: what it grew from holds an earlier one.
+        same = met.where("NOT longer").select(*common, "len", "g", "asks")
+        state = wider.unionAll(same)
     return state.where("asks AND len > 0").select(*DOC, "pos", "len")
 
 
