@@ -98,10 +98,14 @@ def copied_runs(lines: DataFrame) -> DataFrame | None:
             .agg(F.min(_place()).alias("first"), F.max(F.when(F.col("asks"), _place())).alias("last"))
             .where("last > first")
         )
+        # Suffixes without such a group get join keys of their own, or all of them would go to the one task of the null.
+        spread = grown.drop("__at", "r2").withColumn("__to", F.coalesce("g2", F.xxhash64(*DOC, "pos")))
+        found = groups.select(F.col("g2").alias("__to"), F.col("first").alias("__first"))
         met = cut(
-            grown.drop("__at", "r2")
-            .join(groups.select("g2", "first"), "g2", "left")
+            spread.join(found, "__to", "left")
+            .withColumn("first", F.when(F.col("g2").isNotNull(), F.col("__first")))
             .withColumn("longer", F.coalesce(F.col("asks") & (F.col("first") < _place()), F.lit(False)))
+            .drop("__to", "__first")
         )
         common = [*DOC, "__key", "pos"]
         wider = met.where("first IS NOT NULL").select(
