@@ -156,3 +156,30 @@ def test_bad_numbers_are_no_detection_on_either_path(spark):
         assert sorted(r.ann_id for r in kept.collect()) == [0, 5]
     with pytest.raises(ValueError):
         matching.nms(preds(spark, rows), -0.1)
+
+
+def unsure(seed):
+    """Overlapping boxes with null, NaN and tied confidences."""
+    rnd = random.Random(seed)
+    conf = [None, float("nan"), 0.5, 0.4, 0.5]
+    return [(1, "c", i, float(rnd.randrange(0, 30, 3)), 0.0, 20.0, 20.0, rnd.choice(conf)) for i in range(25)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_unsure_boxes_come_last_whatever_the_size_of_the_group(spark, seed):
+    rows = unsure(seed)
+    ids = lambda df, c: sorted(r[c] for r in df.select(c).collect())
+    small, large = (matching.nms(preds(spark, rows), 0.4, hot_group_rows=n) for n in (None, 1))
+    assert ids(small, "ann_id") == ids(large, "ann_id")
+    gt = truths(spark, [r[:7] for r in unsure(seed + 10)[:12]])
+    small, large = (matching.greedy_matches(preds(spark, rows), gt, 0.4, hot_group_rows=n) for n in (None, 1))
+    pairs = lambda df: sorted((r.pred_id, r.gt_id) for r in df.collect())
+    ranked = [r[:7] + (-1.0 if r[7] is None or r[7] != r[7] else r[7],) for r in rows]
+    assert pairs(small) == pairs(large) == sorted(brute_matches(ranked, [tuple(r) for r in gt.collect()], 0.4, True))
+
+
+def test_null_and_nan_confidence_suppress_nothing_sure(spark):
+    for bad in (None, float("nan")):
+        rows = [(1, "c", 0, 0.0, 0.0, 20.0, 20.0, bad), (1, "c", 1, 1.0, 0.0, 20.0, 20.0, 0.5), (1, "c", 2, 2.0, 0.0, 20.0, 20.0, 0.4)]
+        for limit in (None, 1):
+            assert [r.ann_id for r in matching.nms(preds(spark, rows), 0.5, hot_group_rows=limit).collect()] == [1]
