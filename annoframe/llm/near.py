@@ -6,11 +6,13 @@
    number of shingles per document, so it may be broadcast), and those are then counted over all documents.
 2. Every document gets ``BANDS * ROWS`` consistent weighted samples (with ``plain``, under both weights where they differ): two documents agree in one with the probability of
    their weighted Jaccard similarity. Rows are hashed to one key per band. Equal texts are one class from here on.
-3. Classes that share a key form a bucket. A pivot of each bucket is compared with its other members; links join classes
-   into components; a bucket whose members are one component is done, others go on with more pivots until every pair
-   across components has been compared. After the first round members leave whose shingles shared with any other open
-   member weigh too little for a link under any of the weights: heavily edited copies would else meet their whole group. So no link inside a bucket is lost, groups of copies cost one comparison per
-   member, and no bucket has a cap.
+3. Classes that share a key form a bucket. Its pivot, the member that shares buckets with most others, is compared with
+   all its members; of a small bucket all pairs are compared. Links join classes into components, and a bucket whose
+   members are one component is done. In the others each member is written as its difference to the pivot: added and
+   missing shingles with their weights. By the triangle inequality two members that the pivot leaves in different
+   components can only be linked if their differences overlap by a known weight, so each member needs to offer only the
+   rarest keys of its difference whose rest weighs less (a prefix), and only members that meet in one are compared.
+   Nothing is lost inside a bucket, members with edits of their own meet nobody, and no bucket has a cap.
 4. A link is a weighted Jaccard similarity of at least ``THRESHOLD`` over the whole texts, by tf-idf weights or, with
    ``plain``, also by plain counts: the shared shingles of a large group of near copies weigh less than the edits, so
    tf-idf alone raises the threshold there. Texts with frequent shingles are then sampled under both weights, so that
@@ -42,9 +44,10 @@ BANDS, ROWS = 10, 4
 RARE = 0.1
 #: Documents of a block and, for long texts, shingles of a block: what one task holds at a time.
 BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 21
-#: Pivots of a bucket in the first round (up to SMALL members: all of them); each further round takes PIVOT_GROWTH times
-#: as many.
-PIVOTS, PIVOT_GROWTH, SMALL = 1, 16, 8
+#: Members of a bucket of which all pairs are compared.
+SMALL = 8
+#: A link needs a sum of absolute differences of at most this share of the sum of both weights.
+SLACK = (1 - THRESHOLD) / (1 + THRESHOLD)
 
 
 # --- document counts -------------------------------------------------------------------------------------------------
@@ -231,6 +234,42 @@ def _weigh(weights: Weights):
     return run
 
 
+def _differ(weights: Weights):
+    """A row per added or missing shingle of a member against its pivot: ``ref``, ``fp``, ``comp``, ``far``, key (of shingle and
+    sign), and for tf-idf and plain weights the weight of the difference, its sum less SLACK of the member's weight, and
+    SLACK of the pivot's weight, which that of every far member exceeds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[str | None, tuple] = (None, ())
+        for batch in batches:
+            texts = zip(*(batch.column(c).to_pylist() for c in ("ref", "fp", "comp", "far", "text_a", "text_b")))
+            for ref, fp, comp, far, a, b in texts:
+                if a != last[0]:
+                    last = (a, shingles(a))
+                (ha, ta), (hb, tb) = last[1], shingles(b)
+                h = np.union1d(ha, hb)
+                at_a, at_b = np.searchsorted(h, ha), np.searchsorted(h, hb)
+                diffs, heights, floors = [], [], []
+                each_a, each_b = weights.each(ha, ta), weights.each(hb, tb)
+                for wa, wb in ((each_a[0], each_b[0]), (each_a[-1], each_b[-1])):
+                    diff = np.zeros(len(h))
+                    diff[at_b] += wb
+                    diff[at_a] -= wa
+                    diffs.append(diff)
+                    heights.append(np.abs(diff).sum() - SLACK * wb.sum())
+                    floors.append(SLACK * wa.sum())
+                on = (diffs[0] != 0) | (diffs[1] != 0)
+                key = mixed(h[on] * MIX[3] + (diffs[1][on] > 0).astype(np.uint64))
+                n = int(on.sum())
+                columns = [pa.array([v] * n, t) for v, t in ((ref, pa.string()), (fp, pa.string()), (comp, pa.string()), (far, pa.bool_()))]
+                columns.append(pa.array(key.view(np.int64)))
+                for k in (0, 1):
+                    columns += [pa.array(np.abs(diffs[k][on])), pa.array(np.full(n, heights[k])), pa.array(np.full(n, floors[k]))]
+                yield pa.RecordBatch.from_arrays(columns, ["ref", "fp", "comp", "far", "h", "w0", "d0", "p0", "w1", "d1", "p1"])
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``comp``): the least node of each connected component, by min labels and pointer jumping."""
     both = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -284,44 +323,83 @@ class Classes:
         """(``node``, ``comp``) for the classes of equal texts that are linked to another; None without links."""
         distinct = cut(self.signed.where("solid").groupBy("fp").agg(F.any_value("bands").alias("bands"), F.min("key").alias("key")))
         members = distinct.select("fp", F.explode("bands").alias("bucket"))
-        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        members = cut(members.join(shared, "bucket").withColumn("comp", F.col("fp")))
+        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = cut(members.join(shared, "bucket"))
         if members.isEmpty():
             return None
-        texts, edges, labels, pivots = self._texts(members, distinct), None, None, PIVOTS
-        while True:
-            spread = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-            # Spark keeps only the first ranks of each bucket before it shuffles.
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("fp"))
-            first = members.withColumn("__r", rank).where(F.col("__r") <= max(pivots, SMALL))
-            heads = (
-                first.join(spread.where("lo <> hi"), "bucket")
-                .where((F.col("__r") <= pivots) | (F.col("n") <= SMALL))
-                .groupBy("bucket")
-                .agg(F.collect_list(F.struct("fp", "comp")).alias("p"))
-            )
-            heads = cut(heads)
-            if heads.isEmpty():
-                return labels
-            open_members = members.join(heads, "bucket")
-            pairs = (
-                # Only pivots of other components: a large group that is one already costs nothing.
-                open_members.select("fp", F.explode(F.filter("p", lambda q: q["comp"] != F.col("comp"))).alias("q"))
-                .select(F.least("fp", "q.fp").alias("a"), F.greatest("fp", "q.fp").alias("b"))
-                .distinct()
-            )
-            ta = texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
-            tb = texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
-            found = cut(pairs.join(tb, "b").join(ta, "a").mapInArrow(_verify(self.weights), "a string, b string"))
-            rest = open_members.where(~F.exists("p", lambda q: q["fp"] == F.col("fp"))).select("bucket", "fp", "comp")
-            if not found.isEmpty():
-                edges = found if edges is None else cut(edges.unionAll(found))
-                labels = components(edges)
-                rest = rest.drop("comp").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-                    "bucket", "fp", F.coalesce("comp", "fp").alias("comp")
-                )
-            members = cut(rest if pivots > PIVOTS else self._may_link(cut(rest), texts))
-            pivots *= PIVOT_GROWTH
+        texts = self._texts(members, distinct)
+        # The member that shares buckets with most others stands nearest to all: few pivots, small differences.
+        score = members.groupBy("fp").agg(F.sum("n").alias("score"))
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "fp"))
+        # Spark keeps only the first ranks of each bucket before it shuffles.
+        first = members.join(score, "fp").withColumn("__r", rank).where(F.col("__r") <= SMALL)
+        heads = cut(
+            first.where((F.col("__r") == 1) | (F.col("n") <= SMALL))
+            .groupBy("bucket")
+            .agg(F.max_by("fp", -F.col("__r")).alias("ref"), F.collect_list("fp").alias("p"))
+        )
+        pairs = (
+            members.join(heads, "bucket")
+            .select("fp", F.explode(F.filter("p", lambda q: q != F.col("fp"))).alias("q"))
+            .select(F.least("fp", "q").alias("a"), F.greatest("fp", "q").alias("b"))
+        )
+        edges = self._verified(pairs, texts)
+        if edges.isEmpty():
+            labels = None
+            named = members.withColumn("comp", F.col("fp"))
+        else:
+            labels = components(edges)
+            named = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
+        named = cut(named.where(F.col("n") > SMALL))
+        spread = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        open_members = cut(named.join(spread, "bucket").join(heads.select("bucket", "ref"), "bucket").select("ref", "fp", "comp").distinct())
+        if open_members.isEmpty():
+            return labels
+        found = self._verified(self._meetings(self._may_link(open_members, texts), texts, labels), texts)
+        if found.isEmpty():
+            return labels
+        return components(cut(edges.unionAll(found)))
+
+    def _verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The pairs whose whole texts are alike."""
+        ta = texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
+        tb = texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
+        return cut(pairs.distinct().join(tb, "b").join(ta, "a").mapInArrow(_verify(self.weights), "a string, b string"))
+
+    def _meetings(self, members: DataFrame, texts: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Pairs (``a``, ``b``) of members of one pivot but of different components whose differences to it may overlap
+        enough. For a link the overlap must reach half the sum of both heights ``d``. A pair across components has a far
+        member, not linked to the pivot, and such a height is over ``p``."""
+        refs = members.select("ref").distinct()
+        if labels is None:
+            refs = refs.withColumn("ref_comp", F.col("ref"))
+        else:
+            refs = refs.join(labels.select(F.col("node").alias("ref"), F.col("comp").alias("ref_comp")), "ref", "left").withColumn("ref_comp", F.coalesce("ref_comp", "ref"))
+        ta = texts.select(F.col("fp").alias("ref"), F.col("text").alias("text_a"))
+        tb = texts.select("fp", F.col("text").alias("text_b"))
+        whole = members.join(refs, "ref").select("ref", "fp", "comp", (F.col("comp") != F.col("ref_comp")).alias("far"))
+        schema = "ref string, fp string, comp string, far boolean, h long, w0 double, d0 double, p0 double, w1 double, d1 double, p1 double"
+        rows = cut(whole.join(tb, "fp").join(ta, "ref").mapInArrow(_differ(self.weights), schema))
+        # A key that only one member has, or no far one, makes no pair.
+        keys = (
+            rows.groupBy("ref", "h")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("meets"), F.min("d0").alias("lo0"), F.min("d1").alias("lo1"))
+            .where("n > 1 AND meets")
+        )
+        own = Window.partitionBy("ref", "fp")
+        before = own.orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
+        eps = 1e-6
+        shared = rows.join(keys, ["ref", "h"]).withColumns({f"m{k}": F.sum(f"w{k}").over(own) for k in (0, 1)})
+        # Partners have at least the height ``p`` where the member is near, and at least ``lo`` at this key.
+        alive = shared.where(" OR ".join(f"(d{k} + greatest(lo{k}, IF(far, lo{k}, p{k}))) / 2 <= m{k} + {eps}" for k in (0, 1)))
+        rest = alive.withColumns({f"r{k}": F.sum(f"w{k}").over(own) - F.coalesce(F.sum(f"w{k}").over(before), F.lit(0.0)) for k in (0, 1)})
+        # Far members may meet near ones under any of their keys, and each other only under both prefixes.
+        offered = " OR ".join(f"r{k} + {eps} >= (d{k} + p{k}) / 2" for k in (0, 1))
+        rest = cut(rest.select("ref", "fp", "comp", "far", "h", "d0", "d1", "m0", "m1", F.expr(offered).alias("prefix")))
+        x, y = rest.where("far").alias("x"), rest.where("prefix").alias("y")
+        enough = " OR ".join(f"least(x.m{k}, y.m{k}) + {eps} >= (x.d{k} + y.d{k}) / 2" for k in (0, 1))
+        met = x.join(y, F.expr(f"x.ref = y.ref AND x.h = y.h AND x.comp <> y.comp AND (x.prefix OR NOT y.far) AND ({enough})"))
+        return met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
 
     def _named(self) -> DataFrame:
         """Every row as (``key``, ``fp``, ``solid``, ``comp``)."""
