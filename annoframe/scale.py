@@ -167,3 +167,117 @@ def running_sums(
     before = chunk_offsets(spread, group, {k: F.sum(v) for k, v in sums.items()})
     local = spread.withColumns({k: F.sum(v).over(run) for k, v in sums.items()}).join(before, [*group, "_chunk"])
     return local.withColumns({k: F.col(k) + F.col(f"{k}_before") for k in sums}).select(*df.columns, *sums)
+
+
+def _carried(
+    spread: DataFrame, group: Sequence[str], order: Sequence[str], first: Column, last: Column, back: bool, ahead: bool
+) -> DataFrame:
+    """``spread`` with ``_back`` and ``_ahead``: what the chunks of its group before a row's chunk end with, and what those after it start with."""
+    edges = spread.groupBy(*group, "_chunk").agg(first.alias("_first"), last.alias("_last"))
+    chunks = Window.partitionBy(*group).orderBy("_chunk")
+    before = F.last("_last", True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_first", True).over(chunks.rowsBetween(1, Window.unboundedFollowing))
+    carry = edges.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate([*group, "_chunk"])],
+        *([before.alias("_back")] if back else []),
+        *([after.alias("_ahead")] if ahead else []),
+    )
+    on = F.lit(True)
+    for i, k in enumerate([*group, "_chunk"]):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return spread.join(carry, on).drop(*[f"_k{i}" for i in range(len(group) + 1)])
+
+
+def neighbours(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    row: Column,
+    back: str | None = None,
+    ahead: str | None = None,
+    sizes: DataFrame | None = None,
+    max_rows: int = 1_000_000,
+) -> DataFrame:
+    """Add ``row`` (a struct) of the row before as ``back`` and of the row after as ``ahead``, null where there is none.
+
+    A huge group is cut into ranges of its order; each range passes its first and last row on, so that only one row
+    per range meets in a window over the whole group. ``sizes`` is a cheaper table with groups at least as large.
+    """
+    spread, many = chunked(df, group, order, df if sizes is None else sizes, max_rows)
+    if many:
+        key = F.struct(*order)
+        spread = _carried(spread, group, order, F.min_by(row, key), F.max_by(row, key), back is not None, ahead is not None)
+    w = Window.partitionBy(*group, *(["_chunk"] if many else [])).orderBy(*order)
+    added = {}
+    if back:
+        added[back] = F.coalesce(F.lag(row).over(w), F.col("_back")) if many else F.lag(row).over(w)
+    if ahead:
+        added[ahead] = F.coalesce(F.lead(row).over(w), F.col("_ahead")) if many else F.lead(row).over(w)
+    return spread.withColumns(added).select(*df.columns, *added)
+
+
+def last_known(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str, max_rows: int = 1_000_000
+) -> DataFrame:
+    """Add the last non-null ``value`` of the rows before; a huge group passes it on from range to range."""
+    spread, many = chunked(df, group, order, df, max_rows)
+    if many:
+        known = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+        spread = _carried(spread, group, order, known, known, True, False)
+    w = Window.partitionBy(*group, *(["_chunk"] if many else [])).orderBy(*order)
+    local = F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return spread.withColumn(name, F.coalesce(local, F.col("_back")) if many else local).select(*df.columns, name)
+
+
+#: Quantiles taken of a hot group to bracket a rank, and the sketch's error as one part of so many.
+GRID, ACCURACY = 1000, 10_000
+
+
+def hot_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """``group`` and the array ``p`` of interpolated percentiles of each group's non-null values, for few large groups.
+
+    A mergeable sketch gives quantiles whose ranks are off by at most one part in ``ACCURACY``. Two of them, with twice
+    that error to spare, bracket the ranks a percentile lies between; a second pass counts the values below the bracket and each distinct value in it.
+    Results are exact; a task holds a sketch, and a window sorts some thousandths of a group.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
+    finite = F.when(F.isnan("_v"), F.lit(float("inf"))).otherwise(F.col("_v"))
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    sketch = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(finite, grid, ACCURACY).alias("_q"))
+    places = []
+    for i, share in enumerate(shares):
+        at = F.lit(float(share)) * (F.col("_n") - 1)
+        spare = 2.0 / ACCURACY
+        lo = F.floor((F.floor(at) / F.col("_n") - spare) * GRID).cast("int")
+        hi = F.ceil(((F.ceil(at) + 1) / F.col("_n") + spare) * GRID).cast("int")
+        places.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                at.alias("at"),
+                F.when(lo > 0, F.get("_q", lo)).alias("lo"),  # null: open
+                F.when(hi < GRID, F.get("_q", hi)).alias("hi"),
+            )
+        )
+    asked = cut(sketch.select(*group, F.explode(F.array(*places)).alias("_a")))
+    below = F.coalesce(F.col("_v") < F.col("_a.lo"), F.lit(False))
+    inside = F.col("_a.hi").isNull() | (F.col("_v") <= F.col("_a.hi"))
+    counted = (
+        rows.join(asked, list(group))
+        .where(inside)
+        .groupBy(*group, "_a", below.alias("_below"), F.when(~below, F.col("_v")).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    w = Window.partitionBy(*group, "_a").orderBy(F.desc("_below"), "_v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_c").over(w))
+    holds = lambda rank: (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank) & ~F.col("_below")
+    at = F.col("_a.at")
+    found = upto.groupBy(*group, "_a").agg(
+        F.max(F.when(holds(F.floor(at)), F.col("_v"))).alias("_lo"), F.max(F.when(holds(F.ceil(at)), F.col("_v"))).alias("_hi")
+    )
+    part = at - F.floor(at)
+    missed = F.col("_lo").isNull() | F.col("_hi").isNull()
+    exact = F.when(missed, F.raise_error(F.lit("a rank lies outside the sketch's bracket"))).when(
+        F.col("_lo") == F.col("_hi"), F.col("_lo")
+    ).otherwise((1 - part) * F.col("_lo") + part * F.col("_hi"))
+    listed = F.sort_array(F.collect_list(F.struct(F.col("_a.i").alias("i"), exact.alias("p"))))
+    return found.groupBy(*group).agg(listed.alias("_l")).select(*group, F.col("_l.p").alias("p"))

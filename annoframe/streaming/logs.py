@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from annoframe.scale import hot_groups, split_hot
+from annoframe.scale import hot_groups, hot_percentiles, last_known, neighbours, split_hot
 from annoframe.session import cut
 
 # Kinds a log history holds.
@@ -136,18 +136,36 @@ def with_captures(events: DataFrame, captures: DataFrame, within: str = "10 minu
 # --- windows --------------------------------------------------------------------------------------
 
 
-def window_stats(log: DataFrame, width: str = "1 second") -> DataFrame:
-    """ST4: per session and window: frames, events, detections, fps and latency percentiles of frames."""
-    seconds = (F.unix_micros(F.col("w.end")) - F.unix_micros(F.col("w.start"))) / 1e6
+#: Rows of a group that one task may sort or keep values of.
+SESSION_ROWS_IN_ONE_TASK = 1_000_000
+SHARES = (0.5, 0.9, 0.99)
+
+
+def window_stats(log: DataFrame, width: str = "1 second", max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
+    """ST4: per session and window: frames, events, detections, fps and latency percentiles of frames.
+
+    A window over ``max_rows`` rows takes its percentiles from a sketch and a second pass, to the same values; a stream
+    has no second pass and keeps a window's distinct latencies until it closes.
+    """
     frame = F.col("kind") == "frame"
     latency = F.when(frame, F.col("latency_ms"))
-    stats = log.groupBy("session", F.window("time", width).alias("w")).agg(
+    rows = log.select(
+        "session", F.window("time", width).alias("w"), "kind", "confidence", latency.alias("latency")
+    )
+    counted = [
         F.count_if(frame).alias("frames"),
         F.count_if(F.col("kind") == "event").alias("events"),
         F.count_if(frame & (F.col("confidence") >= 0.5)).alias("detections"),
-        F.percentile(latency, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))).alias("p"),
-        F.max(latency).alias("max_ms"),
-    )
+        F.max("latency").alias("max_ms"),
+    ]
+    exact = F.percentile("latency", F.array(*map(F.lit, SHARES))).alias("p")
+    keys = ["session", "w"]
+    hot = None if log.isStreaming else hot_groups([rows.where("latency IS NOT NULL")], keys, max_rows)
+    small, large = split_hot(rows, hot, keys)
+    stats = small.groupBy(*keys).agg(*counted, exact)
+    if hot is not None:
+        stats = stats.unionByName(large.groupBy(*keys).agg(*counted).join(hot_percentiles(large, keys, "latency", SHARES), keys))
+    seconds = (F.unix_micros(F.col("w.end")) - F.unix_micros(F.col("w.start"))) / 1e6
     return stats.select(
         "session",
         F.col("w.start").alias("start"),
@@ -155,9 +173,7 @@ def window_stats(log: DataFrame, width: str = "1 second") -> DataFrame:
         "events",
         "detections",
         (F.col("frames") / seconds).alias("fps"),
-        F.col("p")[0].alias("p50"),
-        F.col("p")[1].alias("p90"),
-        F.col("p")[2].alias("p99"),
+        *[F.col("p")[i].alias(name) for i, name in enumerate(("p50", "p90", "p99"))],
         "max_ms",
     )
 
@@ -218,8 +234,6 @@ def zone_means(tracks: DataFrame, zones: DataFrame, width: str, slide: str) -> D
 
 # --- throttles ------------------------------------------------------------------------------------
 
-SESSION_ROWS_IN_ONE_TASK = 1_000_000
-
 
 def throttle(log: DataFrame, interval_s: float, max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
     """W7 / ST7 (batch): per session the first record, then each first one at least ``interval_s`` later.
@@ -233,7 +247,7 @@ def throttle(log: DataFrame, interval_s: float, max_rows: int = SESSION_ROWS_IN_
     hot = hot_groups([log], ["session"], max_rows)
     small, large = split_hot(log, hot, ["session"])
     out = _walk(small, interval_s)
-    return out if hot is None else out.unionByName(_doubling(large, interval_s))
+    return out if hot is None else out.unionByName(_doubling(large, interval_s, max_rows))
 
 
 def _walk(log: DataFrame, interval_s: float) -> DataFrame:
@@ -258,7 +272,7 @@ def _walk(log: DataFrame, interval_s: float) -> DataFrame:
     return ready.mapInPandas(run, ready.schema).drop("_us")
 
 
-def _doubling(log: DataFrame, interval_s: float) -> DataFrame:
+def _doubling(log: DataFrame, interval_s: float, max_rows: int) -> DataFrame:
     step = int(round(interval_s * 1e6))
     rows = cut(log.select("session", "identity", F.unix_micros("time").alias("us")))
     key = F.struct(F.col("us").alias("us"), F.col("identity").alias("identity"))
@@ -274,7 +288,7 @@ def _doubling(log: DataFrame, interval_s: float) -> DataFrame:
     firsts = rows.groupBy("session", "us").agg(F.min("identity").alias("identity"))
     buckets = own.groupBy("session", "b").agg(F.min("row").alias("first"))
     nxt = found.where("asks is not null").join(
-        _next_bucket(found.where("asks is not null").select("session", "b").distinct(), buckets), ["session", "b"], "left"
+        _next_bucket(found.where("asks is not null").select("session", "b").distinct(), buckets, max_rows), ["session", "b"], "left"
     )
     jump = nxt.select(
         "session", F.col("asks").alias("src"), F.coalesce(F.col("hit.us"), F.col("follow.us")).alias("us")
@@ -296,13 +310,11 @@ def _doubling(log: DataFrame, interval_s: float) -> DataFrame:
 _KEY = "struct<us:bigint,identity:bigint>"
 
 
-def _next_bucket(asked: DataFrame, buckets: DataFrame) -> DataFrame:
+def _next_bucket(asked: DataFrame, buckets: DataFrame, max_rows: int) -> DataFrame:
     """For each asked bucket the first row of the first later bucket that holds rows."""
     merged = asked.select("session", "b", F.lit(None).cast(_KEY).alias("first")).unionAll(buckets.select("session", "b", "first"))
-    after = Window.partitionBy("session").orderBy(F.desc("b")).rangeBetween(Window.unboundedPreceding, -1)
-    return merged.withColumn("follow", F.last("first", True).over(after)).groupBy("session", "b").agg(
-        F.first("follow", True).alias("follow")
-    )
+    each = merged.groupBy("session", "b").agg(F.min("first").alias("first")).withColumn("down", -F.col("b"))
+    return last_known(each, ["session"], ["down"], "first", "follow", max_rows).select("session", "b", "follow")
 
 
 def event_capture(log: DataFrame, names: Sequence[str], interval_s: float, max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
@@ -315,38 +327,36 @@ def annotated_frames(log: DataFrame, interval_s: float, max_rows: int = SESSION_
     return throttle(log.where((F.col("kind") == "frame") & (F.col("confidence") >= 0.5)), interval_s, max_rows)
 
 
-def track_lifetimes(tracks: DataFrame) -> DataFrame:
+def track_lifetimes(tracks: DataFrame, max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
     """First and last frame, points and longest gap of each track."""
-    before = F.lag("frame").over(Window.partitionBy("session", "track").orderBy("frame"))
-    return (
-        tracks.withColumn("gap", F.col("frame") - before)
-        .groupBy("session", "track")
-        .agg(
-            F.min("frame").alias("first_frame"),
-            F.max("frame").alias("last_frame"),
-            F.count(F.lit(1)).alias("points"),
-            F.max("gap").alias("longest_gap"),
-        )
+    rows = neighbours(
+        tracks.select("session", "track", "frame"), ["session", "track"], ["frame"], F.struct("frame"), back="before", max_rows=max_rows
+    )
+    return rows.groupBy("session", "track").agg(
+        F.min("frame").alias("first_frame"),
+        F.max("frame").alias("last_frame"),
+        F.count(F.lit(1)).alias("points"),
+        F.max(F.col("frame") - F.col("before.frame")).alias("longest_gap"),
     )
 
 
 # --- track events in batch ------------------------------------------------------------------------
 
 
-def _steps() -> Window:
-    return Window.partitionBy("session", "track").orderBy("time", "frame")
-
-
 def _cross(ax, ay, bx, by, px, py) -> Column:
     return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
 
-def line_crossings(tracks: DataFrame, line: tuple[float, float, float, float]) -> DataFrame:
+def line_crossings(
+    tracks: DataFrame, line: tuple[float, float, float, float], max_rows: int = SESSION_ROWS_IN_ONE_TASK
+) -> DataFrame:
     """ST9 (batch): each crossing of a line, ``in`` from left to right of start to end, else ``out``."""
     ax, ay, bx, by = (F.lit(float(v)) for v in line)
-    px, py, x, y = F.col("px"), F.col("py"), F.col("x"), F.col("y")
-    w = _steps()
-    moves = tracks.withColumns({"px": F.lag("x").over(w), "py": F.lag("y").over(w)}).where("px is not null")
+    px, py, x, y = F.col("from.x"), F.col("from.y"), F.col("x"), F.col("y")
+    steps = neighbours(
+        tracks, ["session", "track"], ["time", "frame"], F.struct("x", "y"), back="from", max_rows=max_rows
+    )
+    moves = steps.where(px.isNotNull())
     was, now = _cross(ax, ay, bx, by, px, py) > 0, _cross(ax, ay, bx, by, x, y) > 0
     meets = _cross(px, py, x, y, ax, ay) * _cross(px, py, x, y, bx, by) <= 0
     return moves.where((was != now) & meets).select(
@@ -363,22 +373,33 @@ def line_counts(crossings: DataFrame) -> DataFrame:
     )
 
 
-def zone_moves(tracks: DataFrame, zones: DataFrame) -> DataFrame:
+def _per_zone(tracks: DataFrame) -> DataFrame:
+    """Groups as large as those of one zone, without looking into zones."""
+    return tracks.select("session", "track", F.lit(None).alias("zone"))
+
+
+def zone_moves(tracks: DataFrame, zones: DataFrame, max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
     """ST11 (batch): entries and exits per track and zone; a track that starts inside enters."""
-    w = Window.partitionBy("session", "track", "zone").orderBy("time", "frame")
-    rows = inside_zones(tracks, zones).withColumn("was", F.coalesce(F.lag("inside").over(w), F.lit(False)))
-    return rows.where(F.col("inside") != F.col("was")).select(
+    points = inside_zones(tracks, zones).select("session", "track", "zone", "time", "frame", "inside")
+    rows = neighbours(
+        points, ["session", "track", "zone"], ["time", "frame"], F.struct("inside"), back="from", sizes=_per_zone(tracks), max_rows=max_rows
+    )
+    return rows.where(F.col("inside") != F.coalesce("from.inside", F.lit(False))).select(
         "session", "track", "zone", "time", "frame", F.when(F.col("inside"), F.lit("entry")).otherwise(F.lit("exit")).alias("event")
     )
 
 
-def dwell_events(tracks: DataFrame, zones: DataFrame, limit_s: float, until: Column) -> DataFrame:
+def dwell_events(
+    tracks: DataFrame, zones: DataFrame, limit_s: float, until: Column, max_rows: int = SESSION_ROWS_IN_ONE_TASK
+) -> DataFrame:
     """ST12 (batch): one event at entry + limit for each stay that lasts so long by ``until``."""
-    w = Window.partitionBy("session", "track", "zone").orderBy("time", "frame")
-    moves = zone_moves(tracks, zones).withColumn("exit_time", F.lead("time").over(w)).where("event = 'entry'")
+    moves = neighbours(
+        zone_moves(tracks, zones, max_rows),
+        ["session", "track", "zone"], ["time", "frame"], F.struct("time"), ahead="next", sizes=_per_zone(tracks), max_rows=max_rows,
+    )
     due = F.timestamp_micros(F.unix_micros("time") + F.lit(int(limit_s * 1e6)))
-    rows = moves.withColumn("due", due)
-    return rows.where(F.coalesce("exit_time", until) >= F.col("due")).select("session", "track", "zone", F.col("time").alias("entered"), "due")
+    rows = moves.where("event = 'entry'").withColumn("due", due)
+    return rows.where(F.coalesce("next.time", until) >= F.col("due")).select("session", "track", "zone", F.col("time").alias("entered"), "due")
 
 
 def appearances(tracks: DataFrame) -> DataFrame:
@@ -393,15 +414,14 @@ STALLED_S = 30
 LOST_S = 600
 
 
-def stream_states(log: DataFrame, until: Column) -> DataFrame:
+def stream_states(log: DataFrame, until: Column, max_rows: int = SESSION_ROWS_IN_ONE_TASK) -> DataFrame:
     """ST5 (batch): state changes of each session: running, paused, stalled after 30 s of nothing, lost
     (ended) after 10 minutes. A status record saying paused pauses until the next other record."""
-    w = Window.partitionBy("session").orderBy("time", "identity")
     said = F.when(F.col("kind") == "status", F.lit("paused")).otherwise(F.lit("running"))
-    rows = log.select(
-        "session", "time", "identity", said.alias("said"), F.lag(said).over(w).alias("before"),
-        F.lag("time").over(w).alias("last_time"), F.lead("time").over(w).alias("next_time"),
-    )
+    rows = neighbours(
+        log.select("session", "time", "identity", said.alias("said")),
+        ["session"], ["time", "identity"], F.struct("time", "said"), back="last", ahead="next", sizes=log, max_rows=max_rows,
+    ).select("session", "time", "said", F.col("last.said").alias("before"), F.col("last.time").alias("last_time"), F.col("next.time").alias("next_time"))
 
     def after(seconds: int) -> Column:
         return F.timestamp_micros(F.unix_micros("time") + seconds * 1_000_000)
