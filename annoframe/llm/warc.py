@@ -1,9 +1,10 @@
 """Web archives, index first.
 
-The index is made from the pages' small columns alone: digest and size of each payload, which record is a response and
-which revisits another, in which archive a record lies, and, since a record's headers follow from these, its length and
-so its offset. It is written before any archive. The archives are then written as text files whose line end is the
-record end; one task holds an archive's records in index order. Reading selects index rows, sorts them by archive and
+Digests are counted first, so that it is known which record is a response and which revisits another. A record's headers
+follow from the page's small columns, so its length and its offset are known before its bytes are written. Each task
+writes the records of its part of the scan to archives of its own, without a shuffle of payloads, and gives the index
+rows: offset, length, url and digest of every record. The index is committed by Spark and names only the archives of accepted attempts;
+what a lost task left behind is in no index row. From there on only the index is read: selecting takes index rows, sorts them by archive and
 offset, joins neighbouring byte ranges and reads those, nothing else; every payload is digested again and compared.
 
 Records are WARC/1.1, uncompressed so that any range can be read. A revisit has the response's headers and no body.
@@ -12,19 +13,21 @@ Of records with equal payloads of at least ``min_bytes`` bytes the one with the
 Defined cases: a null payload is empty. A null key is written as ``none`` and read back as null; it is never the
 response if another key is there. Rows equal in key and payload are all responses if theirs is the largest key. A null
 url has no target header; blanks and control characters in a url become ``%20``. Other columns are not read. An empty
-table gives no archive and no rows. A hot payload is counted before any shuffle, and its revisits have no body.
+table gives no archive and no rows. A hot payload is counted before any shuffle, and its revisits have no body. The
+table of repeated payloads is broadcast if its measured size allows; else it is joined, and payloads are shuffled once.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoframe.llm.common import partitions
@@ -78,45 +81,71 @@ def _revisits() -> Column:
     return F.coalesce(F.col("response").isNotNull() & ~F.col("key").eqNullSafe(F.col("response")), F.lit(False))
 
 
-def _order() -> list[Column]:
-    """Of the records of an archive."""
-    return [F.asc_nulls_first("key"), F.asc("digest"), F.asc_nulls_first("url")]
+INDEX = "key long, url string, digest string, bytes long, type string, refers_to long, archive string, offset long, length long"
 
 
-def write(pages: DataFrame, home: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> DataFrame:
-    """Write index and archives under ``home`` and return the index: ``key``, ``url``, ``digest``, ``bytes``, ``type``,
+def _archive(home: str, limit: int):
+    """A task that writes records to archives of about ``limit`` bytes and gives their index rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, uri, offset = None, "", 0
+        try:
+            for batch in batches:
+                archives, offsets, lengths = [], [], []
+                for head, body in zip(batch.column("head"), batch.column("body")):
+                    if out is not None and offset >= limit:
+                        out.close()
+                        out = None
+                    if out is None:
+                        uri, offset = f"{home}/{uuid.uuid4().hex}.warc", 0
+                        system, path = fs.FileSystem.from_uri(uri)
+                        system.create_dir(os.path.dirname(path), recursive=True)
+                        out = system.open_output_stream(path, buffer_size=1 << 20)
+                    parts = (head.as_buffer(), body.as_buffer(), END.encode())
+                    for part in parts:
+                        out.write(part)
+                    size = sum(map(len, map(memoryview, parts)))
+                    archives.append(uri)
+                    offsets.append(offset)
+                    lengths.append(size)
+                    offset += size
+                small = [batch.column(c) for c in ("key", "url", "digest", "bytes", "type", "refers_to")]
+                yield pa.RecordBatch.from_arrays(
+                    [*small, pa.array(archives, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
+                    [c.split()[0] for c in INDEX.split(", ")],
+                )
+        finally:
+            if out is not None:
+                out.close()
+
+    return run
+
+
+def write(
+    pages: DataFrame, home: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES
+) -> DataFrame:
+    """Write archives and index under ``home`` and return the index: ``key``, ``url``, ``digest``, ``bytes``, ``type``,
     ``refers_to``, ``archive``, ``offset``, ``length``."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
         F.col(key).cast("long").alias("key"), F.col(url).alias("url"), payload.alias("payload"), base32_sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("bytes")
     )
-    rows.drop("payload").write.parquet(f"{home}/heads")
-    heads = spark.read.parquet(f"{home}/heads")
-    groups = heads.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("response"))
-    # Only repeated payloads; a small table of them is sent to all tasks by its measured size, a large one is joined.
+    groups = rows.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("response"))
     groups.where("n > 1").select("digest", "response").write.parquet(f"{home}/repeated")
-    repeated = spark.read.parquet(f"{home}/repeated")
-    total = heads.agg(F.sum("bytes")).first()[0] or 0
-    n = max(partitions(spark), -(-total // ARCHIVE_BYTES))
-    archive = F.pmod(F.xxhash64("key", "digest"), F.lit(n)).cast("int").alias("archive")
-    size = F.octet_length(_head(_revisits())) + F.when(_revisits(), F.lit(0)).otherwise(F.col("bytes")) + len(END)
-    before = Window.partitionBy("archive").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
-    laid = heads.join(repeated, "digest", "left").select("*", archive, size.cast("long").alias("length"))
-    laid.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(
-        "key", "url", "digest", "bytes", F.when(_revisits(), F.lit("revisit")).otherwise(F.lit("response")).alias("type"), F.when(_revisits(), F.col("response")).alias("refers_to"), "archive", "offset", "length"
-    ).write.parquet(f"{home}/index")
-    body = F.when(_revisits(), F.lit("")).otherwise(F.col("payload"))
-    records = rows.join(repeated, "digest", "left").select("key", "digest", "url", archive, F.concat(_head(_revisits()), body).alias("record"))
-    (
-        records.repartition(n, "archive")
-        .sortWithinPartitions("archive", *_order())
-        .select("record", "archive")
-        .write.partitionBy("archive")
-        .option("lineSep", END)
-        .text(f"{home}/archives")
+    repeated = spark.read.schema("digest string, response long").parquet(f"{home}/repeated")
+    records = rows.join(repeated, "digest", "left").select(
+        "key",
+        "url",
+        "digest",
+        "bytes",
+        F.when(_revisits(), F.lit("revisit")).otherwise(F.lit("response")).alias("type"),
+        F.when(_revisits(), F.col("response")).alias("refers_to"),
+        _head(_revisits()).cast("binary").alias("head"),
+        F.when(_revisits(), F.lit("")).otherwise(F.col("payload")).cast("binary").alias("body"),
     )
-    return spark.read.parquet(f"{home}/index")
+    records.mapInArrow(_archive(f"{home}/archives", archive_bytes), INDEX).write.parquet(f"{home}/index")
+    return spark.read.schema(INDEX).parquet(f"{home}/index")
 
 
 def _ranges(rows: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[int]]]:
@@ -155,13 +184,10 @@ def read(spark: SparkSession, home: str, selected: DataFrame | None = None, payl
 
     Without ``payloads`` they are read and checked, but not returned.
     """
-    index = spark.read.parquet(f"{home}/index") if selected is None else selected
+    index = spark.read.schema(INDEX).parquet(f"{home}/index") if selected is None else selected
     schema = "key long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string"
     if index.isEmpty():
         return spark.createDataFrame([], schema)
-    # The names of the archives, without their contents: one row each.
-    files = spark.read.format("binaryFile").load(f"{home}/archives").select("archive", "path")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, file = None, None
         for batch in batches:
@@ -194,8 +220,9 @@ def read(spark: SparkSession, home: str, selected: DataFrame | None = None, payl
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                 lo = hi
 
-    ordered = index.join(files, "archive").select("path", "offset", "length", "digest")
-    ordered = ordered.repartition(partitions(spark), "path").sortWithinPartitions("path", "offset")
+    ordered = index.select(F.col("archive").alias("path"), "offset", "length", "digest")
+    # Ranges, so that every task has about as many records, and an archive few readers.
+    ordered = ordered.repartitionByRange(partitions(spark), "path", "offset").sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(run, schema)
 
 
