@@ -18,7 +18,8 @@ a page.
 
 Defined cases: a null or empty page has an empty text. A null or relative url is host ``""``, which is
 unknown; pages of an unknown or one-page host have their own wrapper, in which all slots count as variable. Rows with equal keys each give a row. Unclosed and
-stray tags are read as browsers do for paragraphs, list items and cells; a stray end tag is dropped. Other columns are
+stray tags are read as browsers do for paragraphs, list items and cells; a stray end tag is dropped. Groups nested deeper
+than ``DEPTH`` keep their texts as groups of their own at that depth, in page order. Other columns are
 not read. An empty table gives an empty result.
 """
 
@@ -59,6 +60,8 @@ SCOPES = frozenset("html body article main section div ul ol dl table nav footer
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|(?=<)|\Z)", re.S)
 NAMED = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SALTS = 32
+#: Levels of groups; browsers bound theirs too, and no step here then nests deeper.
+DEPTH = 200
 #: Distinct pages that must have a text in the same slot before it counts as part of the template.
 ENOUGH = 5
 
@@ -122,8 +125,12 @@ def parse(page: str) -> Node:
         if text:
             words = " ".join(entities.unescape("".join(text)).split())
             text.clear()
-            if words:
+            if words and len(stack) <= DEPTH:
                 stack[-1][1].parts.append(words)
+            elif words:
+                leaf = Node(stack[-1][1].label)
+                leaf.parts.append(words)
+                stack[DEPTH - 1][1].parts.append(leaf)
 
     while at < n:
         m = MARKUP.search(page, at)
@@ -157,7 +164,10 @@ def parse(page: str) -> Node:
         if tag in VOID or m[3].endswith("/"):
             continue
         node = Node(label_of(tag, m[3]))
-        stack[-1][1].parts.append(node)
+        if len(stack) < DEPTH:
+            stack[-1][1].parts.append(node)
+        elif len(stack) > DEPTH and is_aside(stack[-1][1].label, True) == SURE:
+            node.label = stack[-1][1].label  # what is inside an aside stays so
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
