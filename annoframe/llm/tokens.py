@@ -5,7 +5,7 @@ on; level 1 holds the next chunk of those, and so on. A rank directory per bitma
 of 512, so the place of an id's next chunk is one directory entry and at most 64 bytes of bitmap away: any token is read
 with one small range read per level and table, without decoding what lies around it.
 
-A file holds documents in key order; files follow each other in key order too (the table is range partitioned). Layout,
+A file holds documents in key order and a bounded number of ids; files follow each other in key order too (the table is range partitioned). Layout,
 all numbers little-endian::
 
     8 bytes   b"DACTOK1\\n"
@@ -43,6 +43,8 @@ BLOCK = 512
 END_ID = 1
 TABLE_WORDS, TABLE_CHARS = 800_000, 24_000_000
 GROUP_BYTES = 4_000_000
+#: Ids after which a file is closed.
+FILE_TOKENS = 1 << 24
 
 
 def default_path() -> str:
@@ -251,9 +253,12 @@ def _slices(texts: pa.Array) -> Iterator[pa.Array]:
 
 
 def write(
-    docs: DataFrame, home: str, key: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID
+    docs: DataFrame, home: str, key: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID, file_tokens: int = FILE_TOKENS
 ) -> DataFrame:
-    """Write token files under ``home`` and return their list: ``shard``, ``uri``, ``docs``, ``tokens`` in key order."""
+    """Write token files under ``home`` and return their list: ``shard``, ``part``, ``uri``, ``docs``, ``tokens`` in key order.
+
+    A task closes a file once it has ``file_tokens`` ids, so that writer and reader hold that many and one group of texts.
+    """
     path = path or default_path()
     spark = docs.sparkSession
 
@@ -261,24 +266,34 @@ def write(
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
         counts: list[np.ndarray] = []
+        shard, part = TaskContext.get().partitionId(), 0
+
+        def put() -> pa.RecordBatch:
+            uri, n = f"{home}/tokens-{shard:06d}-{part:05d}.dac", np.concatenate(counts)
+            _put(uri, pack(keys, np.concatenate(ids), n))
+            row = {"shard": [shard], "part": [part], "uri": [uri], "docs": [len(keys)], "tokens": [int(n.sum())]}
+            for held in (keys, ids, counts):
+                held.clear()
+            return pa.RecordBatch.from_pydict(row)
+
         for batch in batches:
-            keys += batch.column("key").to_pylist()
+            at = 0
             for texts in _slices(batch.column("text")):
                 flat, n = encoder(path).encode(texts, end_id)
+                keys += batch.column("key").slice(at, len(texts)).to_pylist()
+                at += len(texts)
                 ids.append(flat.astype(np.uint16) if flat.max(initial=0) < 1 << 16 else flat)
                 counts.append(n)
+                if sum(map(len, ids)) >= file_tokens:
+                    yield put()
+                    part += 1
         if keys:
-            shard, n = TaskContext.get().partitionId(), np.concatenate(counts)
-            uri = f"{home}/tokens-{shard:06d}.dac"
-            _put(uri, pack(keys, np.concatenate(ids), n))
-            yield pa.RecordBatch.from_pydict(
-                {"shard": pa.array([shard], pa.int64()), "uri": [uri], "docs": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(n.sum())], pa.int64())}
-            )
+            yield put()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    ranged.mapInArrow(run, "shard long, uri string, docs long, tokens long").write.parquet(f"{home}/list")
+    ranged.mapInArrow(run, "shard long, part long, uri string, docs long, tokens long").write.parquet(f"{home}/list")
     return spark.read.parquet(f"{home}/list")
 
 
@@ -286,7 +301,7 @@ def read(spark: SparkSession, home: str, key: str = "doc_id") -> DataFrame:
     """Per document of the files under ``home``: key, ``start`` over all files, ``n_tokens`` and ``ids_crc32``."""
     files = spark.read.parquet(f"{home}/list")
     # One row per file; a running sum over so few rows is fine in one task.
-    before = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("tokens").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1))
     files = files.withColumn("base", F.coalesce(before, F.lit(0))).select("uri", "base")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
