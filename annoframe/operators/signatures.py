@@ -1,12 +1,12 @@
 """Near pairs of vectors by banded random-hyperplane signatures (J6, W3, A18 at high thresholds).
 
 Each vector gets sign bits against fixed random hyperplanes; two vectors at angle v agree in a bit with probability
-1 - v / pi. The bits are cut into bands, vectors that agree in a whole band are candidates, the whole signature thins them
-out, and the cosine of the vectors decides. Bits a band grow with the logarithm of the table, so that unlike vectors
+1 - v / pi. The bits are cut into bands, vectors that agree in a whole band are candidates, a sketch of the first bands thins
+them out, and the cosine of the vectors decides. Bits a band grow with the logarithm of the table, so that unlike vectors
 rarely meet, and the number of bands follows from the recall asked for: candidates grow as a power of the table that is
 near one for high thresholds (1.2 at 0.92). At low thresholds no signature helps; ``similarity.similar_pairs`` compares exactly.
 
-Only keys and signatures are shuffled by band; whole vectors are joined to the candidates that are left. Equal vectors are
+Only keys and sketches are shuffled by band, once; whole vectors are joined to the candidates that are left. Equal vectors are
 collapsed to the one of least id first and come back as pairs with it, so that a hot group of copies makes no bucket.
 """
 
@@ -25,8 +25,10 @@ from annoframe.operators.similarity import cosine, duplicate_groups, near_duplic
 from annoframe.session import cut
 
 SEED = 20_240
-#: Pairs whose signatures differ by this many standard deviations more than expected at the threshold are left out.
-SLACK = 6.0
+#: Unlike vectors in a bucket, about. Fewer need longer keys, and so more bands to shuffle.
+BUCKET = 16
+#: Bits that go with a key, at least (as far as the bands have them): enough to tell pairs that only share a band.
+SKETCH_BITS = 192
 
 
 @dataclass(frozen=True)
@@ -36,23 +38,42 @@ class Plan:
     bands: int
     bits: int
     threshold: float
+    recall: float
 
     @staticmethod
     def of(rows: int, threshold: float, recall: float) -> Plan:
-        """Buckets hold some four unlike vectors at most; bands enough for pairs at the threshold to be found with ``recall``."""
-        bits = min(60, max(8, math.ceil(math.log2(max(rows, 2) / 4))))
+        """Buckets hold some ``BUCKET`` unlike vectors; bands enough for pairs at the threshold to be found with ``recall``."""
+        bits = min(60, max(8, math.ceil(math.log2(max(rows, 2) / BUCKET))))
         miss = 1 - agreement(threshold) ** bits
-        return Plan(max(1, math.ceil(math.log(1 - recall) / math.log(miss))) if miss > 0 else 1, bits, threshold)
+        # Half of what may be missed is left to the sketch.
+        bands = math.ceil(math.log((1 - recall) / 2) / math.log(miss)) if miss > 0 else 1
+        return Plan(max(1, bands), bits, threshold, recall)
+
+    @property
+    def per_word(self) -> int:
+        """Whole bands in a 64-bit word of the sketch."""
+        return 64 // self.bits
 
     @property
     def words(self) -> int:
-        """64-bit words of a whole signature."""
-        return -(-self.bands * self.bits // 64)
+        """64-bit words of the sketch, which holds the first bands."""
+        return -(-min(self.bands, -(-SKETCH_BITS // self.bits)) // self.per_word)
+
+    @property
+    def sketched(self) -> int:
+        """Bands that the sketch holds."""
+        return min(self.bands, self.words * self.per_word)
 
     @property
     def most_differing(self) -> int:
-        n, q = self.bands * self.bits, 1 - agreement(self.threshold)
-        return math.floor(n * q + SLACK * math.sqrt(n * q * (1 - q))) + 1
+        """Bits of the sketch in which a pair at the threshold differs at most, but for a share of half of what may be missed."""
+        n, q = self.sketched * self.bits, 1 - agreement(self.threshold)
+        rest, over = (1 - self.recall) / 2, 0.0
+        for m in range(n, 0, -1):
+            over += math.comb(n, m) * q**m * (1 - q) ** (n - m)
+            if over > rest:
+                return m
+        return 1
 
 
 def agreement(similarity: float) -> float:
@@ -75,12 +96,12 @@ def _signer(plan: Plan):
                 planes[dim] = np.random.default_rng(SEED).standard_normal((dim, plan.bands * plan.bits))
             signs = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, dim) @ planes[dim] > 0
             keys = signs.reshape(n, plan.bands, plan.bits) @ (1 << np.arange(plan.bits, dtype=np.int64))
-            padded = np.zeros((n, plan.words * 64), bool)
-            padded[:, : signs.shape[1]] = signs
-            words = np.packbits(padded, axis=1).view(np.int64)
+            words = np.zeros((n, plan.words), np.int64)
+            for band in range(plan.sketched):
+                words[:, band // plan.per_word] |= keys[:, band] << (band % plan.per_word * plan.bits)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * plan.bands), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), lists, *[pa.array(words[:, i]) for i in range(plan.words)]],
+                [batch.column("vec_id"), lists, *[pa.array(np.ascontiguousarray(words[:, i])) for i in range(plan.words)]],
                 ["vec_id", "keys", *[f"s{i}" for i in range(plan.words)]],
             )
 
@@ -100,19 +121,23 @@ def distinct_vectors(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def candidates(firsts: DataFrame, plan: Plan) -> DataFrame:
-    """(``a``, ``b``) once each, ``a < b``: the pairs that share a band and whose signatures differ little."""
-    schema = "vec_id bigint, keys array<bigint>, " + ", ".join(f"s{i} bigint" for i in range(plan.words))
-    signed = cut(firsts.select("vec_id", "embedding").mapInArrow(_signer(plan), schema))
+    """(``a``, ``b``) once each, ``a < b``: the pairs that share a band and whose sketches differ little."""
     words = [f"s{i}" for i in range(plan.words)]
+    schema = "vec_id bigint, keys array<bigint>, " + ", ".join(f"{w} bigint" for w in words)
+    signed = cut(firsts.select("vec_id", "embedding").mapInArrow(_signer(plan), schema))
     rows = signed.select("vec_id", F.posexplode("keys").alias("band", "key"), *words)
-    # A bucket of one is no bucket; its row need not carry its signature any further.
-    full = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
-    rows = rows.join(full, ["band", "key"], "left_semi")
     left = rows.select("band", "key", F.col("vec_id").alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
     right = rows.select("band", "key", F.col("vec_id").alias("b"), *[F.col(w).alias(f"b_{w}") for w in words])
-    differing = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in words), F.lit(0))
+    apart = [F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}")) for w in words]
+    differing = sum((F.bit_count(x) for x in apart), F.lit(0))
     met = left.join(right, ["band", "key"]).where("a < b").where(differing <= plan.most_differing)
-    return met.select("a", "b").distinct()
+    # A near pair shares many bands; one that met in a band of the sketch already is not given again.
+    before = F.lit(False)
+    for band in range(plan.sketched):
+        mask = ((1 << plan.bits) - 1) << (band % plan.per_word * plan.bits)
+        own = F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")
+        before = before | ((F.col("band") > band) & (apart[band // plan.per_word].bitwiseAND(own) == 0))
+    return met.where(~before).select("a", "b").distinct()
 
 
 def near_pairs(vectors: DataFrame, threshold: float = 0.92, recall: float = 0.99) -> DataFrame:

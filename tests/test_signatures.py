@@ -80,3 +80,15 @@ def test_bad_arguments(spark):
     for threshold, recall in ((0.0, 0.9), (1.5, 0.9), (0.9, 1.0)):
         with pytest.raises(ValueError):
             signatures.near_pairs(table(spark, [(1, [1.0])]), threshold, recall)
+
+
+def test_a_key_carries_a_short_sketch_and_a_pair_meets_once(spark):
+    # At the recall of the queries, whole signatures made rows of 360 bytes a band.
+    plan = signatures.Plan.of(150_000, 0.92, 1 - 1e-9)
+    assert plan.words <= 4 and plan.sketched * plan.bits >= signatures.SKETCH_BITS
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((10, 64))
+    rows = [(i, base[i % 10] + rng.standard_normal(64) * 0.05) for i in range(100)]
+    firsts, _ = signatures.distinct_vectors(table(spark, rows))
+    met = signatures.candidates(firsts, signatures.Plan.of(100, 0.92, 1 - 1e-9))
+    assert sorted((r.a, r.b) for r in met.collect()) == [(a, b) for a in range(100) for b in range(a + 1, 100) if (b - a) % 10 == 0]
