@@ -80,3 +80,21 @@ def test_images_of_one_document_name_are_refused(spark, tables, tmp_path):
     images, annotations = tables
     with pytest.raises(ValueError, match="share"):
         voc_files.write_voc(annotations, images.withColumn("filename", F.lit("same.jpg")), str(tmp_path))
+
+
+def test_packed_documents_are_the_files(spark, tables, tmp_path, monkeypatch):
+    images, annotations = tables
+    voc_files.write_voc(annotations, images, str(tmp_path / "files"))
+    monkeypatch.setattr(voc_files, "ARCHIVE_DOCUMENTS", 2)
+    voc_files.write_voc(annotations.coalesce(1), images.coalesce(1), str(tmp_path / "packed"), packed=True)
+    got = {r.path.rsplit("/", 1)[1]: r.text for r in voc_files.read_packed(spark, str(tmp_path / "packed")).collect()}
+    assert got == {p.name: p.read_text() for p in (tmp_path / "files").glob("*.xml")} and len(got) == 3
+    assert (tmp_path / "packed" / voc_files.MANIFEST).read_text() == (tmp_path / "files" / voc_files.MANIFEST).read_text()
+    assert {p.suffix for p in (tmp_path / "packed").iterdir()} == {".zip", ".json"}  # no file per image
+
+
+def test_an_archive_is_closed_when_full(tmp_path):
+    writer = voc_files._Writer(str(tmp_path), documents=2)
+    done = writer.write(iter([{"name": f"n{i}", "place": None, "text": "<annotation>"} for i in range(5)]))
+    writer.commit([done])
+    assert done.images == 5 and len(list(tmp_path.glob("*.zip"))) == 3
