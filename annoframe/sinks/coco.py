@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +15,9 @@ from annoframe.operators.poses import OBJECT, slotted
 from annoframe.scale import global_rank
 from annoframe.session import cut
 
+#: Bytes that are copied at a time into one document.
+BLOCK = 4 << 20
+
 
 def _numbers(b: Column) -> Column:
     return F.array(b["x"], b["y"], b["w"], b["h"])
@@ -127,7 +129,7 @@ def write_coco(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> Non
 
 def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
     """One JSON document at ``path``, for tools that want one. The records are written in parts by all tasks; a single task
-    then streams the parts into the file, line by line, and renames it when it is whole."""
+    then streams the parts into the file, block by block, and renames it when it is whole."""
     parts = f"{path}.parts-{uuid.uuid4().hex}"
     write_coco(tables, parts)
     spark = tables[0].sparkSession
@@ -139,13 +141,14 @@ def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: st
             with system.open_output_stream(f"{home}/document") as out:
                 for i, name in enumerate(("images", "categories", "annotations")):
                     out.write(f"{',' if i else '{'}\"{name}\":[".encode())
-                    first = True
+                    held = b""  # the line break behind what was written, a comma's place once more follows
                     files = system.get_file_info(fs.FileSelector(f"{home}/{name}"))
                     for file in sorted(f.path for f in files if f.base_name.startswith("part-")):
                         with system.open_input_stream(file) as lines:
-                            for line in io.BufferedReader(lines):
-                                out.write(line.rstrip(b"\n") if first else b",\n" + line.rstrip(b"\n"))
-                                first = False
+                            while block := lines.read(BLOCK):
+                                block = held + block
+                                held = b"\n" if block.endswith(b"\n") else b""
+                                out.write(block[: len(block) - len(held)].replace(b"\n", b",\n"))
                     out.write(b"]")
                 out.write(b"}")
             system.move(f"{home}/document", target)

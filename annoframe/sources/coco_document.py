@@ -4,7 +4,8 @@ A JSON document has no record borders that a range could find alone: a bracket m
 looked at twice. First every range counts its brackets and quotes for both cases, starting inside a string and outside,
 and names the arrays it may open. Those few numbers a range are chained on the driver, which gives each range its true
 start: in a string or not, how deep, in which array. Then every range gives the records that start in it, reading on past
-its end for the last one, as JSON text that Spark parses. No task holds more than a range and one record.
+its end for the last one, as JSON text that Spark parses. No task holds more than a range and one record; a task reads many short ranges in turn, and an array's
+records are looked for only in the ranges that it reaches into.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from annoframe.schemas import COCO_ANNOTATION, COCO_CATEGORIES, COCO_IMAGES
 
 RANGE_BYTES = 64 << 20
+#: A task reads ranges one after the other, up to so many bytes, once there are this many tasks.
+TASK_BYTES, MANY_TASKS = 64 << 20, 64
 #: Bytes before a place in which the name of an array that opens there is looked for.
 LOOK_BACK = 4096
 BATCH = 4096
@@ -38,7 +41,7 @@ _NAME = re.compile(rb'"([^"\\]*)"\s*:\s*$')
 
 @dataclass(frozen=True)
 class Range(InputPartition):
-    """Bytes ``lo .. hi - 1`` of a file, and the state before them."""
+    """Bytes ``lo .. hi - 1`` of a file, the state before them, and the arrays that may have records in them."""
 
     path: str
     lo: int
@@ -46,6 +49,14 @@ class Range(InputPartition):
     quoted: bool = False
     depth: int = 0
     array: str = ""
+    holds: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Ranges(InputPartition):
+    """Ranges of one task."""
+
+    parts: tuple[Range, ...]
 
 
 class _File:
@@ -162,10 +173,17 @@ class _Reader(DataSourceReader):
     def __init__(self, parts: list[Range], wanted: str):
         self.parts, self.wanted = parts, wanted
 
-    def partitions(self) -> list[Range]:
-        return self.parts
+    def partitions(self) -> list[Ranges]:
+        most = max((p.hi - p.lo for p in self.parts), default=1)
+        n = max(1, min(TASK_BYTES // most, len(self.parts) // MANY_TASKS))
+        # Without a range there is one empty task.
+        return [Ranges(tuple(self.parts[i : i + n])) for i in range(0, max(1, len(self.parts)), n)]
+
+    def read(self, task: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in task.parts:
+            yield from self._range(part)
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def _range(self, part: Range) -> Iterator[pa.RecordBatch]:
         if not self.wanted:
             text = json.dumps(_summary(part))
             yield pa.RecordBatch.from_pydict({"pos": pa.array([part.lo], pa.int64()), "value": pa.array([text])})
@@ -214,9 +232,10 @@ def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> li
     seen = {r["pos"]: json.loads(r["value"]) for r in _read(spark, parts).collect()}
     out, quoted, depth, array = [], False, 0, ""
     for part in parts:
-        out.append(Range(path, part.lo, part.hi, quoted, depth, array))
         found = seen[part.lo][quoted]
-        array = next((name for at, name in reversed(found["opened"]) if depth + at == 1), array)
+        opened = [name for at, name in found["opened"] if depth + at == 1]
+        out.append(Range(path, part.lo, part.hi, quoted, depth, array, (array, *opened)))
+        array = opened[-1] if opened else array
         depth, quoted = depth + found["gain"], found["quoted"]
     if quoted or depth:
         raise ValueError(f"{path} is no whole JSON document")
@@ -230,7 +249,7 @@ def read_coco_document(spark: SparkSession, path: str, range_bytes: int = RANGE_
 
     def records(array: str, kind: str) -> DataFrame:
         element = kind.removeprefix("array<").removesuffix(">") if kind.startswith("array<") else kind
-        return _read(spark, parts, array).select("pos", F.from_json("value", element).alias("r"))
+        return _read(spark, [p for p in parts if array in p.holds], array).select("pos", F.from_json("value", element).alias("r"))
 
     images = records("images", COCO_IMAGES).select("r.*")
     categories = records("categories", COCO_CATEGORIES).select("r.*")

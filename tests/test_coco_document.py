@@ -82,3 +82,26 @@ def test_written_document_is_one_valid_file(spark, tmp_path):
     doc = json.loads((tmp_path / "out.json").read_text())
     assert [len(doc[k]) for k in ("images", "annotations", "categories")] == [2, 50, 0]
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["out.json"]
+
+
+def test_short_ranges_share_tasks_and_arrays_read_their_own_ranges(spark, tmp_path):
+    doc = document(random.Random(3), 400)
+    path = tmp_path / "d.json"
+    path.write_text(json.dumps(doc, separators=(",", ":")), encoding="utf-8")
+    parts = coco_document.ranges(spark, str(path), 200)
+    images, categories, annotations = coco_document.read_coco_document(spark, str(path), 200)
+    assert len(parts) > 300
+    # One task a range, for each of the three arrays, before.
+    assert images.rdd.getNumPartitions() < 200 and annotations.rdd.getNumPartitions() < 200 and categories.rdd.getNumPartitions() < 5
+    assert [r.id for r in annotations.orderBy("pos").collect()] == [a["id"] for a in doc["annotations"]]
+    assert sorted(r.file_name for r in images.collect()) == sorted(i["file_name"] for i in doc["images"])
+    assert categories.count() == 1
+
+
+def test_blocks_of_any_size_join_to_one_document(spark, tmp_path, monkeypatch):
+    images = spark.createDataFrame([(i, f"{i}.jpg") for i in range(9)], "id long, file_name string").repartition(3)
+    for block in (1, 7, 1 << 20):
+        monkeypatch.setattr(coco_sink, "BLOCK", block)
+        coco_sink.write_coco_document((images, images.limit(0), images), str(tmp_path / f"{block}.json"))
+        doc = json.loads((tmp_path / f"{block}.json").read_text())
+        assert [len(doc[k]) for k in ("images", "annotations", "categories")] == [9, 0, 9]
