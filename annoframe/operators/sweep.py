@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from annoframe.session import cut
 
 HOT_RUNS = 1 << 21
-#: Runs a task sweeps over at a time (whole images).
-HELD_RUNS = 1 << 20
+#: Runs a task sweeps over at a time (whole images); a sweep holds some 20 numbers a run.
+HELD_RUNS = 1 << 17
 
 
 def one_run(start: Column, length: Column) -> dict[str, Column]:
@@ -87,8 +87,10 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = _groups(image, rows.column("chunk"))
         numbers = lambda name: rows.column(name).flatten().to_numpy(zero_copy_only=False)
         offsets = starts.offsets.to_numpy() - starts.offsets[0].as_py()
+        steps = np.append(0, np.cumsum(numbers("starts")))
+        begins = steps[1:] - np.repeat(steps[offsets[:-1]], np.diff(offsets))
         left, right, pixels, la, ra = swept(
-            group, rows.column("right").to_numpy(zero_copy_only=False), _numbers(key), offsets, numbers("starts"), numbers("lens")
+            group, rows.column("right").to_numpy(zero_copy_only=False), _numbers(key), offsets, begins, numbers("lens")
         )
         arrays = [image.take(pa.array(left)), key.take(pa.array(left)), key.take(pa.array(right)), pa.array(pixels), pa.array(la), pa.array(ra)]
         return pa.RecordBatch.from_arrays(arrays, ["image_id", "l", "r", "pixels", "left_area", "right_area"])
@@ -118,9 +120,15 @@ def _groups(image: pa.Array, chunk: pa.Array) -> np.ndarray:
     return np.append(0, np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1])))
 
 
+def _stepped(rows: DataFrame) -> DataFrame:
+    """Each start as the step from the one before: mostly equal numbers, which a shuffle packs to a fraction."""
+    step = F.transform("starts", lambda v, i: v - F.when(i > 0, F.get("starts", i - 1)).otherwise(F.lit(0)))
+    return rows.withColumn("starts", F.when(F.size("starts") > 1, step).otherwise(F.col("starts")))
+
+
 def _swept(rows: DataFrame) -> DataFrame:
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
-    together = rows.repartition("image_id", "chunk").sortWithinPartitions("image_id", "chunk")
+    together = _stepped(rows).repartition("image_id", "chunk").sortWithinPartitions("image_id", "chunk")
     schema = f"image_id {kind['image_id']}, l {kind['key']}, r {kind['key']}, pixels bigint, left_area bigint, right_area bigint"
     return together.mapInArrow(_sweep, schema)
 

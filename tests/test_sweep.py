@@ -89,3 +89,26 @@ def test_empty_sides(spark):
     rows = spark.createDataFrame([("a", 1, [0], [5])], MASKS)
     assert masks.mask_overlaps(rows, rows.limit(0)).count() == 0
     assert masks.mask_overlaps(rows.limit(0), rows.limit(0)).count() == 0
+
+
+def test_a_task_holds_few_runs_before_it_sweeps():
+    import pyarrow as pa
+
+    taken, n = [], 10_000
+
+    def batches():
+        for b in range(40):
+            taken.append(b)
+            lists = lambda v: pa.array([[v]] * n, pa.list_(pa.int64()))
+            columns = [pa.array([b * n + i // 2 for i in range(n)]), pa.array(["a"] * n), pa.array([bool(i % 2) for i in range(n)]), pa.array([0] * n, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, lists(5), lists(3)], ["image_id", "key", "right", "chunk", "starts", "lens"])
+
+    out = sweep._sweep(batches())
+    first = next(out)
+    assert len(taken) < 20
+    assert first.num_rows + sum(b.num_rows for b in out) == 40 * n // 2
+
+
+def test_starts_are_shuffled_as_steps(spark):
+    df = spark.createDataFrame([("a", 1, [7, 1007, 2007], [5, 5, 5]), ("a", 2, [9], [1])], MASKS)
+    assert [r.starts for r in sweep._stepped(df).orderBy("ann_id").collect()] == [[7, 1000, 1000], [9]]
