@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoframe.functions.geometry import let
 from annoframe.operators import sweep
 from annoframe.operators.metrics import ratio
 from annoframe.session import cut
@@ -38,7 +39,7 @@ def counts_from_text(text: Column) -> Column:
         base = F.when(F.size(acc["out"]) > 2, F.element_at(acc["out"], -2)).otherwise(F.lit(0).cast("bigint"))
         grown = F.struct(acc["out"].alias("out"), x.alias("x"), (acc["k"] + 1).alias("k"))
         closed = F.struct(
-            F.concat(acc["out"], F.array(signed + base)).alias("out"), F.lit(0).cast("bigint").alias("x"), F.lit(0).alias("k")
+            F.array_append(acc["out"], signed + base).alias("out"), F.lit(0).cast("bigint").alias("x"), F.lit(0).alias("k")
         )
         return F.when(more, grown).otherwise(closed)
 
@@ -48,13 +49,18 @@ def counts_from_text(text: Column) -> Column:
 
 def check_counts(masks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good, refused with reason)``: run lengths must not be negative and must cover h x w."""
-    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    judged = masks.withColumn(
-        "reason",
-        F.when(F.col("counts").isNull(), F.lit("counts end inside a run length"))
-        .when(F.exists("counts", lambda c: c < 0), F.lit("negative run"))
-        .when(total != F.col("h") * F.col("w"), F.lit("runs do not cover the mask")),
-    )
+    def judge(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+        reason = (
+            F.when(counts.isNull(), F.lit("counts end inside a run length"))
+            .when(F.exists(counts, lambda c: c < 0), F.lit("negative run"))
+            .when(total != F.col("h") * F.col("w"), F.lit("runs do not cover the mask"))
+        )
+        return F.struct(counts.alias("counts"), reason.alias("reason"))
+
+    # The generator decodes and judges once per row; a filter on a plain column would decode anew for each use.
+    judged = masks.withColumn("_j", F.explode(F.array(let(F.col("counts"), judge))))
+    judged = judged.withColumns({"counts": F.col("_j.counts"), "reason": F.col("_j.reason")}).drop("_j")
     return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
 
 
@@ -63,7 +69,7 @@ def runs_of(masks: DataFrame) -> DataFrame:
     ends = F.aggregate(
         "counts",
         F.array(F.lit(0).cast("bigint")),
-        lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)),
+        lambda acc, v: F.array_append(acc, F.element_at(acc, -1) + v),
     )
     pairs = F.zip_with(F.col("counts"), F.slice(F.col("_e"), 1, F.size("counts")), lambda n, s: F.struct(s.alias("start"), n.alias("len")))
     odd = F.filter(pairs, lambda r, i: (i % 2 == 1) & (r["len"] > 0))
