@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from annoframe.functions.geometry import box, clamp, finite, points_from_flat
+from annoframe.functions.geometry import box, clamp, finite, let, points_from_flat
 
 # The attribute that marks an occluded joint and the spellings read as true.
 OCCLUDED = "occluded"
@@ -79,10 +79,32 @@ def template_edges(edges: Column, joints: Column, base: int = 0) -> Column:
     return F.filter(named, lambda e: (e["i"] != e["j"]) & e["i"].between(0, size - 1) & e["j"].between(0, size - 1))
 
 
+def _slots(keypoints: Column) -> Column:
+    """The numbers of the full triplets."""
+    count = F.floor(F.size(keypoints) / 3).cast("int")
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def any_placed(keypoints: Column) -> Column:
     """True when a raw visibility of a full triplet is above zero (tested before it is clamped)."""
-    full = F.floor(F.size(keypoints) / 3) * 3
-    return F.coalesce(F.exists(F.transform(keypoints, lambda v, i: (i < full) & (i % 3 == 2) & (v > 0)), lambda b: b), F.lit(False))
+    return F.coalesce(F.exists(_slots(keypoints), lambda s: F.get(keypoints, s * 3 + 2) > 0), F.lit(False))
+
+
+def _clamped(keypoints: Column, slot: Column) -> Column:
+    return F.greatest(F.lit(0), F.least(F.lit(2), F.get(keypoints, slot * 3 + 2).cast("int")))
+
+
+def _placed_slots(keypoints: Column) -> Column:
+    return F.filter(_slots(keypoints), lambda s: _clamped(keypoints, s) > 0)
+
+
+def _many(joints: Column) -> Column:
+    return F.coalesce(F.size(joints) > 1, F.lit(False))
+
+
+def lone_entry(keypoints: Column, joints: Column) -> Column:
+    """A single placed point of a category without a joint list."""
+    return (F.size(_placed_slots(keypoints)) == 1) & ~_many(joints)
 
 
 def expand_triplets(keypoints: Column, joints: Column, name: Column, attributes: Column) -> Column:
@@ -92,12 +114,10 @@ def expand_triplets(keypoints: Column, joints: Column, name: Column, attributes:
     attribute. Joints are named by the category's joint list when it has more than one. A single
     point of a category without such a list is ``lone``.
     """
-    count = F.floor(F.size(keypoints) / 3).cast("int")
-    slots = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    many = F.coalesce(F.size(joints) > 1, F.lit(False))
+    many = _many(joints)
 
     def joint(slot: Column) -> Column:
-        v = F.greatest(F.lit(0), F.least(F.lit(2), F.get(keypoints, slot * 3 + 2).cast("int")))
+        v = _clamped(keypoints, slot)
         own = F.coalesce(attributes, F.create_map().cast("map<string,string>"))
         marked = F.map_concat(
             F.map_filter(own, lambda k, _: k != OCCLUDED), F.create_map(F.lit(OCCLUDED), F.lit("true"))
@@ -110,19 +130,21 @@ def expand_triplets(keypoints: Column, joints: Column, name: Column, attributes:
             v.alias("v"),
         )
 
-    placed = F.filter(F.transform(slots, joint), lambda j: j["v"] > 0)
-    lone = (F.size(placed) == 1) & ~many
-    return F.transform(
-        placed,
-        lambda j, i: F.struct(
-            i.alias("idx"),
-            j["slot"].alias("slot"),
-            j["name"].alias("name"),
-            j["point"].alias("point"),
-            j["attributes"].alias("attributes"),
-            lone.alias("lone"),
-        ),
-    )
+    def numbered(placed: Column) -> Column:
+        lone = (F.size(placed) == 1) & ~many
+        return F.transform(
+            placed,
+            lambda j, i: F.struct(
+                i.alias("idx"),
+                j["slot"].alias("slot"),
+                j["name"].alias("name"),
+                j["point"].alias("point"),
+                j["attributes"].alias("attributes"),
+                lone.alias("lone"),
+            ),
+        )
+
+    return let(F.transform(_placed_slots(keypoints), joint), numbered)
 
 
 def rings_from_flat(segmentation: Column) -> Column:

@@ -108,8 +108,10 @@ def annotation_box(t: Tables) -> DataFrame:
 )
 def flat_ring(t: Tables) -> DataFrame:
     flat = g.flatten_ring(F.col("rings")[0])
-    odd = F.concat(flat, F.array(F.lit(1.0)))
-    return t.polygons.select("ann_id", F.size(g.points_from_flat(odd)).alias("points"), F.posexplode(flat).alias("pos", "value"))
+    odd = F.concat("flat", F.array(F.lit(1.0)))
+    # Counted before the explode: beside a generator it would be counted anew for each number.
+    rows = t.polygons.select("ann_id", flat.alias("flat")).withColumn("points", F.size(g.points_from_flat(odd)))
+    return rows.select("ann_id", "points", F.posexplode("flat").alias("pos", "value"))
 
 
 def _turned(t: Tables) -> DataFrame:
@@ -429,9 +431,8 @@ def expanded_triplets(t: Tables) -> DataFrame:
     ),
 )
 def image_scoped_instance_ids(t: Tables) -> DataFrame:
-    joints = k.expand_triplets(F.col("kps"), F.col("joints"), F.col("name"), F.col("attributes"))
     entries = coco_like(t).where(k.any_placed(F.col("kps"))).select(
-        "file_name", "pos", F.element_at(joints, 1)["lone"].alias("lone")
+        "file_name", "pos", k.lone_entry(F.col("kps"), F.col("joints")).alias("lone")
     )
     return poses.number_objects(entries).select("file_name", "pos", "instance_id")
 
