@@ -12,6 +12,9 @@ every pair that no earlier prediction could change.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,8 +95,39 @@ def _left(pred: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _fold_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    labels = [] if "name" in keys else ["pred_name", "gt_name"]
+def greedy_hits(
+    pred: DataFrame, gt: DataFrame, thresholds: Sequence[float], hot_group_rows: int | None = HOT_GROUP_ROWS
+) -> DataFrame:
+    """J2 at several thresholds from one join: ``image_id, pred_id, hits`` of every prediction that claims a box at one of
+    them; ``hits`` has 1 or 0 for each threshold."""
+    for t in thresholds:
+        _check_threshold(t)
+    keys, pred = _keys(True), pred.withColumn("confidence", _ranked_confidence())
+    hot = hot_groups([pred, gt], keys, hot_group_rows) if hot_group_rows else None
+    preds, hot_preds = split_hot(_usable(pred), hot, keys)
+    gts, hot_gts = split_hot(_usable(gt), hot, keys)
+    edges = _edges(preds, gts, keys, min(thresholds), [])
+    names = [f"_c{i}" for i in range(len(thresholds))]
+    over = lambda t: F.filter("edges", lambda e: e["i"] <= -t)
+    reach = [over(float(t)) for t in thresholds]
+    claimed = edges.withColumns({n: _claimed(r, []) for n, r in zip(names, reach)})
+    ids = F.array_distinct(F.flatten(F.array(*[F.col(f"{n}.pred_id") for n in names])))
+    took = lambda p: F.array(*[F.array_contains(F.col(f"{n}.pred_id"), p).cast("int") for n in names])
+    rows = F.transform(ids, lambda p: F.struct(p.alias("pred_id"), took(p).alias("hits")))
+    out = claimed.select("image_id", F.inline(rows))
+    if hot is not None:
+        flags = [F.array(*[F.lit(int(j == i)) for j in range(len(thresholds))]) for i in range(len(thresholds))]
+        parts = [
+            _round_matches(hot_preds, hot_gts, keys, t).select("image_id", "pred_id", flag.alias("hits"))
+            for t, flag in zip(thresholds, flags)
+        ]
+        rounds = reduce(DataFrame.unionAll, parts).groupBy("image_id", "pred_id")
+        out = out.unionByName(rounds.agg(F.array(*[F.max(F.get("hits", F.lit(i))) for i in range(len(flags))]).alias("hits")))
+    return out
+
+
+def _edges(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: float, labels: list[str]) -> DataFrame:
+    """The sorted array of a group's pairs at or above the threshold."""
     left = pred.select(
         *keys, F.col("ann_id").alias("pred_id"), "confidence", *[F.col(c).alias(f"l{c}") for c in "xywh"],
         *[F.col("name").alias(n) for n in labels[:1]],
@@ -106,10 +140,14 @@ def _fold_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: fl
     edge = F.struct(
         (-F.col("confidence")).alias("o"), "pred_id", (-F.col("iou")).alias("i"), (-F.col("gt_id")).alias("g"), *labels
     )
-    edges = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+
+
+def _claimed(edges: Column, labels: list[str]) -> Column:
+    """The pairs claimed by a walk over a group's sorted pairs."""
     kinds = "".join(f",{n}:string" for n in labels)
-    claimed = F.aggregate(
-        "edges",
+    return F.aggregate(
+        edges,
         F.array().cast(f"array<struct<pred_id:bigint,gt_id:bigint{kinds}>>"),
         lambda acc, e: F.when(
             F.exists(acc, lambda m: (m["pred_id"] == e["pred_id"]) | (m["gt_id"] == -e["g"])), acc
@@ -122,7 +160,11 @@ def _fold_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: fl
             )
         ),
     )
-    return edges.select(*keys, F.inline(claimed))
+
+
+def _fold_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    labels = [] if "name" in keys else ["pred_name", "gt_name"]
+    return _edges(pred, gt, keys, threshold, labels).select(*keys, F.inline(_claimed(F.col("edges"), labels)))
 
 
 def _round_matches(pred: DataFrame, gt: DataFrame, keys: list[str], threshold: float) -> DataFrame:
