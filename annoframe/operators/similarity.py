@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from annoframe.session import cut
 
-# Most pivots kept on the driver and sent to every task, and rows of one comparison block.
+# Most pivots kept on the driver and sent to every task, and rows of one comparison block: a vector is copied once for
+# every block it meets. A block's product is made so many rows at a time.
 MAX_PIVOTS = 256
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192
+PRODUCT_ROWS = 1024
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -52,8 +54,8 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.92, pivots: int = 64,
     Unit vectors at cosine c are ``sqrt(2 - 2c)`` apart. Each vector lives in the cell of its nearest
     pivot and, by the triangle inequality, can only have partners in cells whose pivot is at most
     twice that distance farther than its own. It is sent to those cells alone. A cell of any size is
-    cut into blocks of ``block_rows``, compared block against block by one matrix product; only pairs
-    that pass leave a task.
+    cut into blocks of ``block_rows``, compared block against block by matrix products; only pairs
+    that pass leave a task. Vectors travel as they were given and are scaled where they are compared.
     """
     if not -1.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (-1, 1]")
@@ -73,12 +75,13 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.92, pivots: int = 64,
             near &= np.arange(len(base)) <= home[:, None]
             cells = [np.flatnonzero(row).tolist() for row in near]
             yield pd.DataFrame(
-                {"vec_id": pdf["vec_id"], "unit": list(unit), "home": home.astype(np.int32), "cells": cells}
+                {"vec_id": pdf["vec_id"], "given": pdf["embedding"], "home": home.astype(np.int32), "cells": cells}
             )
 
+    kind = vectors.schema["embedding"].dataType.simpleString()
     placed = cut(
         vectors.select("vec_id", "embedding").mapInPandas(
-            place, "vec_id bigint, unit array<double>, home int, cells array<int>"
+            place, f"vec_id bigint, given {kind}, home int, cells array<int>"
         )
     )
     sizes = placed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).select(
@@ -88,10 +91,10 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.92, pivots: int = 64,
     members = (
         placed.withColumnRenamed("home", "cell")
         .join(sizes, "cell")
-        .select("cell", block.alias("block"), F.col("vec_id").alias("host_id"), F.col("unit").alias("host"))
+        .select("cell", block.alias("block"), F.col("vec_id").alias("host_id"), F.col("given").alias("host"))
     )
     # Visitors of a cell go to each of its blocks, in bounded groups of their own.
-    visits = placed.select("vec_id", "unit", "home", F.explode("cells").alias("cell"))
+    visits = placed.select("vec_id", "given", "home", F.explode("cells").alias("cell"))
     groups = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("v")).select(
         "cell", F.ceil(F.col("v") / block_rows).cast("int").alias("groups")
     )
@@ -101,7 +104,7 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.92, pivots: int = 64,
         F.pmod(F.xxhash64("vec_id"), F.col("groups").cast("long")).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         "vec_id",
-        "unit",
+        "given",
         (F.col("home") == F.col("cell")).alias("own"),
     )
     hosts = members.join(groups, "cell").select(
@@ -112,13 +115,18 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.92, pivots: int = 64,
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": [], "similarity": []}).astype({"a": "int64", "b": "int64"})
-        sims = np.stack(left["unit"].to_numpy()) @ np.stack(right["host"].to_numpy()).T
-        i, j = np.nonzero(sims >= low)
-        x, y = left["vec_id"].to_numpy()[i], right["host_id"].to_numpy()[j]
-        # Inside one cell both orders meet; between cells a pair meets once.
-        good = np.where(left["own"].to_numpy()[i], x < y, x != y)
-        x, y, s = x[good], y[good], sims[i, j][good]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": np.minimum(s, 1.0)})
+        theirs = _unit(right["host"]).T
+        found = []
+        for first in range(0, len(left), PRODUCT_ROWS):
+            some = left.iloc[first : first + PRODUCT_ROWS]
+            sims = _unit(some["given"]) @ theirs
+            i, j = np.nonzero(sims >= low)
+            x, y = some["vec_id"].to_numpy()[i], right["host_id"].to_numpy()[j]
+            # Inside one cell both orders meet; between cells a pair meets once.
+            good = np.where(some["own"].to_numpy()[i], x < y, x != y)
+            x, y, s = x[good], y[good], sims[i, j][good]
+            found.append(pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": np.minimum(s, 1.0)}))
+        return pd.concat(found)
 
     keys = ["cell", "part", "block"]
     return visitors.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(
@@ -182,6 +190,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def duplicate_groups(edges: DataFrame) -> DataFrame:
     """Per cluster its size, largest similarity and redundant images (size - 1)."""
+    edges = cut(edges)  # read twice: the pairs are not compared again
     labels = cut(components(edges))
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     strength = (

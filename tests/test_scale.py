@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from annoframe.operators import similarity
 from annoframe.operators.names import place_images
 from annoframe.operators.similarity import components, similar_pairs
 from annoframe.operators.splits import assign_splits
@@ -98,6 +99,18 @@ def test_components_and_pairs_equal_brute_force(spark):
     assert {(r.id, r.label) for r in components(edges).collect()} == {(i, label[i]) for i in linked}
 
 
+def test_pairs_of_a_cluster_are_compared_once_and_in_slices(spark, monkeypatch):
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(60)], "vec_id long, embedding array<float>")
+    want = sorted((r.a, r.b) for r in similar_pairs(df, 0.9).collect())
+    monkeypatch.setattr(similarity, "PRODUCT_ROWS", 7)
+    pairs = similar_pairs(df, 0.9, 5, 32)
+    assert want and sorted((r.a, r.b) for r in pairs.collect()) == want
+    groups = similarity.duplicate_groups(pairs)
+    assert "CoGroup" not in groups._jdf.queryExecution().optimizedPlan().toString()
+    assert groups.agg(F.sum("size")).first()[0] == len({i for p in want for i in p})
+
+
 def test_place_images_modes(spark):
     moving = spark.createDataFrame([(1, "a.png", 1), (2, "a.png", 2), (3, "b.png", 3), (4, "a-2.png", 4)], "image_id long, filename string, pos long")
     target = spark.createDataFrame([("a.png",), ("a-1.png",)], "filename string")
