@@ -35,11 +35,8 @@ FIELDS = (
 )
 
 
-def from_canonical(rows: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:
-    """``(valid annotation rows, rejected rows with reason)``; unknown fields are errors.
-
-    Other columns of ``rows`` are carried. An attribute list (the old form) reads as no attributes.
-    """
+def judged_canonical(rows: DataFrame, column: str = "json") -> DataFrame:
+    """``rows`` with the parsed object ``a`` and the ``reason`` to reject it, null for a valid one, in one pass."""
     text = F.col(column)
     old_list = F.startswith(F.ltrim(F.get_json_object(text, "$.attributes")), F.lit("["))
     a = F.from_json(F.when(old_list, F.regexp_replace(text, r'"attributes"\s*:\s*\[[^\]]*\]', '"attributes":{}')).otherwise(text), CANONICAL)
@@ -66,7 +63,15 @@ def from_canonical(rows: DataFrame, column: str = "json") -> tuple[DataFrame, Da
         .when((kind == "keypoint") & v["bounding_box"].isNotNull(), F.lit("a keypoint has no box"))
         .when(v["instance_id"] < 1, F.lit("instance id under 1"))
     )
-    judged = read.withColumn("reason", reason)
+    return read.withColumn("reason", reason)
+
+
+def from_canonical(rows: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:
+    """``(valid annotation rows, rejected rows with reason)``; unknown fields are errors.
+
+    Other columns of ``rows`` are carried. An attribute list (the old form) reads as no attributes.
+    """
+    judged = judged_canonical(rows, column)
     carried = [c for c in rows.columns if c != column]
     good = judged.where("reason is null").select(
         *carried,

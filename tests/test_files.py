@@ -143,3 +143,12 @@ def test_clip_ring_against_a_plain_clip(spark):
         want = clip(ring, 40, 30)
         assert len(want) == len(row.c)
         assert all(abs(p.x - q[0]) < 1e-9 and abs(p.y - q[1]) < 1e-9 for p, q in zip(row.c, want))
+
+
+def test_canonical_objects_are_read_once(spark):
+    import annoframe.plans  # noqa: F401
+    from annoframe.plans.registry import PLANS
+    from annoframe.plans.tables import Tables
+
+    df = PLANS["S11_canonical_round_trip"](Tables(spark, "/root/testdata/sf0.001"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
