@@ -72,7 +72,7 @@ def detection_targets(annotations: DataFrame, classes: DataFrame) -> DataFrame:
     points = F.when(F.col("type") == "polygon", F.flatten("rings")).when(F.col("type") == "polyline", F.col("path")).otherwise(
         F.array("point")
     )
-    rows = annotations.join(classes.select("idx", "name"), "name").withColumn("_p", points)
+    rows = annotations.join(F.broadcast(classes.select("idx", "name")), "name").withColumn("_p", points)
     b, p = F.col("bbox"), F.col("_p")
     x1 = F.coalesce(b["x"], F.array_min(p["x"]))
     y1 = F.coalesce(b["y"], F.array_min(p["y"]))

@@ -55,7 +55,7 @@ def from_yolo(lines: DataFrame, classes: DataFrame) -> DataFrame:
         .withColumn("idx", F.when(t[0].rlike(r"^[+-]?[0-9]+$"), t[0].try_cast("int")))
         .withColumn("_v", F.transform(F.slice("_t", 2, F.size("_t") - 1), lambda s: s.try_cast("double")))
         .where(F.col("idx").isNotNull() & F.forall("_v", lambda v: v.isNotNull()))
-        .join(classes.select("idx", "name"), "idx")
+        .join(F.broadcast(classes.select("idx", "name")), "idx")
     )
     v, w, h = F.col("_v"), F.col("width").cast("double"), F.col("height").cast("double")
     pw, ph = v[2] * w, v[3] * h
