@@ -6,7 +6,7 @@ A keypoint row is ``image_id, ann_id, pos, joint, px, py, instance_id, attribute
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoframe.functions.geometry import box
@@ -49,13 +49,25 @@ def template_slots(templates: DataFrame) -> DataFrame:
 
 
 def match_templates(keypoints: DataFrame, templates: DataFrame) -> DataFrame:
-    """The class covering most joint names of each object; the earlier class on a tie."""
-    names = with_objects(keypoints).select(*OBJECT, "joint").distinct()
+    """The class covering most joint names of each object; the earlier class on a tie.
+
+    The templates become one row beside every point: a join on the joint would deal all points to a task per name. Only
+    names of a template are collected, so a set never exceeds the list.
+    """
     slots = template_slots(templates).select("class", "class_place", "joint").distinct()
-    hits = names.join(slots, "joint").groupBy(*OBJECT, "class").agg(
-        F.count(F.lit(1)).alias("hits"), F.first("class_place").alias("p")
+    by_class = slots.groupBy("class").agg(F.min("class_place").alias("p"), F.collect_list("joint").alias("joints"))
+    listed = by_class.agg(
+        F.collect_list(F.struct("class", "p", "joints")).alias("_t"), F.array_distinct(F.flatten(F.collect_list("joints"))).alias("_known")
     )
-    return hits.groupBy(*OBJECT).agg(F.max_by("class", F.struct("hits", -F.col("p"))).alias("class"))
+    named = with_objects(keypoints).select(*OBJECT, "joint").join(F.broadcast(listed.select("_known")))
+    seen = named.where(F.array_contains("_known", F.col("joint"))).groupBy(*OBJECT).agg(F.collect_set("joint").alias("_seen"))
+
+    def covered(t: Column) -> Column:
+        hits = F.size(F.filter(t["joints"], lambda j: F.array_contains("_seen", j)))
+        return F.struct(hits.alias("hits"), (-t["p"]).alias("p"), t["class"].alias("class"))
+
+    best = F.array_max(F.transform("_t", covered))
+    return seen.join(F.broadcast(listed.select("_t"))).select(*OBJECT, best["class"].alias("class"))
 
 
 def slotted(keypoints: DataFrame, templates: DataFrame) -> DataFrame:
@@ -68,7 +80,7 @@ def slotted(keypoints: DataFrame, templates: DataFrame) -> DataFrame:
     first = Window.partitionBy(*OBJECT, "joint").orderBy("pos")
     return (
         points.withColumn("_n", F.row_number().over(first))
-        .join(slots, ["class", "joint"], "left")
+        .join(F.broadcast(slots), ["class", "joint"], "left")
         .withColumn("slot", F.when(F.col("_n") == 1, F.col("slot")))
         .drop("_n")
     )
@@ -80,7 +92,7 @@ def limbs(keypoints: DataFrame, templates: DataFrame) -> DataFrame:
     edges = templates.select("class", F.inline("edges"))
     start = placed.select(*OBJECT, "class", F.col("slot").alias("i"), F.col("px").alias("x1"), F.col("py").alias("y1"))
     end = placed.select(*OBJECT, "class", F.col("slot").alias("j"), F.col("px").alias("x2"), F.col("py").alias("y2"))
-    return start.join(edges, ["class", "i"]).join(end, [*OBJECT, "class", "j"]).select(
+    return start.join(F.broadcast(edges), ["class", "i"]).join(end, [*OBJECT, "class", "j"]).select(
         *OBJECT, "class", "i", "j", "x1", "y1", "x2", "y2"
     )
 
@@ -94,7 +106,7 @@ def pose_entries(keypoints: DataFrame, templates: DataFrame) -> DataFrame:
     entry = F.struct("slot", F.struct(F.col("px").alias("x"), F.col("py").alias("y"), visibility(F.col("attributes")).alias("v")))
     held = won.groupBy(*OBJECT, "class").agg(F.map_from_entries(F.collect_list(entry)).alias("slots"))
     sizes = templates.select("class", F.size("joints").alias("size"))
-    return held.join(sizes, "class").select(
+    return held.join(F.broadcast(sizes), "class").select(
         *OBJECT, "class", coco_triplets(F.col("slots"), F.col("size")).alias("keypoints")
     )
 
