@@ -61,7 +61,7 @@ def _poses(annotations: DataFrame, images: DataFrame, templates: DataFrame) -> D
         F.min_by("attributes", "pos").alias("attributes"),
     )
     sizes = templates.select("class", F.size("joints").alias("size"))
-    objects = held.join(sizes, "class").select(
+    objects = held.join(F.broadcast(sizes), "class").select(
         "image_id", "place", F.lit(0).cast("bigint").alias("sub"), F.col("class").alias("category"),
         coco_triplets(F.col("slots"), F.col("size")).alias("keypoints"), "x0", "x1", "y0", "y1", "attributes",
     )
@@ -114,7 +114,7 @@ def to_coco(annotations: DataFrame, images: DataFrame, templates: DataFrame | No
     )
     files = global_rank(images.select("image_id", "filename", "width", "height"), [F.col("image_id")], "id")
     ranked = global_rank(entries, [F.col(c) for c in ("image_id", "part", "place", "sub")], "id")
-    out = ranked.join(files.select("image_id", F.col("id").alias("coco_image")), "image_id").join(numbered, "category").select(
+    out = ranked.join(files.select("image_id", F.col("id").alias("coco_image")), "image_id").join(F.broadcast(numbered), "category").select(
         "id", F.col("coco_image").alias("image_id"), "category_id", F.lit(0).alias("iscrowd"), "bbox", "area", "segmentation",
         "keypoints", "num_keypoints", F.when(F.size("attributes") > 0, F.col("attributes")).alias("attributes"),
     )

@@ -24,7 +24,7 @@ def six_digits(values: pd.Series) -> pd.Series:
 
 def _numbered(annotations: DataFrame, classes: DataFrame) -> DataFrame:
     """Boxes and polygons with their class number; a class not in the list is an error."""
-    rows = annotations.where(F.col("type").isin("bbox", "polygon")).join(classes.select("idx", "name"), "name", "left")
+    rows = annotations.where(F.col("type").isin("bbox", "polygon")).join(F.broadcast(classes.select("idx", "name")), "name", "left")
     missing = F.raise_error(F.concat(F.lit("class not in the class list: "), F.col("name")))
     return rows.withColumn("idx", F.when(F.col("idx").isNull(), missing).otherwise(F.col("idx")))
 
@@ -71,7 +71,7 @@ def to_yolo_pose(entries: DataFrame, classes: DataFrame, images: DataFrame) -> D
 
     ``entries`` carries ``image_id, pos, name, bbox, keypoints``.
     """
-    rows = entries.join(classes.select("idx", "name"), "name").join(images.select("image_id", "width", "height"), "image_id")
+    rows = entries.join(F.broadcast(classes.select("idx", "name")), "name").join(images.select("image_id", "width", "height"), "image_id")
     w, h, b = F.col("width").cast("double"), F.col("height").cast("double"), F.col("bbox")
     boxed = F.array((b["x"] + b["w"] / 2) / w, (b["y"] + b["h"] / 2) / h, b["w"] / w, b["h"] / h)
     joints = F.transform("keypoints", lambda v, i: v / F.when(i % 3 == 0, w).when(i % 3 == 1, h).otherwise(F.lit(1.0)))
