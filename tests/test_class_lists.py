@@ -15,8 +15,13 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", ["S26_detection_targets", "J11_slotted_joints", "S22_yolo_pose_lines", "J12_limbs", "S19_yolo_lines"])
 def test_no_task_gets_all_rows_of_a_name(spark, name):
-    df = entry.queries()[name](spark, SF)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Small test tables would be broadcast themselves; larger ones are not.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joins = re.findall(r"SortMergeJoin \[([^\]]*)\]", plan)
     assert [j for j in joins if re.match(r"(name|class|joint|idx)#", j)] == []
     assert compare(df, connect(SF), entry.oracle_sql()[name]) is None
