@@ -7,6 +7,7 @@ rows the watermark has not passed are kept beside it.
 
 from __future__ import annotations
 
+import heapq
 import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -22,8 +23,10 @@ from annoframe.streaming.logs import LOST_S, STALLED_S
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 NEVER = None
-#: Length of the stretches of time in which waiting rows are kept together.
-BUCKET_MS = 60_000
+#: Rows of a key that wait beside its memory, and the most in one entry of the map that holds more.
+FEW, RUN = 32, 256
+#: Outputs that are given at a time.
+OUTPUTS = 10_000
 #: Key of the record that closes a stream: the least 32-bit number, which is a value of every key type (as text for strings).
 CLOSED = -(1 << 31)
 
@@ -178,75 +181,108 @@ class StreamState:
 class InOrder(StatefulProcessor):
     """Holds a key's rows until the watermark has passed them, then applies a rule in time order.
 
-    Rows wait in a map keyed by stretches of ``BUCKET_MS`` of their own time, and timers stand at the earliest row. Only
-    the stretches that the watermark has reached are read, and only one it stands in is written back, so the work on a
-    key is linear in its rows however many of them wait.
+    A call to the state store costs far more than a row, so few waiting rows stay beside the key's memory; more of them
+    go, sorted by time, into runs in a map. Only the runs that the watermark has reached are read, and only one it stands
+    in is written back, so the work on a key is linear in its rows however many of them wait.
     """
 
     def __init__(self, rule, keys: Sequence[str], fields: Sequence[str], order: str) -> None:
-        self.rule, self.keys, self.fields, self.order = rule, list(keys), list(fields), order
+        self.rule, self.keys, self.fields = rule, list(keys), list(fields)
+        self.us, self.order = self.fields.index("us"), self.fields.index(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "bucket bigint", "rows string")
-        self.memory = handle.getValueState("memory", "m string, buckets string")
+        self.pending = handle.getMapState("pending", "run bigint", "rows string")
+        self.memory = handle.getValueState("memory", "m string, few string, runs string")
 
     def _frame(self, key, outputs: list[tuple]) -> pd.DataFrame:
         names = [part.split()[0] for part in self.rule.output.split(", ")]
         return pd.DataFrame([(*key, *o) for o in outputs], columns=[*self.keys, *names])
 
-    def _recall(self) -> tuple[dict, dict[int, int]]:
-        """What the rule remembers, and the waiting stretches with the earliest time (ms) in each."""
-        if not self.memory.exists():
-            return {}, {}
+    def _recall(self) -> tuple[dict, list[list], dict[int, int]]:
+        """What the rule remembers, the few rows beside it, and the waiting runs with the earliest time (ms) in each."""
         kept = self.memory.get()
-        return json.loads(kept[0]), {int(b): first for b, first in json.loads(kept[1]).items()}
-
-    def _remember(self, memory: dict, buckets: dict[int, int]) -> None:
-        self.memory.update((json.dumps(memory), json.dumps(buckets)))
-
-    def _held(self, bucket: int) -> list[list]:
-        return json.loads(self.pending.getValue((bucket,))[0]) if self.pending.containsKey((bucket,)) else []
+        if kept is None:
+            return {}, [], {}
+        return json.loads(kept[0]), json.loads(kept[1]), {int(n): first for n, first in json.loads(kept[2]).items()}
+
+    def _remember(self, memory: dict, few: list[list], runs: dict[int, int]) -> None:
+        self.memory.update((json.dumps(memory), json.dumps(few), json.dumps(runs)))
+
+    def _place(self, row: list) -> tuple:
+        return row[self.us], row[self.order]
+
+    def _first(self, few: list[list], runs: dict[int, int]) -> int | None:
+        """The earliest time (ms) of a waiting row."""
+        return min([row[self.us] // 1000 for row in few] + list(runs.values()), default=None)
+
+    def _hold(self, run: int, rows: list[list], runs: dict[int, int]) -> None:
+        self.pending.updateValue((run,), (json.dumps(rows),))
+        runs[run] = min(row[self.us] for row in rows) // 1000
+
+    def _due(self, few: list[list], runs: dict[int, int], mark: int) -> Iterator[list]:
+        """The rows the watermark has passed, in order, taken out of what waits. Runs are opened when their time comes."""
+        heap: list[tuple] = []
+        count = 0
+
+        def add(rows: list[list]) -> list[list]:
+            nonlocal count
+            for row in rows:
+                if row[self.us] // 1000 < mark:
+                    heapq.heappush(heap, (*self._place(row), count, row))
+                    count += 1
+            return [row for row in rows if row[self.us] // 1000 >= mark]
+
+        few[:] = add(few)
+        for run in sorted((n for n, first in runs.items() if first < mark), key=lambda n: (runs[n], n)):
+            while heap and heap[0][0] // 1000 < runs[run]:
+                yield heapq.heappop(heap)[-1]
+            later = add(json.loads(self.pending.getValue((run,))[0]))
+            if later:
+                self._hold(run, later, runs)
+            else:
+                self.pending.removeKey((run,))
+                del runs[run]
+        while heap:
+            yield heapq.heappop(heap)[-1]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh: dict[int, list[list]] = {}
-        at = self.fields.index("us")
-        for pdf in rows:
-            for row in pdf[self.fields].astype(object).values.tolist():
-                fresh.setdefault(int(row[at]) // 1000 // BUCKET_MS, []).append(row)
+        fresh = [row for pdf in rows for row in map(list, zip(*[pdf[f].tolist() for f in self.fields]))]
         if fresh:
-            memory, buckets = self._recall()
-            for bucket, more in fresh.items():
-                first = min(int(r[at]) for r in more) // 1000
-                self.pending.updateValue((bucket,), (json.dumps(self._held(bucket) + more if bucket in buckets else more),))
-                buckets[bucket] = min(first, buckets.get(bucket, first))
-            self._remember(memory, buckets)
-            self.handle.registerTimer(min(buckets.values()) + 1)
-        yield self._frame(key, [])
+            for row in fresh:
+                row[self.us] = int(row[self.us])
+            memory, few, runs = self._recall()
+            few += fresh
+            if len(few) > FEW:
+                few.sort(key=self._place)
+                last = max(runs, default=-1)
+                for n, at in enumerate(range(0, len(few), RUN), 1):
+                    self._hold(last + n, few[at : at + RUN], runs)
+                few = []
+            self._remember(memory, few, runs)
+            self.handle.registerTimer(self._first(few, runs) + 1)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        memory, buckets = self._recall()
+        memory, few, runs = self._recall()
         outputs: list[tuple] = []
-        for bucket in sorted(b for b in buckets if b * BUCKET_MS < mark):
-            rows = [dict(zip(self.fields, r)) for r in self._held(bucket)]
-            for row in sorted((r for r in rows if r["us"] // 1000 < mark), key=lambda r: (r["us"], r[self.order])):
-                outputs += self.rule.quiet(memory, row["us"])[0]
-                outputs += self.rule.row(memory, row)
-            later = [[r[f] for f in self.fields] for r in rows if r["us"] // 1000 >= mark]
-            if later:
-                self.pending.updateValue((bucket,), (json.dumps(later),))
-                buckets[bucket] = min(r[self.fields.index("us")] for r in later) // 1000
-            else:
-                self.pending.removeKey((bucket,))
-                del buckets[bucket]
+        for values in self._due(few, runs, mark):
+            row = dict(zip(self.fields, values))
+            outputs += self.rule.quiet(memory, row["us"])[0]
+            outputs += self.rule.row(memory, row)
+            if len(outputs) >= OUTPUTS:
+                yield self._frame(key, outputs)
+                outputs = []
         told, look = self.rule.quiet(memory, mark * 1000)
         outputs += told
-        self._remember(memory, buckets)
-        waits = [first + 1 for first in buckets.values()] + ([] if look is None else [look // 1000])
+        self._remember(memory, few, runs)
+        first = self._first(few, runs)
+        waits = ([] if first is None else [first + 1]) + ([] if look is None else [look // 1000])
         if waits:
             self.handle.registerTimer(max(min(waits), mark + 1))
-        yield self._frame(key, outputs)
+        if outputs:
+            yield self._frame(key, outputs)
 
     def close(self) -> None:
         pass

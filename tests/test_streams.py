@@ -120,3 +120,32 @@ def test_a_hot_key_reads_each_waiting_row_about_once():
     out += list(processor.handleExpiredTimer((1,), Mark(last), None))
     assert [i for pdf in out for i in pdf["identity"].tolist()] == list(range(0, 10_000, 20))
     assert not handle.map
+
+
+class CountedHandle(FakeHandle):
+    """Also counts the calls to the state store."""
+
+    def __init__(self):
+        super().__init__()
+        self.calls = 0
+
+    def __getattribute__(self, name):
+        if name in ("containsKey", "getValue", "updateValue", "removeKey", "registerTimer"):
+            self.calls += 1
+        return super().__getattribute__(name)
+
+
+@pytest.mark.parametrize("rows", [20, 5_000])
+def test_rows_of_far_apart_minutes_take_few_state_calls(rows):
+    """Rows an hour apart: an entry for each minute would be several calls for each row."""
+    handle = CountedHandle()
+    processor = state.InOrder(state.Throttle(60), ["session"], ["identity", "us"], "identity")
+    processor.init(handle)
+    order = list(range(rows))
+    random.Random(rows).shuffle(order)
+    for half in (order[::2], order[1::2]):
+        pdf = pd.DataFrame({"identity": half, "us": [i * 3_600_000_000 for i in half]})
+        list(processor.handleInputRows((1,), iter([pdf]), None))
+    out = list(processor.handleExpiredTimer((1,), Mark(rows * 3_600_000), None))
+    assert [i for pdf in out for i in pdf["identity"].tolist()] == list(range(rows))
+    assert handle.calls <= 4 + rows / 50 and not handle.map
