@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a method of over 8,000 bytes; Spark's own limit lets it run such ones interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
