@@ -64,8 +64,11 @@ def ring_area(ring: Column) -> Column:
     """Shoelace area of a ring, 0 for fewer than three points."""
 
     def area(r: Column) -> Column:
-        terms = F.zip_with(r, _next_points(r), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
-        total = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+        def term(a: Column, i: Column) -> Column:
+            b = F.get(r, F.when(i + 1 < F.size(r), i + 1).otherwise(F.lit(0)))
+            return a["x"] * b["y"] - b["x"] * a["y"]
+
+        total = F.aggregate(F.transform(r, term), F.lit(0.0), lambda acc, v: acc + v)
         return F.when(F.size(r) < 3, F.lit(0.0)).otherwise(F.abs(total) / 2)
 
     return let(ring, area)
@@ -146,13 +149,20 @@ def normalize_angle(degrees: Column) -> Column:
 def rotated_corners(obb: Column) -> Column:
     """Top-left, top-right, bottom-right, bottom-left in the box's own frame."""
     rad = F.radians(obb["angle"])
-    cos, sin = F.cos(rad), F.sin(rad)
-    hw, hh = obb["w"] / 2, obb["h"] / 2
+    turn = F.struct(
+        obb["cx"].alias("cx"), obb["cy"].alias("cy"), F.cos(rad).alias("cos"), F.sin(rad).alias("sin"),
+        (obb["w"] / 2).alias("hw"), (obb["h"] / 2).alias("hh"),
+    )
+
+    def corners(t: Column) -> Column:
+        cos, sin, hw, hh = t["cos"], t["sin"], t["hw"], t["hh"]
+
+        def corner(lx: Column, ly: Column) -> Column:
+            return point(t["cx"] + lx * cos - ly * sin, t["cy"] + lx * sin + ly * cos)
 
-    def corner(lx: Column, ly: Column) -> Column:
-        return point(obb["cx"] + lx * cos - ly * sin, obb["cy"] + lx * sin + ly * cos)
+        return F.array(corner(-hw, -hh), corner(hw, -hh), corner(hw, hh), corner(-hw, hh))
 
-    return F.array(corner(-hw, -hh), corner(hw, -hh), corner(hw, hh), corner(-hw, hh))
+    return let(turn, corners)
 
 
 def rotated_from_corners(corners: Column) -> Column:
@@ -249,15 +259,35 @@ def _clip_half(ring: Column, axis: str, bound: Column, keep_above: bool) -> Colu
 
 
 def clip_ring(ring: Column, width: Column, height: Column) -> Column:
-    """Sutherland-Hodgman clip of a ring to the frame, one pass per side."""
+    """Sutherland-Hodgman clip of a ring to the frame, one pass per side. A ring inside the frame stays as it is."""
     zero = F.lit(0.0)
-    for axis, bound, above in (("x", zero, True), ("x", width, False), ("y", zero, True), ("y", height, False)):
-        ring = _clip_half(ring, axis, bound, above)
-    return ring
+
+    def clip(whole: Column) -> Column:
+        part = whole
+        for axis, bound, above in (("x", zero, True), ("x", width, False), ("y", zero, True), ("y", height, False)):
+            part = _clip_half(part, axis, bound, above)
+        return F.when(_within(whole, width, height), whole).otherwise(part)
+
+    return let(ring, clip)
+
+
+def _within(ring: Column, width: Column, height: Column) -> Column:
+    """True where every point of a ring lies in the frame, so that a clip leaves it whole."""
+    zero = F.lit(0.0)
+    inside = lambda p: (p["x"] >= zero) & (p["x"] <= width) & (p["y"] >= zero) & (p["y"] <= height)
+    return F.coalesce(F.forall(ring, inside), F.lit(False))
 
 
 def _visible_enough(part: Column, whole: Column, floor) -> Column:
-    return ~F.coalesce((whole > 0) & (part / F.nullif(whole, F.lit(0.0)) < floor), F.lit(False))
+    # Bound, as the whole is an area worked out from a ring and is used three times.
+    seen = lambda a: (a > 0) & (part / F.nullif(a, F.lit(0.0)) < floor)
+    return ~F.coalesce(let(whole, seen), F.lit(False))
+
+
+def _ring_visible(whole: Column, part: Column, width: Column, height: Column, floor) -> Column:
+    """The floor on the share of a ring that is left. A ring inside the frame keeps all, so nothing is measured."""
+    enough = _visible_enough(ring_area(part), ring_area(whole), floor)
+    return (_within(whole, width, height) | enough) if floor <= 1 else enough
 
 
 def _box_area(b: Column) -> Column:
@@ -267,10 +297,13 @@ def _box_area(b: Column) -> Column:
 def _moved_box(b: Column, fn: PointMap) -> Column:
     """The enclosure of a box's four mapped corners, by plain arithmetic."""
 
-    def ends(v: Column) -> Column:
+    def corners(v: Column) -> Column:
         left, top, right, bottom = v["x"], v["y"], v["x"] + v["w"], v["y"] + v["h"]
-        corners = [fn(x, y) for x, y in ((left, top), (right, top), (right, bottom), (left, bottom))]
-        xs, ys = [c[0] for c in corners], [c[1] for c in corners]
+        moved = [fn(x, y) for x, y in ((left, top), (right, top), (right, bottom), (left, bottom))]
+        return F.struct(*[c.alias(f"{axis}{i}") for i, p in enumerate(moved) for axis, c in zip("xy", p)])
+
+    def ends(m: Column) -> Column:
+        xs, ys = [m[f"x{i}"] for i in range(4)], [m[f"y{i}"] for i in range(4)]
         return F.struct(
             F.least(*xs).alias("x0"), F.greatest(*xs).alias("x1"), F.least(*ys).alias("y0"), F.greatest(*ys).alias("y1")
         )
@@ -279,7 +312,7 @@ def _moved_box(b: Column, fn: PointMap) -> Column:
         w, h = e["x1"] - e["x0"], e["y1"] - e["y0"]
         return F.when((w > 0) & (h > 0), box(e["x0"], e["y0"], w, h))
 
-    return let(let(b, ends), sized)
+    return let(let(let(b, corners), ends), sized)
 
 
 def remap_box(b: Column, fn: PointMap, width: Column, height: Column, clip: bool, min_visibility=0.1) -> Column:
@@ -306,8 +339,7 @@ def remap_rotated(obb: Column, fn: PointMap, width: Column, height: Column, clip
         )
         if not clip:
             return out
-        visible = ring_area(clip_ring(moved, width, height))
-        return F.when(_visible_enough(visible, ring_area(moved), min_visibility), out)
+        return F.when(_ring_visible(moved, clip_ring(moved, width, height), width, height, min_visibility), out)
 
     return let(map_ring(let(obb, rotated_corners), fn), refit)
 
@@ -319,8 +351,7 @@ def remap_rings(rings: Column, fn: PointMap, width: Column, height: Column, clip
         first = F.get(cut, F.lit(0))
         alive = F.coalesce(F.size(first) >= 3, F.lit(False))
         if clip:
-            whole = ring_area(F.get(moved, F.lit(0)))
-            alive = alive & _visible_enough(ring_area(first), whole, min_visibility)
+            alive = alive & _ring_visible(F.get(moved, F.lit(0)), first, width, height, min_visibility)
         kept = F.filter(cut, lambda r: F.size(r) >= 3)
         return F.when(alive, F.struct(kept.alias("rings"), enclosing_box(first).alias("bbox")))
 

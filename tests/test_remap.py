@@ -36,3 +36,21 @@ def test_plain_boxes_are_remapped_by_columns_alone(spark, clip):
 def test_generated_methods_stay_below_what_the_jvm_compiles(spark):
     assert int(SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
     assert prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == SETTINGS["spark.sql.codegen.hugeMethodLimit"]
+
+
+def test_no_draw_is_made_for_what_is_certain(spark):
+    images = spark.range(3).select(F.col("id").alias("image_id"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    certain = transforms.plan_variants(images, transforms.build_ops([{"op": "vflip", "p": 1.0}, {"op": "rotate90", "k": 1}]), 2, 1)
+    assert "md5" not in certain._jdf.queryExecution().optimizedPlan().toString()
+    steps = certain.select("_step0.on", "_step0.amount", "_step1.a", "_step1.b", "width", "height").distinct().collect()
+    assert [tuple(r) for r in steps] == [(True, 0.0, 0.0, 1.0, 480, 640)]
+
+
+def test_rings_at_and_over_the_border_keep_their_share(spark):
+    """On the border a ring is whole, even at a floor of all of it; a step outside it is measured."""
+    ring = lambda x: F.array(*[g.point(F.lit(a + x), F.lit(b)) for a, b in ((0.0, 0.0), (40.0, 0.0), (40.0, 30.0), (0.0, 30.0))])
+    same, size = g.affine(1, 0, 0, 0, 1, 0), (F.lit(40.0), F.lit(30.0))
+    row = spark.range(1).select(
+        *[g.remap_rings(F.array(ring(x)), same, *size, True, floor)["bbox"]["w"] for x in (0.0, 10.0) for floor in (1.0, 0.75, 0.7)]
+    ).first()
+    assert list(row) == [40.0, 40.0, 40.0, None, 30.0, 30.0]
