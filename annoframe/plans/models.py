@@ -119,12 +119,15 @@ def neighbours_by_signatures(t: Tables) -> DataFrame:
     return rounded(similarity.neighbours(signatures.near_pairs(frames(t), FRAMES_NEAR, FRAMES_RECALL), 1), "similarity", digits=6)
 
 
-DUPLICATES = """edges AS MATERIALIZED (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(similarity) AS similarity FROM ranked
-    WHERE rank <= 1 AND least(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)
-    OR rank <= 1 AND greatest(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600) GROUP BY 1, 2),
-  reach AS (SELECT a AS id, a AS other FROM edges UNION SELECT b, b FROM edges
+REACHED = """reach AS (SELECT a AS id, a AS other FROM edges UNION SELECT b, b FROM edges
     UNION SELECT r.id, CASE WHEN p.a = r.other THEN p.b ELSE p.a END FROM reach r JOIN edges p ON p.a = r.other OR p.b = r.other),
   comp AS (SELECT id, min(other) AS label FROM reach GROUP BY 1)"""
+CLUSTERS = f"""edges AS MATERIALIZED (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(similarity) AS similarity FROM ranked
+    WHERE rank <= 1 GROUP BY 1, 2), {REACHED}"""
+DUPLICATES = f"""edges AS MATERIALIZED (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(similarity) AS similarity FROM ranked
+    WHERE rank <= 1 AND least(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)
+    OR rank <= 1 AND greatest(src, dst) IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600) GROUP BY 1, 2),
+  {REACHED}"""
 SOURCED = RANKED.replace("FROM pairs UNION ALL SELECT b, a, similarity FROM pairs", "FROM sourced UNION ALL SELECT b, a, similarity FROM sourced")
 SOURCED = """sourced AS (SELECT p.* FROM pairs p WHERE p.a IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)
     OR p.b IN (SELECT vec_id FROM frames ORDER BY vec_id LIMIT 600)), """ + SOURCED
@@ -138,15 +141,15 @@ SOURCED = """sourced AS (SELECT p.* FROM pairs p WHERE p.a IN (SELECT vec_id FRO
         USING (label)""",
         "vectors",
         recursive=True,
-        more=f"{FRAMES}, {SOURCED}, {DUPLICATES}",
+        more=f"{FRAMES}, {RANKED}, {CLUSTERS}",
     ),
 )
 def clusters_by_signatures(t: Tables) -> DataFrame:
-    _, groups, _ = signatures.duplicate_report(frames(t), FRAMES_NEAR, 1, SOURCES, recall=FRAMES_RECALL)
+    _, groups, _ = signatures.duplicate_report(frames(t), FRAMES_NEAR, 1, recall=FRAMES_RECALL)
     return rounded(groups, "max_similarity", digits=6)
 
 
-#: The caps are what this pair of queries is about.
+#: The caps are what this query is about.
 SOURCES, MOST_PAIRS = 600, 300
 
 

@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from annoframe.operators import signatures
+from annoframe.plans import models
+from annoframe.plans.tables import Tables
 
 
 def table(spark, rows):
@@ -92,3 +94,12 @@ def test_a_key_carries_a_short_sketch_and_a_pair_meets_once(spark):
     firsts, _ = signatures.distinct_vectors(table(spark, rows))
     met = signatures.candidates(firsts, signatures.Plan.of(100, 0.92, 1 - 1e-9))
     assert sorted((r.a, r.b) for r in met.collect()) == [(a, b) for a in range(100) for b in range(a + 1, 100) if (b - a) % 10 == 0]
+
+
+def test_clusters_cover_the_whole_table(spark, tmp_path):
+    # Only pairs of the first 600 frames were clustered before.
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.standard_normal(64).tolist(), 0) for i in range(300)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    report = models.clusters_by_signatures(Tables(spark, str(tmp_path)))
+    assert sorted(r.label // 3 for r in report.where("size > 1").collect()) == list(range(300))
