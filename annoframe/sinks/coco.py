@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from annoframe.functions.geometry import annotation_box, box, flatten_ring, rings_area
 from annoframe.functions.keypoints import MIN_SIDE, coco_triplets, floor_sides, labelled, other_attributes, trainable_box, visibility
 from annoframe.operators.poses import OBJECT, slotted
-from annoframe.scale import global_rank
-from annoframe.session import cut
+from annoframe.scale import global_rank, running_sums
+from annoframe.session import kept
 
 #: Bytes that are copied at a time into one document.
 BLOCK = 4 << 20
@@ -86,14 +86,15 @@ def _poses(annotations: DataFrame, images: DataFrame, templates: DataFrame) -> D
 def to_coco(annotations: DataFrame, images: DataFrame, templates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(images, annotations, categories)`` tables with 1-based ids.
 
-    Polylines have no COCO form. Ids are ranks over a full order, worked out chunk by chunk, so no
-    task sees the whole table. Only the class list, which is small, is numbered in one place.
+    Polylines have no COCO form. Ids are ranks over a full order: an entry's place in its image behind the entries of the
+    images before, so that rows are dealt once, by image, for the rank and for the image's number. Only the class list,
+    which is small, is numbered in one place.
     """
     spark = annotations.sparkSession
     if templates is None:
         templates = spark.createDataFrame([], "class string, place int, joints array<string>, edges array<struct<i:int,j:int>>")
     # Three tables and a rank read the entries, so they are worked out once.
-    entries = cut(_shapes(annotations).unionByName(_poses(annotations, images, templates)))
+    entries = kept(_shapes(annotations).unionByName(_poses(annotations, images, templates)))
     lone = entries.where("part = 1").select("category").distinct().join(
         templates.select(F.col("class").alias("category")), "category", "left_anti"
     ).withColumn("lone", F.lit(True))
@@ -113,25 +114,27 @@ def to_coco(annotations: DataFrame, images: DataFrame, templates: DataFrame | No
         )
     )
     files = global_rank(images.select("image_id", "filename", "width", "height"), [F.col("image_id")], "id")
-    ranked = global_rank(entries, [F.col(c) for c in ("image_id", "part", "place", "sub")], "id")
+    counts = entries.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
+    starts = running_sums(counts, [], [F.col("image_id")], {"upto": F.col("n")}).select("image_id", (F.col("upto") - F.col("n")).alias("before"))
+    ranked = global_rank(entries, [F.col(c) for c in ("part", "place", "sub")], "nth", ["image_id"]).join(starts, "image_id")
     out = ranked.join(files.select("image_id", F.col("id").alias("coco_image")), "image_id").join(F.broadcast(numbered), "category").select(
-        "id", F.col("coco_image").alias("image_id"), "category_id", F.lit(0).alias("iscrowd"), "bbox", "area", "segmentation",
-        "keypoints", "num_keypoints", F.when(F.size("attributes") > 0, F.col("attributes")).alias("attributes"),
+        (F.col("before") + F.col("nth")).alias("id"), F.col("coco_image").alias("image_id"), "category_id", F.lit(0).alias("iscrowd"),
+        "bbox", "area", "segmentation", "keypoints", "num_keypoints", F.when(F.size("attributes") > 0, F.col("attributes")).alias("attributes"),
     )
     return files.select("id", F.col("filename").alias("file_name"), "width", "height"), out, categories
 
 
-def write_coco(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
+def write_coco(tables: tuple[DataFrame, DataFrame, DataFrame], path: str, compression: str = "none") -> None:
     """JSON-lines parts under ``images``, ``annotations`` and ``categories``; nothing is merged into one file."""
     for name, table in zip(("images", "annotations", "categories"), tables):
-        table.write.mode("overwrite").json(f"{path}/{name}")
+        table.write.mode("overwrite").json(f"{path}/{name}", compression=compression)
 
 
 def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
-    """One JSON document at ``path``, for tools that want one. The records are written in parts by all tasks; a single task
-    then streams the parts into the file, block by block, and renames it when it is whole."""
+    """One JSON document at ``path``, for tools that want one. The records are written in packed parts by all tasks; a single
+    task then streams the parts into the file, block by block, and renames it when it is whole."""
     parts = f"{path}.parts-{uuid.uuid4().hex}"
-    write_coco(tables, parts)
+    write_coco(tables, parts, "gzip")
     spark = tables[0].sparkSession
 
     def join(rows: Iterator) -> None:
@@ -144,7 +147,7 @@ def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: st
                     held = b""  # the line break behind what was written, a comma's place once more follows
                     files = system.get_file_info(fs.FileSelector(f"{home}/{name}"))
                     for file in sorted(f.path for f in files if f.base_name.startswith("part-")):
-                        with system.open_input_stream(file) as lines:
+                        with system.open_input_stream(file, compression="gzip") as lines:
                             while block := lines.read(BLOCK):
                                 block = held + block
                                 held = b"\n" if block.endswith(b"\n") else b""

@@ -10,6 +10,7 @@ from annoframe.functions.keypoints import any_placed, expand_triplets, rings_fro
 from annoframe.operators.poses import number_objects
 from annoframe.schemas import BOX, COCO, COCO_ANNOTATION, OBB, POINT, RING
 from annoframe.scale import global_rank
+from annoframe.session import kept
 
 
 def read_coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -57,7 +58,8 @@ def from_coco(images: DataFrame, categories: DataFrame, annotations: DataFrame)
     rest = rows.where(~F.coalesce(masked, F.lit(False)))
 
     joints = expand_triplets(F.col("keypoints"), F.col("joints"), F.col("name"), F.col("attributes"))
-    posed = rest.where("posed").withColumn("joint", joints)
+    # Sizes, ids and points read these, so the text is parsed once for them.
+    posed = kept(rest.where("posed").select("file_name", "pos", "id", "name", "confidence", "attributes", joints.alias("joint")))
     ids = number_objects(
         posed.where(F.size("joint") > 0).select("file_name", "pos", F.element_at("joint", 1)["lone"].alias("lone"))
     )
