@@ -5,12 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoframe.functions.geometry import annotation_box, box, flatten_ring, rings_area
 from annoframe.functions.keypoints import MIN_SIDE, coco_triplets, floor_sides, labelled, other_attributes, trainable_box, visibility
+from annoframe.members import MEMBER_BYTES, member
 from annoframe.operators.poses import OBJECT, slotted
 from annoframe.scale import global_rank, running_sums
 from annoframe.session import kept
@@ -130,6 +133,74 @@ def write_coco(tables: tuple[DataFrame, DataFrame, DataFrame], path: str, compre
         table.write.mode("overwrite").json(f"{path}/{name}", compression=compression)
 
 
+def _packer(name: str, parts: str, member_bytes: int):
+    """Records to the members of a file for each task that has some; gives the file's name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        file = f"{name}-{context.partitionId():08d}-{context.taskAttemptId()}"
+        system, home = fs.FileSystem.from_uri(parts)
+        out, held, size = None, [], 0
+
+        def flush() -> None:
+            nonlocal out, held, size
+            text = b",\n".join(held)
+            if out is None:
+                system.create_dir(home)
+                out = system.open_output_stream(f"{home}/{file}", compression=None)
+            else:
+                text = b",\n" + text
+            out.write(member(text))
+            held, size = [], 0
+
+        for batch in batches:
+            for record in batch.column(0).cast(pa.binary()).to_pylist():
+                held.append(record)
+                size += len(record)
+                if size >= member_bytes:
+                    flush()
+        if held:
+            flush()
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_pydict({"file": [file]})
+
+    return run
+
+
+def write_packed_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: str, member_bytes: int = MEMBER_BYTES) -> None:
+    """One JSON document at ``path``, which ends in ``.gz``, in gzip members that tell their sizes. All tasks pack their records;
+    a single task then puts the files of accepted attempts one behind the other."""
+    if not path.endswith(".gz"):
+        raise ValueError("a packed document's name ends in .gz")
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    spark, files = tables[0].sparkSession, {}
+    for name, table in zip(("images", "annotations", "categories"), tables):
+        records = table.select(F.to_json(F.struct(*table.columns)).alias("record"))
+        files[name] = sorted(r["file"] for r in records.mapInArrow(_packer(name, parts, member_bytes), "file string").collect())
+
+    def join(rows: Iterator) -> None:
+        for _ in rows:
+            system, home = fs.FileSystem.from_uri(parts)
+            target = fs.FileSystem.from_uri(path)[1]
+            system.create_dir(home)
+            with system.open_output_stream(f"{home}/document", compression=None) as out:
+                for i, name in enumerate(("images", "categories", "annotations")):
+                    out.write(member(f"{',' if i else '{'}\"{name}\":[".encode()))
+                    for j, file in enumerate(files[name]):
+                        if j:
+                            out.write(member(b",\n"))
+                        with system.open_input_stream(f"{home}/{file}", compression=None) as packed:
+                            while block := packed.read(BLOCK):
+                                out.write(block)
+                    out.write(member(b"]"))
+                out.write(member(b"}"))
+            system.move(f"{home}/document", target)
+            system.delete_dir(home)
+
+    spark.range(1).coalesce(1).foreachPartition(join)
+
+
 def write_coco_document(tables: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
     """One JSON document at ``path``, for tools that want one. The records are written in packed parts by all tasks; a single
     task then streams the parts into the file, block by block, and renames it when it is whole."""

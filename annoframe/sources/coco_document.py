@@ -5,13 +5,15 @@ looked at twice. First every range counts its brackets and quotes for both cases
 and names the arrays it may open. Those few numbers a range are chained on the driver, which gives each range its true
 start: in a string or not, how deep, in which array. Then every range gives the records that start in it, reading on past
 its end for the last one, as JSON text that Spark parses. No task holds more than a range and one record; a task reads many short ranges in turn, and an array's
-records are looked for only in the ranges that it reaches into.
+records are looked for only in the ranges that it reaches into. A document in gzip members that tell their sizes (``.gz``) is read
+in the same way: its places are those of its text.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from annoframe.members import Members
 from annoframe.schemas import COCO_ANNOTATION, COCO_CATEGORIES, COCO_IMAGES
 
 RANGE_BYTES = 64 << 20
@@ -41,7 +44,7 @@ _NAME = re.compile(rb'"([^"\\]*)"\s*:\s*$')
 
 @dataclass(frozen=True)
 class Range(InputPartition):
-    """Bytes ``lo .. hi - 1`` of a file, the state before them, and the arrays that may have records in them."""
+    """Bytes ``lo .. hi - 1`` of a document, the state before them, and the arrays that may have records in them."""
 
     path: str
     lo: int
@@ -50,6 +53,8 @@ class Range(InputPartition):
     depth: int = 0
     array: str = ""
     holds: tuple[str, ...] = ()
+    #: A packed document's member before the range, by its place in the text and in the file.
+    member: tuple[int, int] = (0, 0)
 
 
 @dataclass(frozen=True)
@@ -60,9 +65,11 @@ class Ranges(InputPartition):
 
 
 class _File:
-    def __init__(self, path: str):
+    def __init__(self, path: str, member: tuple[int, int] = (0, 0)):
         self.system, self.name = fs.FileSystem.from_uri(path)
         self.stream = self.system.open_input_file(self.name)
+        if path.endswith(".gz"):
+            self.stream = Members(self.stream, member)
 
     def read(self, lo: int, hi: int) -> bytes:
         return self.stream.read_at(max(0, hi - lo), lo)
@@ -120,7 +127,7 @@ class _Walk:
 
 def _summary(part: Range) -> list[dict]:
     """For a start outside and inside a string: depth gained, state after, and the arrays opened at the least depth."""
-    file = _File(part.path)
+    file = _File(part.path, part.member)
     data, at = file.with_look_back(part.lo, part.hi)
     out = []
     for quoted in (False, True):
@@ -139,7 +146,7 @@ def _summary(part: Range) -> list[dict]:
 
 
 def _records(part: Range, wanted: str) -> Iterator[tuple[int, bytes]]:
-    file = _File(part.path)
+    file = _File(part.path, part.member)
     data, at = file.with_look_back(part.lo, part.hi)
     walk = _Walk(data, part.lo - at, part.quoted, part.depth)
     opened = walk.arrays(data, 1)
@@ -228,13 +235,18 @@ def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> li
     size = system.get_file_info(name).size
     if not size:
         raise ValueError(f"no COCO document at {path}")
-    parts = [Range(path, lo, min(size, lo + range_bytes)) for lo in range(0, size, range_bytes)]
+    places = _File(path).stream.places() if path.endswith(".gz") else [(0, 0)]
+    size = places[-1][0] or size
+    parts = [
+        Range(path, lo, min(size, lo + range_bytes), member=places[max(0, bisect_right(places, (lo - LOOK_BACK, 0)) - 1)])
+        for lo in range(0, size, range_bytes)
+    ]
     seen = {r["pos"]: json.loads(r["value"]) for r in _read(spark, parts).collect()}
     out, quoted, depth, array = [], False, 0, ""
     for part in parts:
         found = seen[part.lo][quoted]
         opened = [name for at, name in found["opened"] if depth + at == 1]
-        out.append(Range(path, part.lo, part.hi, quoted, depth, array, (array, *opened)))
+        out.append(Range(path, part.lo, part.hi, quoted, depth, array, (array, *opened), part.member))
         array = opened[-1] if opened else array
         depth, quoted = depth + found["gain"], found["quoted"]
     if quoted or depth:
@@ -249,8 +261,8 @@ def read_coco_document(spark: SparkSession, path: str, range_bytes: int = RANGE_
 
     def records(array: str, kind: str) -> DataFrame:
         element = kind.removeprefix("array<").removesuffix(">") if kind.startswith("array<") else kind
-        return _read(spark, [p for p in parts if array in p.holds], array).select("pos", F.from_json("value", element).alias("r"))
+        rows = _read(spark, [p for p in parts if array in p.holds], array)
+        # The generator parses a text once; a filter on its members would parse it again for each of them.
+        return rows.select("pos", F.inline(F.array(F.from_json("value", element))))
 
-    images = records("images", COCO_IMAGES).select("r.*")
-    categories = records("categories", COCO_CATEGORIES).select("r.*")
-    return images, categories, records("annotations", COCO_ANNOTATION).select("pos", "r.*")
+    return records("images", COCO_IMAGES).drop("pos"), records("categories", COCO_CATEGORIES).drop("pos"), records("annotations", COCO_ANNOTATION)
